@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.catalog.inputs import SALES_SQL, SCALE, sales, table
-from tidegauge.functions import epoch_units
+from tidegauge.functions import epoch_units, exact_sum, from_epoch_units
 from tidegauge.operators.aggregates import average, bounds, grand_total, totals
 from tidegauge.operators.trend import newest_totals
 from tidegauge.plans.sales import STATS_ORDER, sales_trend, store_trend
@@ -51,18 +49,16 @@ def range_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stats_table(spark: SparkSession, sf_dir: str) -> str:
     """Stored totals of many loads, one load per day: two appends to one table."""
-    day = F.expr("timestampadd(DAY, timestampdiff(DAY, timestamp_ntz'1970-01-01 00:00:00', ts), "
-                 "timestamp_ntz'1970-01-01 00:00:00')")
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("item"), F.col("value").alias("amount"), day.alias("processed_at")
-    )
-    daily = events.groupBy("item", "processed_at").agg(
-        F.sum(F.col("amount").cast(f"decimal(18,{SCALE})")).cast("double").alias("total_amount")
+    daily = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("item"), epoch_units("ts", "DAY").alias("day"))
+        .agg(exact_sum("value", SCALE).alias("total_amount"))
+        .select("item", "total_amount", from_epoch_units("day", "DAY").alias("processed_at"))
     )
-    split = F.lit(datetime.datetime(2024, 1, 16)).cast("timestamp_ntz")
     path = fresh_folder(spark, "sales-stats")
-    for part in (daily.filter(F.col("processed_at") < split), daily.filter(F.col("processed_at") >= split)):
-        append_sorted(part.select("item", "total_amount", "processed_at"), path, STATS_ORDER)
+    early = F.dayofmonth("processed_at") <= 15
+    for part in (daily.filter(early), daily.filter(~early)):
+        append_sorted(part, path, STATS_ORDER)
     return path
 
 

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
+# Each unit from the next larger one: how many of it there are, and the part of a timestamp.
+_FINER = {"HOUR": ("DAY", 24, F.hour), "MINUTE": ("HOUR", 60, F.minute), "SECOND": ("MINUTE", 60, F.second)}
+
 
 def epoch_units(ts: str, unit: str = "SECOND") -> Column:
-    """Whole units elapsed since 1970-01-01, rounded down (rows before 1970 included)."""
-    elapsed = f"timestampdiff({unit}, {_EPOCH}, {ts})"
-    # timestampdiff truncates towards zero; step back where that moved forwards in time.
-    return F.expr(
-        f"{elapsed} - if(timestampadd({unit}, {elapsed}, {_EPOCH}) > {ts}, 1, 0)"
-    ).cast("bigint")
+    """Whole units elapsed since 1970-01-01, rounded down (before 1970 too)."""
+    if unit == "DAY":
+        return F.unix_date(F.col(ts).cast("date")).cast("bigint")
+    larger, per, part = _FINER[unit]
+    return epoch_units(ts, larger) * per + part(ts)
 
 
 def from_epoch_units(units: str, unit: str = "SECOND") -> Column:

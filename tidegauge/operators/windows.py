@@ -31,15 +31,27 @@ class WindowGrid:
         self.block_size = gcd(window_size, batch_size)
         self.train_blocks = window_size // self.block_size
         self.step_blocks = batch_size // self.block_size
-        # One-row aggregates, evaluated once per query as scalar subqueries.
-        self.first_t = series.agg(F.min("t")).scalar()
-        self.last_t = series.agg(F.max("t")).scalar()
+        # Two numbers, and the only thing computed ahead. As literals they fold into the bounds
+        # that reach the scan; as subqueries they would not.
+        self.first_t, self.last_t = series.agg(F.min("t"), F.max("t")).first()
+        if self.first_t is None:
+            self.first_t = self.last_t = 0
 
     def block(self, t: str = "t") -> Column:
         return F.floor((F.col(t) - self.first_t) / self.block_size)
 
-    def end(self, window: str = "window") -> Column:
-        return self.first_t + self.window_size + F.col(window) * self.batch_size
+    def end(self, window: Column) -> Column:
+        return window * self.batch_size + (self.first_t + self.window_size)
+
+    def tested_at(self, t: str = "t") -> Column:
+        """End of the window that tests this time, if one does."""
+        return self.end(F.floor((F.col(t) - (self.first_t + self.window_size)) / self.batch_size))
+
+    def is_tested(self, t: str = "t") -> Column:
+        """The time belongs to the test part of a window: neither before the first nor past the last."""
+        first_end = self.first_t + self.window_size
+        n_ends = len(range(first_end, self.last_t, self.batch_size))
+        return (F.col(t) >= first_end) & (F.col(t) < first_end + n_ends * self.batch_size)
 
     def is_open(self, t_end: Column) -> Column:
         """The end lies before the last row's time."""
@@ -49,10 +61,6 @@ class WindowGrid:
         """The series has reached the end of the test part; later rows cannot change it."""
         return t_end + self.batch_size <= self.last_t + 1
 
-    def test_window(self, block: str = "block") -> Column:
-        """The one window that tests this block; negative for the blocks before the first end."""
-        return F.floor((F.col(block) - self.train_blocks) / self.step_blocks)
-
     def memberships(self, block: str = "block") -> Column:
         """All ``(window, is_train)`` pairs of a block, at most ``train_blocks + 1`` of them."""
         b = F.col(block)
@@ -60,7 +68,7 @@ class WindowGrid:
         last = F.floor(b / self.step_blocks)
         # ``sequence`` counts downwards when its bounds are reversed.
         training = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-        test = self.test_window(block)
+        test = F.floor((b - self.train_blocks) / self.step_blocks)
         testing = F.when(test >= 0, F.array(test)).otherwise(F.array().cast("array<bigint>"))
 
         def marked(windows: Column, is_train: bool) -> Column:
@@ -71,11 +79,8 @@ class WindowGrid:
     def place(self, blocks: DataFrame) -> DataFrame:
         """Block aggregates copied into their windows: adds ``t_end`` and ``is_train``."""
         placed = blocks.select(self.memberships(), *blocks.columns)
-        return (
-            placed.withColumn("t_end", self.end())
-            .filter(self.is_open(F.col("t_end")))
-            .drop("window")
-        )
+        t_end = self.end(F.col("window"))
+        return placed.filter(self.is_open(t_end)).select(t_end.alias("t_end"), "is_train", *blocks.columns)
 
 
 def window_membership(rows: DataFrame, grid: WindowGrid | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.constants import BATCH_SIZE, FEATURES, LABEL, WINDOW_SIZE
@@ -26,69 +26,79 @@ def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna("any", subset=list(columns))
 
 
-def _pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
-    return list(combinations_with_replacement(columns, 2))
+# Below, the features are v0 … v(p-1) and the label is vp. ``mean_i`` is the mean of vi and
+# ``m_i_j`` the co-moment of vi and vj; of the label with itself none is needed.
 
 
-def _moment(a: str, b: str) -> str:
-    return f"m_{a}_{b}"
+def _pairs(first: int, p: int) -> list[tuple[int, int]]:
+    return list(combinations_with_replacement(range(first, p + 1), 2))[:-1]
 
 
-def block_moments(rows: DataFrame, grid: WindowGrid, columns: Sequence[str]) -> DataFrame:
+def _exprs(texts: Sequence[str]):
+    return [F.expr(text) for text in texts]
+
+
+def numbered(series: DataFrame, columns: Sequence[str]) -> DataFrame:
+    values = [F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
+    rows = series.select("t", *values)
+    return complete_rows(rows, rows.columns[1:])
+
+
+def block_moments(rows: DataFrame, grid: WindowGrid, p: int) -> DataFrame:
     """Row count, means and population covariances per block."""
-    doubles = rows.select(grid.block().alias("block"), *[F.col(c).cast("double").alias(c) for c in columns])
-    return doubles.groupBy("block").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(c).alias(f"mean_{c}") for c in columns],
-        *[F.covar_pop(a, b).alias(_moment(a, b)) for a, b in _pairs(columns)],
-    )
+    statistics = [
+        "count(*) AS n",
+        *[f"avg(v{i}) AS mean_{i}" for i in range(p + 1)],
+        *[f"covar_pop(v{i}, v{j}) AS m_{i}_{j}" for i, j in _pairs(0, p)],
+    ]
+    return rows.groupBy(grid.block().alias("block")).agg(*_exprs(statistics))
 
 
-def train_moments(blocks: DataFrame, grid: WindowGrid, columns: Sequence[str]) -> DataFrame:
-    """The same statistics per window, over its train part.
+def train_moments(blocks: DataFrame, grid: WindowGrid, p: int) -> DataFrame:
+    """The same statistics per window, over its train part; ``own_i`` keeps a feature's variance.
 
     Co-moments are merged around the window's own means, which keeps their precision where a
     difference of raw sums would lose it. Both steps share one partitioning by ``t_end``.
     """
     in_window = Window.partitionBy("t_end")
-    n = F.col("n")
-    train = grid.place(blocks).filter("is_train").withColumn("n_window", F.sum("n").over(in_window))
-    means = {
-        f"window_{c}": F.sum(n * F.col(f"mean_{c}")).over(in_window) / F.col("n_window") for c in columns
-    }
-    centred = train.withColumns(means)
-
-    def apart(c: str) -> Column:
-        return F.col(f"mean_{c}") - F.col(f"window_{c}")
-
-    return centred.groupBy("t_end").agg(
-        *[F.first(f"window_{c}").alias(f"mean_{c}") for c in columns],
-        *[F.sum(n * (F.col(_moment(a, b)) + apart(a) * apart(b))).alias(_moment(a, b)) for a, b in _pairs(columns)],
+    size = F.sum("n").over(in_window)
+    centred = (
+        grid.place(blocks)
+        .filter("is_train")
+        .withColumns({f"window_{i}": F.sum(F.expr(f"n * mean_{i}")).over(in_window) / size for i in range(p + 1)})
     )
 
-
-def solve(moments: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Coefficients ``b_<feature>`` and ``intercept`` per window by elimination, one feature a step."""
-    columns = [*features, label]
-    state = moments.withColumns({f"own_{f}": F.col(_moment(f, f)) for f in features})
-    for k, pivot in enumerate(features):
-        usable = F.col(_moment(pivot, pivot)) > DEPENDENT * F.col(f"own_{pivot}")
-        shares = {
-            f"share_{pivot}_{c}": F.when(usable, F.col(_moment(pivot, c)) / F.col(_moment(pivot, pivot))).otherwise(0.0)
-            for c in columns[k + 1 :]
-        }
-        state = state.withColumns(shares)
-        reduced = {
-            _moment(a, b): F.col(_moment(a, b)) - F.col(f"share_{pivot}_{a}") * F.col(_moment(pivot, b))
-            for a, b in _pairs(columns[k + 1 :])
-        }
-        state = state.withColumns(reduced)
-    for k in reversed(range(len(features))):
-        pivot = features[k]
-        known = [F.col(f"share_{pivot}_{f}") * F.col(f"b_{f}") for f in features[k + 1 :]]
-        state = state.withColumn(f"b_{pivot}", sum((-term for term in known), F.col(f"share_{pivot}_{label}")))
-    intercept = sum((-F.col(f"b_{f}") * F.col(f"mean_{f}") for f in features), F.col(f"mean_{label}"))
-    return state.select("t_end", *[F.col(f"b_{f}") for f in features], intercept.alias("intercept"))
+    def merged(i: int, j: int) -> str:
+        return f"sum(n * (m_{i}_{j} + (mean_{i} - window_{i}) * (mean_{j} - window_{j})))"
+
+    statistics = [
+        *[f"first(window_{i}) AS mean_{i}" for i in range(p + 1)],
+        *[f"{merged(i, j)} AS m_{i}_{j}" for i, j in _pairs(0, p)],
+        *[f"{merged(i, i)} AS own_{i}" for i in range(p)],
+    ]
+    return centred.groupBy("t_end").agg(*_exprs(statistics))
+
+
+def solve(moments: DataFrame, p: int) -> DataFrame:
+    """Coefficients ``b_i`` and ``intercept`` per window by elimination, one feature a step."""
+
+    def share(k: int, j: int) -> str:
+        return f"if(m_{k}_{k} > {DEPENDENT} * own_{k}, m_{k}_{j} / m_{k}_{k}, 0D)"
+
+    for k in range(p):
+        reduced = {f"m_{i}_{j}": F.expr(f"m_{i}_{j} - {share(k, i)} * m_{k}_{j}") for i, j in _pairs(k + 1, p)}
+        if reduced:
+            moments = moments.withColumns(reduced)
+    # The last feature's coefficient is known at once; each of the others follows from those after it.
+    weights: dict[int, str] = {}
+    for k in reversed(range(p)):
+        explained = "".join(f" - {share(k, j)} * {weights[j]}" for j in range(k + 1, p))
+        weights[k] = f"({share(k, p)}{explained})"
+    weighted = moments.select(
+        "t_end", *[f"mean_{i}" for i in range(p + 1)], *_exprs([f"{weights[k]} AS b_{k}" for k in range(p)])
+    )
+    fitted = "".join(f" - b_{k} * mean_{k}" for k in range(p))
+    return weighted.selectExpr("t_end", *[f"b_{k}" for k in range(p)], f"mean_{p}{fitted} AS intercept")
 
 
 def walk_forward_linear(
@@ -99,17 +109,11 @@ def walk_forward_linear(
     batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """``t_end``, ``mae`` and ``mean_pred`` of every valid window. Incomplete rows take no part."""
-    columns = [*features, label]
+    p = len(features)
     grid = WindowGrid(series, window_size, batch_size)
-    rows = complete_rows(series.select("t", *columns), columns)
-    models = solve(train_moments(block_moments(rows, grid, columns), grid, columns), features, label)
-    tested = (
-        rows.withColumn("block", grid.block())
-        .withColumn("window", grid.test_window())
-        .filter("window >= 0")
-        .withColumn("t_end", grid.end())
-        .filter(grid.is_open(F.col("t_end")))
-        .drop("block", "window")
-    )
-    prediction = sum((F.col(f"b_{f}") * F.col(f) for f in features), F.col("intercept"))
-    return error_by_window(tested.join(models, "t_end").withColumn("prediction", prediction), label)
+    rows = numbered(series, [*features, label])
+    models = solve(train_moments(block_moments(rows, grid, p), grid, p), p)
+    tested = rows.filter(grid.is_tested()).withColumn("t_end", grid.tested_at())
+    prediction = "intercept" + "".join(f" + b_{k} * v{k}" for k in range(p))
+    scored = tested.join(models, "t_end").selectExpr("t_end", f"v{p} AS label", f"{prediction} AS prediction")
+    return error_by_window(scored, "label")

@@ -1,7 +1,7 @@
 """Structured Streaming jobs. Each ends when the files present at its start are processed,
 unless a trigger says otherwise, and continues from its checkpoint when started again."""
 
-from tidegauge.streaming.loads import stream_latest, stream_totals
+from tidegauge.streaming.loads import stream_latest, stream_log, stream_series, stream_totals
 from tidegauge.streaming.word_count import console_word_count, running_word_count
 
-__all__ = ["console_word_count", "running_word_count", "stream_latest", "stream_totals"]
+__all__ = ["console_word_count", "running_word_count", "stream_latest", "stream_log", "stream_series", "stream_totals"]

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.latest import latest_rows
-from tidegauge.plans.sales import sales_stats
+from tidegauge.plans.requests import LOG_KEY, stored_log
+from tidegauge.plans.sales import STATS_ORDER, sales_stats
 from tidegauge.sinks import write_part
 from tidegauge.streaming.runs import start
 
@@ -37,10 +38,24 @@ def stream_totals(
 ) -> StreamingQuery:
     """Append the totals of each batch; the totals of all batches are their sums."""
     return _load(
-        sales, table, checkpoint, lambda batch: sales_stats(batch, scale=scale), ["processed_at", "item"], every
+        sales, table, checkpoint, lambda batch: sales_stats(batch, scale=scale), STATS_ORDER, every
     )
 
 
+def stream_log(
+    log: DataFrame, table: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Append request-log records in their stored form; read the table with ``read_replacing``."""
+    return _load(log, table, checkpoint, stored_log, LOG_KEY, every)
+
+
+def stream_series(
+    log: DataFrame, table: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Append request-log records unchanged, each file sorted by time: the input of an evaluation."""
+    return _load(log, table, checkpoint, lambda batch: batch, ["t"], every)
+
+
 def stream_latest(
     rows: DataFrame,
     table: str,
