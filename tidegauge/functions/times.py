@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
-# Each unit from the next larger one: how many of it there are, and the part of a timestamp.
-_FINER = {"HOUR": ("DAY", 24, F.hour), "MINUTE": ("HOUR", 60, F.minute), "SECOND": ("MINUTE", 60, F.second)}
+_SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
 
 
 def epoch_units(ts: str, unit: str = "SECOND") -> Column:
     """Whole units elapsed since 1970-01-01, rounded down (before 1970 too)."""
-    if unit == "DAY":
-        return F.unix_date(F.col(ts).cast("date")).cast("bigint")
-    larger, per, part = _FINER[unit]
-    return epoch_units(ts, larger) * per + part(ts)
+    column = F.col(ts)
+    clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    # unix_timestamp is the fast way, but it cuts a fraction off towards 1970.
+    seconds = F.when(column >= F.expr(_EPOCH), F.unix_timestamp(column)).otherwise(
+        F.unix_date(column.cast("date")).cast("bigint") * 86400 + clock
+    )
+    return seconds if unit == "SECOND" else F.floor(seconds / _SECONDS[unit])
 
 
 def from_epoch_units(units: str, unit: str = "SECOND") -> Column:
