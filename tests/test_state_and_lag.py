@@ -124,7 +124,7 @@ def test_seed_does_not_replace_state_and_a_rerun_changes_nothing(spark):
     updates = spark.createDataFrame(
         [("last_y", 1.0, NOON), ("last_y", 5.0, NOON + datetime.timedelta(hours=1)), ("other", 2.0, NOON)], METADATA
     )
-    seeds = spark.createDataFrame([("last_y", 0.0, NOON), ("new", 0.0, NOON)], METADATA)
+    seeds = [("last_y", 0.0, NOON), ("new", 0.0, NOON)]
     once = seeded(latest_state(updates), seeds)
     assert {r["key"]: r["value"] for r in once.collect()} == {"last_y": 5.0, "other": 2.0, "new": 0.0}
     assert sorted(map(tuple, seeded(once, seeds).collect())) == sorted(map(tuple, once.collect()))
@@ -136,8 +136,10 @@ def test_retention_counts_whole_minutes_and_reaches_the_scan(spark, tmp_path):
     df = spark.createDataFrame([(newest - datetime.timedelta(seconds=a), a) for a in ages], "ts TIMESTAMP_NTZ, age INT")
     path = str(tmp_path / "t")
     df.write.parquet(path)
-    kept = retained(spark.read.parquet(path))
-    assert {r["age"] for r in kept.collect()} == set(ages[:3])
+    for kept in (retained(spark.read.parquet(path)), retained(spark.read.parquet(path), now=newest)):
+        assert {r["age"] for r in kept.collect()} == set(ages[:3])
+        assert "GreaterThan(ts," in kept._jdf.queryExecution().executedPlan().toString()
+    assert retained(spark.createDataFrame([], "ts TIMESTAMP_NTZ")).count() == 0
 
 
 def stats(spark, amounts):

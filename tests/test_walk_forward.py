@@ -166,9 +166,14 @@ def test_large_train_sets_are_spread_in_a_fixed_way(spark, monkeypatch):
     from tidegauge.plans import walk_forward_forest as module
 
     monkeypatch.setattr(module, "ROWS_PER_TASK", 50)
-    df = series(spark, range(200))
+    monkeypatch.setattr(module, "ROWS_PER_LOT", 10)
+    copies = series(spark, [199] * 101).dropDuplicates(["t"]).crossJoin(spark.range(101)).drop("id")
+    df = series(spark, range(199)).unionByName(copies)
 
     def layout(rows):
-        return [[r["t"] for r in part] for part in fixed_layout(rows, 200).rdd.glom().collect()]
+        return [[r["t"] for r in part] for part in fixed_layout(rows, 300).rdd.glom().collect()]
 
-    assert layout(df) == layout(df.repartition(7)) and len(layout(df)) == 4
+    tasks = layout(df)
+    assert tasks == layout(df.repartition(7)) and len(tasks) == 6
+    assert sorted(t for task in tasks for t in task) == sorted([*range(199), *[199] * 101])
+    assert max(task.count(199) for task in tasks) < 101

@@ -25,11 +25,10 @@ from tidegauge.operators.latest import latest_rows, read_parts, read_replacing
 from tidegauge.operators.retention import retained
 from tidegauge.operators.state import latest_state, seeded
 from tidegauge.plans.requests import LOG_KEY, STORED, load_requests, request_features
-from tidegauge.schemas import METADATA, REQUEST_LOGS, SALES, SALES_STATS
+from tidegauge.schemas import REQUEST_LOGS, SALES, SALES_STATS
 from tidegauge.scratch import fresh_folder
 from tidegauge.sinks import write_snapshot
 from tidegauge.sources import (
-    literal_rows,
     parse_json,
     scan_inferred,
     scan_json_lines,
@@ -125,8 +124,8 @@ def latest_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = datetime.datetime(2024, 1, 1)
-    seeds = literal_rows(spark, [(LAST_VALUE_KEY, LAG_SEED, start), ("8", LAG_SEED, start)], METADATA)
-    return seeded(_user_state(spark, sf_dir), seeds)
+    stored = write_snapshot(_user_state(spark, sf_dir), fresh_folder(spark, "state"))
+    return seeded(scan_table(spark, stored), [(LAST_VALUE_KEY, LAG_SEED, start), ("8", LAG_SEED, start)])
 
 
 def sales_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

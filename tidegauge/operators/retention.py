@@ -4,26 +4,32 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.constants import RETENTION_MINUTES
 
 
 def retained(
-    df: DataFrame, ts: str = "ts", *, now: Column | None = None, minutes: int = RETENTION_MINUTES
+    df: DataFrame, ts: str = "ts", *, now: datetime.datetime | None = None, minutes: int = RETENTION_MINUTES
 ) -> DataFrame:
     """Rows whose age in whole minutes is at most ``minutes``.
 
-    Age counts from ``now``, by default from the newest row. The bound is a comparison of the
-    bare column, so it reaches a Parquet scan.
+    Age counts from ``now``, by default from the newest row, which is then looked up at once. The
+    bound is a literal, so it reaches a Parquet scan.
     """
     if now is None:
-        now = df.agg(F.max(ts)).scalar()
+        now = df.agg(F.max(ts)).first()[0]
+    if now is None:
+        return df
+    return df.filter(F.col(ts) > F.lit(_oldest(now, minutes)).cast(df.schema[ts].dataType))
+
+
+def _oldest(now: datetime.datetime, minutes: int) -> datetime.datetime:
     # Age in whole minutes <= n is the same as age < n + 1 minutes.
-    return df.filter(F.col(ts) > now - F.expr(f"interval {minutes + 1} minutes"))
+    return now - datetime.timedelta(minutes=minutes + 1)
 
 
 def retained_since(now: datetime.datetime, minutes: int = RETENTION_MINUTES) -> str:
     """Bound for ``modified_after``: files with a later modification time are kept."""
-    return (now - datetime.timedelta(minutes=minutes + 1)).strftime("%Y-%m-%dT%H:%M:%S")
+    return _oldest(now, minutes).strftime("%Y-%m-%dT%H:%M:%S")

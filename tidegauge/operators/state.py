@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.operators.latest import absent_from
+from tidegauge.schemas import METADATA
 
 
 def latest_state(
@@ -18,6 +21,12 @@ def latest_state(
     )
 
 
-def seeded(state: DataFrame, seeds: DataFrame) -> DataFrame:
-    """State plus the seeds whose key it does not have."""
-    return state.unionByName(absent_from(seeds, state, ["key"]))
+def seeded(state: DataFrame, seeds: Sequence[tuple]) -> DataFrame:
+    """State plus those literal ``(key, value, updated_at)`` seeds whose key it does not have.
+
+    ``state`` is a stored table: the seeds' keys are looked up there by a filter that the scan
+    evaluates, so the state is neither shuffled nor sent anywhere.
+    """
+    rows = state.sparkSession.createDataFrame(list(seeds), METADATA)
+    taken = state.filter(F.col("key").isin([key for key, *_ in seeds]))
+    return state.unionByName(absent_from(rows, taken, ["key"]))

@@ -29,6 +29,8 @@ from tidegauge.sinks.tables import PART
 
 # Train rows one task can hold in comfort; a larger window is spread over more tasks.
 ROWS_PER_TASK = 200_000
+# Equal rows that stay together when a train set is spread.
+ROWS_PER_LOT = 10_000
 # Windows scored and stored by one job.
 WINDOWS_PER_WRITE = 64
 
@@ -46,11 +48,26 @@ def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def fixed_layout(df: DataFrame, n_rows: int) -> DataFrame:
     """The same rows in the same tasks in the same order on every run.
 
-    A forest draws its samples by partition and position, so a seed alone does not fix it.
+    A forest draws its samples by partition and position, so a seed alone does not fix it. A train
+    set that fits one task goes to one. A larger one is spread by its values; equal rows, which a
+    hash would keep together however many they are, are counted and dealt out in lots.
     """
     tasks = -(-n_rows // ROWS_PER_TASK)
-    spread = df.coalesce(1) if tasks <= 1 else df.repartition(tasks, *df.columns)
-    return spread.sortWithinPartitions("t", *[c for c in df.columns if c != "t"])
+    order = ["t", *[c for c in df.columns if c != "t"]]
+    if tasks <= 1:
+        return df.coalesce(1).sortWithinPartitions(*order)
+    lots = (
+        df.groupBy(*order)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_lot", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {ROWS_PER_LOT})")))
+    )
+    in_lot = F.expr(f"least({ROWS_PER_LOT}L, _copies - _lot * {ROWS_PER_LOT})").cast("int")
+    return (
+        lots.repartition(tasks, *order, "_lot")
+        .select(*order, F.explode(F.array_repeat(F.lit(0), in_lot)).alias("_copy"))
+        .drop("_copy")
+        .sortWithinPartitions(*order)
+    )
 
 
 def pending_windows(rows: DataFrame, grid: WindowGrid, stored: DataFrame) -> DataFrame:
