@@ -102,7 +102,7 @@ class ForestEvaluation:
         )
 
     def between(self, low: int, high: int) -> DataFrame:
-        return self.rows.filter((F.col("t") >= low) & (F.col("t") < high))
+        return self.rows.filter(f"t >= {low} AND t < {high}")
 
     def scored(self, window: Row) -> DataFrame:
         """Fit the window's forest; its test rows with their prediction, not yet computed."""
@@ -110,11 +110,8 @@ class ForestEvaluation:
         train = fixed_layout(self.between(end - self.window_size, end), window["n_train"])
         model = self.forest.fit(assembled(train, self.features))
         test = assembled(self.between(end, end + self.batch_size), self.features)
-        return model.transform(test).select(
-            F.lit(end).cast("bigint").alias("t_end"),
-            F.lit(window["complete"]).alias("complete"),
-            self.label,
-            "prediction",
+        return model.transform(test).selectExpr(
+            f"{end}L AS t_end", f"{window['complete']} AS complete", f"`{self.label}`", "prediction"
         )
 
 
