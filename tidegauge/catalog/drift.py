@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.catalog.inputs import LOG_SQL, hourly_series, stored_features
-from tidegauge.constants import FEATURES, LABEL
+from tidegauge.constants import FEATURES, FOREST_SEED, LABEL, MAX_BINS, MAX_DEPTH, NUM_TREES
 from tidegauge.operators import windows
 from tidegauge.plans.walk_forward_forest import evaluate_forest
+from tidegauge.plans.walk_forward_forest_grouped import TARGET_UNITS, poisson_steps, walk_forward_forest_grouped
 from tidegauge.plans.walk_forward_linear import walk_forward_linear
 from tidegauge.scratch import fresh_folder
 from tidegauge.sources import scan_table
@@ -45,12 +46,17 @@ def walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select("t_end", "mae", "mean_pred")
 
 
+def walk_forward_forest_grouped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(walk_forward_forest_grouped(scan_table(spark, stored_features(spark, sf_dir))))
+
+
 QUERIES = {
     "window_membership": window_membership,
     "window_rows": window_rows,
     "walk_forward_trend": walk_forward_trend,
     "walk_forward_linear": walk_forward_linear_query,
     "walk_forward_forest": walk_forward_forest,
+    "walk_forward_forest_grouped": walk_forward_forest_grouped_query,
 }
 
 _ENDS_SQL = f"""{LOG_SQL},
@@ -90,6 +96,93 @@ SELECT t_end, round(avg(abs(r_{label})), 4) AS mae, round(avg(actual - r_{label}
 FROM {last} WHERE is_test GROUP BY t_end"""
 
 
+def _forest_sql(features: tuple[str, ...], label: str) -> str:
+    """The grouped forest with rows, bins and nodes as plain tables, one set of them per level."""
+    tried = -(-len(features) // 3)
+    quantiles = [k / MAX_BINS for k in range(1, MAX_BINS)]
+    cuts = ", ".join(f"quantile_disc({f}, {quantiles}) AS cuts_{f}" for f in features)
+    long = "\n    UNION ALL ".join(
+        f"SELECT t_end, t, is_train, {i} AS feature, len(list_filter(cuts_{f}, lambda c: c < {f})) AS bin "
+        f"FROM placed JOIN cuts USING (t_end)"
+        for i, f in enumerate(features)
+    )
+    steps = " + ".join(f"(u >= {step!r}::DOUBLE)::BIGINT" for step in poisson_steps())
+    hashed = f"substr(md5(concat_ws(':', {FOREST_SEED}, t_end, tree, t)), 1, 8)"
+    parts = [
+        f"""placed AS MATERIALIZED (
+    SELECT t_end, t < t_end AS is_train, log.* EXCLUDE ("timestamp")
+    FROM ends JOIN log ON t >= t_end - 100 AND t < t_end + 20
+),
+cuts AS MATERIALIZED (SELECT t_end, {cuts} FROM placed WHERE is_train GROUP BY t_end),
+bins AS MATERIALIZED (
+    {long}
+),
+drawn AS (
+    SELECT t_end, t, tree, is_train, {label} AS actual,
+           CASE WHEN is_train THEN {steps} ELSE 0 END AS w
+    FROM (SELECT *, CAST('0x' || {hashed} AS BIGINT) / 4294967296 AS u
+          FROM placed, (SELECT unnest(range({NUM_TREES})) AS tree))
+),
+nodes_0 AS MATERIALIZED (
+    SELECT t_end, t, tree, is_train, actual, w, w * CAST(round_even(actual * {TARGET_UNITS}, 0) AS BIGINT) AS s, 1 AS node
+    FROM drawn WHERE w > 0 OR NOT is_train
+)"""
+    ]
+    for level in range(MAX_DEPTH):
+        parts.append(
+            f"""sums_{level} AS (
+    SELECT t_end, tree, node, feature, bin, sum(w) AS w, sum(s) AS s
+    FROM nodes_{level} JOIN bins USING (t_end, t) WHERE nodes_{level}.is_train AND node >= {2**level}
+    GROUP BY ALL
+),
+cumulated_{level} AS (
+    SELECT t_end, tree, node, feature, bin,
+           CAST(sum(w) OVER up_to_bin AS DOUBLE) AS lw, CAST(sum(s) OVER up_to_bin AS DOUBLE) AS ls,
+           CAST(sum(w) OVER of_feature AS DOUBLE) AS tw, CAST(sum(s) OVER of_feature AS DOUBLE) AS ts
+    FROM sums_{level}
+    WINDOW of_feature AS (PARTITION BY t_end, tree, node, feature),
+           up_to_bin AS (PARTITION BY t_end, tree, node, feature ORDER BY bin)
+),
+gains_{level} AS (
+    SELECT *, CASE WHEN lw < tw
+                   THEN ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) - ts * ts / tw ELSE 0 END AS gain
+    FROM cumulated_{level}
+),
+candidates_{level} AS (
+    SELECT *, row_number() OVER (PARTITION BY t_end, tree, node
+                                 ORDER BY md5(concat_ws(':', {FOREST_SEED}, t_end, tree, node, feature))) AS draw
+    FROM (SELECT * FROM gains_{level}
+          QUALIFY row_number() OVER (PARTITION BY t_end, tree, node, feature ORDER BY gain DESC, bin) = 1)
+),
+splits_{level} AS MATERIALIZED (
+    SELECT t_end, tree, node, feature, bin
+    FROM (SELECT * FROM candidates_{level} WHERE draw <= {tried})
+    QUALIFY row_number() OVER (PARTITION BY t_end, tree, node ORDER BY gain DESC, feature) = 1 AND gain > 0
+),
+nodes_{level + 1} AS MATERIALIZED (
+    SELECT n.t_end, n.t, n.tree, n.is_train, n.actual, n.w, n.s,
+           CASE WHEN s.feature IS NULL THEN n.node ELSE 2 * n.node + (b.bin > s.bin)::INTEGER END AS node
+    FROM nodes_{level} n
+    LEFT JOIN splits_{level} s ON s.t_end = n.t_end AND s.tree = n.tree AND s.node = n.node
+    LEFT JOIN bins b ON b.t_end = n.t_end AND b.t = n.t AND b.feature = s.feature
+)"""
+        )
+    body = ",\n".join(parts)
+    last = f"nodes_{MAX_DEPTH}"
+    return f"""WITH {_ENDS_SQL},
+{body},
+leaves AS (
+    SELECT t_end, tree, node, CAST(sum(s) AS DOUBLE) / sum(w) / {TARGET_UNITS} AS mean
+    FROM {last} WHERE is_train GROUP BY ALL
+),
+predicted AS (
+    SELECT t_end, t, any_value(actual) AS actual, avg(mean) AS prediction
+    FROM {last} JOIN leaves USING (t_end, tree, node) WHERE NOT is_train GROUP BY t_end, t
+)
+SELECT t_end, round(avg(abs(actual - prediction)), 4) AS mae, round(avg(prediction), 4) AS mean_pred
+FROM predicted GROUP BY t_end"""
+
+
 ORACLES = {
     "window_membership": f"""WITH {_ENDS_SQL}
 SELECT t_end,
@@ -110,4 +203,5 @@ SELECT t_end, round(avg(abs(y - (slope * y_lag1 + intercept))), 4) AS mae,
        round(avg(slope * y_lag1 + intercept), 4) AS mean_pred
 FROM models JOIN log ON t >= t_end AND t < t_end + 20 GROUP BY t_end""",
     "walk_forward_linear": _linear_sql(FEATURES, LABEL),
+    "walk_forward_forest_grouped": _forest_sql(FEATURES, LABEL),
 }

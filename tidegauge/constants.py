@@ -4,6 +4,8 @@
 WINDOW_SIZE = 100
 BATCH_SIZE = 20
 NUM_TREES = 10
+MAX_DEPTH = 5
+MAX_BINS = 32
 FEATURES = ("requests", "size", "hour", "y_lag1")
 LABEL = "y"
 FOREST_SEED = 42
