@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegauge.constants import FEATURES
 from tidegauge.operators.windows import WindowGrid, window_membership
 from tidegauge.plans.walk_forward_forest import evaluate_forest, fixed_layout, store_series, stored_metrics
+from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped, walk_forward_forest_grouped
 from tidegauge.plans.walk_forward_linear import walk_forward_linear
 from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.sinks import write_part
@@ -177,3 +178,51 @@ def test_large_train_sets_are_spread_in_a_fixed_way(spark, monkeypatch):
     assert tasks == layout(df.repartition(7)) and len(tasks) == 6
     assert sorted(t for task in tasks for t in task) == sorted([*range(199), *[199] * 101])
     assert max(task.count(199) for task in tasks) < 101
+
+
+def test_grouped_forest_is_as_good_as_the_library_forest(spark, tmp_path):
+    df = series(spark, range(400))
+    library = evaluated(spark, df, tmp_path)
+    grouped = {r["t_end"]: r["mae"] for r in walk_forward_forest_grouped(df).collect()}
+    assert grouped.keys() == library.keys()
+    ratio = sum(grouped.values()) / sum(mae for mae, _, _ in library.values())
+    assert 0.85 < ratio < 1.15
+
+
+def test_grouped_forest_repeats_on_any_layout_and_skips_incomplete_rows(spark):
+    df = series(spark, [*range(150), *range(400, 441)], missing={17})
+    first = {r["t_end"]: r["mae"] for r in walk_forward_forest_grouped(df).collect()}
+    again = walk_forward_forest_grouped(df.repartition(5).filter("t != 17"))
+    assert sorted(first) == [100, 120, 140, 420]
+    assert {r["t_end"]: r["mae"] for r in again.collect()} == pytest.approx(first, rel=1e-12)
+
+
+def test_grouped_forest_learns_a_step(spark):
+    df = spark.range(160).selectExpr("id AS t", "CAST(id % 7 AS DOUBLE) AS x", "if(id % 7 < 3, 10D, 20D) AS y")
+    got = walk_forward_forest_grouped(df, ["x"]).collect()
+    assert [r["t_end"] for r in got] == [100, 120, 140] and all(r["mae"] < 1e-9 for r in got)
+
+
+def test_grouped_forest_without_any_split_predicts_the_mean(spark):
+    df = spark.range(121).selectExpr("id AS t", "CAST(id % 7 AS DOUBLE) AS x", "5D AS y")
+    assert [tuple(r) for r in walk_forward_forest_grouped(df, ["x"]).collect()] == [(100, 0.0, 5.0)]
+
+
+def test_grouped_forest_refuses_many_rows_per_time(spark):
+    df = series(spark, range(160)).crossJoin(spark.range(3)).drop("id")
+    with pytest.raises(Exception, match="more than one row per t"):
+        walk_forward_forest_grouped(df)
+
+
+def test_grouped_evaluation_is_incremental(spark, tmp_path):
+    def run(n):
+        path = store_series(series(spark, range(n)), str(tmp_path / "series"))
+        metrics = evaluate_forest_grouped(spark, path, str(tmp_path / "metrics"))
+        return {r["t_end"]: (r["mae"], r["complete"]) for r in metrics.collect()}
+
+    short = run(130)
+    assert {end: c for end, (_, c) in short.items()} == {100: True, 120: False}
+    long = run(150)
+    assert {end: c for end, (_, c) in long.items()} == {100: True, 120: True, 140: False}
+    assert long[100] == short[100] and long[120] != short[120]
+    assert run(150) == long

@@ -20,6 +20,7 @@ from tidegauge.operators.retention import retained_since
 from tidegauge.plans.requests import LOG_KEY
 from tidegauge.plans.sales import load_sales, sales_trend, store_trend
 from tidegauge.plans.walk_forward_forest import evaluate_forest, stored_metrics
+from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped
 from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
 from tidegauge.sinks import write_snapshot, write_with_fallback
 from tidegauge.sources import scan_inferred, scan_json_lines, scan_table, stream_json_lines
@@ -58,7 +59,10 @@ def _drift(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.source:
         rows = stream_json_lines(spark, a.source, REQUEST_LOG).rows
         stream_series(rows, a.series, a.checkpoint).awaitTermination()
-    evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism)
+    if a.grouped:
+        evaluate_forest_grouped(spark, a.series, a.metrics)
+    else:
+        evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism)
     stored_metrics(spark, a.metrics).orderBy("t_end").show()
 
 
@@ -115,6 +119,7 @@ def parser() -> argparse.ArgumentParser:
     command("compact-requests", _compact, ("table", "target"))
     drift = command("evaluate-drift", _drift, ("series", "metrics"), ("source", "checkpoint"))
     drift.add_argument("--parallelism", type=int)
+    drift.add_argument("--grouped", action="store_true", help="all windows in one go, for a backfill")
     command("total-amount", _amounts, ("source", "table"), ("fallback",))
     words = command("count-words", _words, ("source", "checkpoint"), ("table", "every"))
     words.add_argument("--partitions", type=int)

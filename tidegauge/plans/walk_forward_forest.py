@@ -36,8 +36,13 @@ WINDOWS_PER_WRITE = 64
 
 
 def store_series(series: DataFrame, path: str) -> str:
-    """Write the series in ranges of ``t``, each file sorted by it."""
-    series.repartitionByRange("t").sortWithinPartitions("t").write.mode("overwrite").parquet(path)
+    """Write the series in ranges of ``t``, each file sorted by it.
+
+    The reading task is a second range key: it lets a range end inside a ``t`` that has very many rows.
+    """
+    salted = series.withColumn("_task", F.spark_partition_id())
+    ranges = salted.repartitionByRange("t", "_task").drop("_task")
+    ranges.sortWithinPartitions("t").write.mode("overwrite").parquet(path)
     return path
 
 
@@ -141,13 +146,11 @@ def evaluate_forest(
     evaluation = ForestEvaluation(rows, features, label, window_size, batch_size, num_trees, seed)
 
     parts = read_parts(spark, metrics_path, ML_PERFORMANCE)
-    last_part = parts.agg(F.max(PART)).first()[0]
-    next_part = 0 if last_part is None else last_part + 1
     pending = pending_windows(rows, WindowGrid(series, window_size, batch_size), parts)
 
     threads = parallelism or min(16, spark.sparkContext.defaultParallelism)
     with ThreadPool(threads) as pool:
-        for number, group in enumerate(_groups(pending, WINDOWS_PER_WRITE), next_part):
+        for number, group in enumerate(_groups(pending, WINDOWS_PER_WRITE), next_part(spark, metrics_path)):
             scored = pool.map(inheritable_thread_target(spark)(evaluation.scored), group)
             together = reduce(DataFrame.unionByName, scored)
             metrics = error_by_window(together, label, ["t_end", "complete"])
@@ -155,6 +158,11 @@ def evaluate_forest(
     return stored_metrics(spark, metrics_path)
 
 
+def next_part(spark: SparkSession, metrics_path: str) -> int:
+    last = read_parts(spark, metrics_path, ML_PERFORMANCE).agg(F.max(PART)).first()[0]
+    return 0 if last is None else last + 1
+
+
 def stored_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
     """One row per ``t_end``, the last one stored."""
     return read_replacing(spark, metrics_path, ML_PERFORMANCE, ["t_end"])

@@ -3,21 +3,25 @@
 One library fit per window costs a dozen small jobs, whatever the window holds; a backfill over
 very many windows then only waits for the driver. Here the trees of all windows grow together, one
 level per job: a level is a grouped sum over (window, tree, node, feature, bin), a choice of the best
-cut per node, and an equi-join that sends the drawn rows to their next node. Rows are only ever
-reduced by partial sums; what is gathered per group are histograms of at most 32 bins, and trees.
+cut per node, and an equi-join that sends the drawn rows to their next node.
+
+The series has one row per ``t``, as a binned series does, so a tree has at most ``window_size``
+rows and all work on it stays in one task, with one shuffle per level. A window with more rows is
+refused; the library forest is the one for those.
 
 The forest is the usual one for regression: rows drawn with replacement (Poisson weights), a third
 of the features per node, cuts at 1/32 quantiles of the window, greatest reduction of variance,
 the mean as leaf. Draws are hashes of (seed, window, tree, time) and targets are summed as whole
-numbers, so the result is the same on any number of tasks. The series has one row per ``t``.
+numbers, so the result is the same on any number of tasks.
 """
 
 from __future__ import annotations
 
+import datetime
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.constants import (
@@ -30,10 +34,13 @@ from tidegauge.constants import (
     NUM_TREES,
     WINDOW_SIZE,
 )
+from tidegauge.operators.latest import read_parts
 from tidegauge.operators.windows import WindowGrid, error_by_window
-from tidegauge.plans.walk_forward_linear import numbered
+from tidegauge.plans.walk_forward_forest import next_part, pending_windows, stored_metrics
+from tidegauge.plans.walk_forward_linear import complete_rows, numbered
+from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.scratch import fresh_folder
-from tidegauge.sinks import write_part, write_snapshot
+from tidegauge.sinks import stamped, write_part, write_snapshot
 
 # Targets are summed as multiples of this fraction.
 TARGET_UNITS = 10_000
@@ -51,50 +58,61 @@ def poisson_steps() -> list[float]:
     return steps
 
 
-def _binned(series: DataFrame, grid: WindowGrid, features: Sequence[str], label: str) -> DataFrame:
+def _binned(
+    series: DataFrame, grid: WindowGrid, features: Sequence[str], label: str, only: DataFrame | None
+) -> DataFrame:
     """Train and test rows of every window, each feature as the number of its window's cut."""
     p = len(features)
     values = [f"v{i}" for i in range(p)]
     rows = numbered(series, [*features, label]).withColumn("block", grid.block())
     placed = grid.place(rows).select("t_end", "is_train", "t", *values, F.col(f"v{p}").alias("y"))
+    if only is not None:
+        placed = placed.join(only.select("t_end"), "t_end", "left_semi")
     quantiles = F.array(*[F.lit(k / MAX_BINS) for k in range(1, MAX_BINS)])
     cuts = (
         placed.filter("is_train")
         .groupBy("t_end")
-        .agg(*[F.percentile_approx(v, quantiles, 10_000).alias(f"cuts_{v}") for v in values])
+        .agg(
+            F.count(F.lit(1)).alias("n_train"),
+            *[F.percentile_approx(v, quantiles, 10_000).alias(f"cuts_{v}") for v in values],
+        )
     )
     bins = ", ".join(f"size(filter(cuts_{v}, c -> c < {v}))" for v in values)
-    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", f"array({bins}) AS bins", "y")
+    checked = f"if(n_train <= {grid.window_size}, array({bins}), raise_error('more than one row per t')) AS bins"
+    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", checked, "y")
 
 
 def _drawn(binned: DataFrame, num_trees: int, seed: int) -> DataFrame:
     """Train rows once per tree that draws them: ``w`` times, with ``s`` as their summed target."""
-    copies = binned.filter("is_train").withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
-    uniform = f"conv(substr(md5(concat_ws(':', {seed}, t_end, tree, t)), 1, 8), 16, 10) / 4294967296D"
-    steps = ", ".join(f"{step!r}D" for step in poisson_steps())
+    bits = f"conv(substr(md5(concat_ws(':', {seed}, t_end, tree, t)), 1, 8), 16, 10)"
+    # As the output of a generator ``u`` is computed once; a filter on a projected column would
+    # be moved below it and repeat the hash for every comparison.
+    draws = f"inline(transform(sequence(0, {num_trees - 1}), tree -> struct(tree, {bits} / 4294967296D AS u)))"
+    weight = " + ".join(f"CAST(u >= {step!r}D AS BIGINT)" for step in poisson_steps())
     return (
-        copies.selectExpr(*TREE, "bins", "y", f"{uniform} AS u")
-        .selectExpr(*TREE, "bins", "y", f"CAST(size(filter(array({steps}), c -> c <= u)) AS BIGINT) AS w")
+        binned.filter("is_train")
+        .selectExpr("t_end", "bins", f"CAST(rint(y * {TARGET_UNITS}) AS BIGINT) AS units", f"{draws} AS (tree, u)")
+        .selectExpr(*TREE, "bins", "units", f"{weight} AS w")
         .filter("w > 0")
-        .selectExpr(*TREE, "bins", "w", f"w * CAST(rint(y * {TARGET_UNITS}) AS BIGINT) AS s")
+        .selectExpr(*TREE, "bins", "w", "w * units AS s")
     )
 
 
 def _node_after(levels: int, splits: str) -> str:
     """Node that a row's bins reach after so many levels; a node without split keeps its rows."""
-    split = f"try_element_at({splits}, node)"
+    split = f"get({splits}, node - 1)"
     child = f"2 * node + if(bins[{split}.feature] <= {split}.bin, 0, 1)"
     return f"aggregate(sequence(1, {levels}), 1, (node, level) -> if({split} IS NULL, node, {child}))"
 
 
-def _best_splits(rows: DataFrame, seed: int, tried: int) -> DataFrame:
+def _best_splits(rows: DataFrame, level: int, seed: int, tried: int) -> DataFrame:
     """``feature`` and ``bin`` of the best cut of each node, where one reduces the variance."""
+    # Rows that stopped at a leaf have a smaller node number and add nothing.
+    growing = F.expr(f"posexplode(if(node >= {2**level}, bins, CAST(array() AS ARRAY<INT>))) AS (feature, bin)")
     sums = (
-        rows.select(*NODE, "w", "s", F.posexplode("bins").alias("feature", "bin"))
+        rows.select(*NODE, "w", "s", growing)
         .groupBy(*NODE, "feature", "bin")
         .agg(F.sum("w").alias("w"), F.sum("s").alias("s"))
-        # All that follows works on the histograms of one tree, and finds them in one place.
-        .repartition(*TREE)
     )
     of_feature = Window.partitionBy(*NODE, "feature")
     up_to_bin = of_feature.orderBy("bin")
@@ -126,9 +144,12 @@ def _best_splits(rows: DataFrame, seed: int, tried: int) -> DataFrame:
     )
 
 
-def _trees(splits: DataFrame) -> DataFrame:
+def _trees(splits: DataFrame, levels: int) -> DataFrame:
+    """One row per tree: its splits as an array over node numbers, null where a node has none."""
     entry = F.struct("node", F.struct("feature", "bin"))
-    return splits.groupBy(*TREE).agg(F.map_from_entries(F.collect_list(entry)).alias("splits"))
+    by_node = splits.groupBy(*TREE).agg(F.map_from_entries(F.collect_list(entry)).alias("by_node"))
+    nodes = f"sequence(1, {2**levels - 1})"
+    return by_node.selectExpr(*TREE, f"transform({nodes}, node -> try_element_at(by_node, node)) AS splits")
 
 
 def _models(drawn: DataFrame, trees: DataFrame, depth: int) -> DataFrame:
@@ -154,10 +175,11 @@ def walk_forward_forest_grouped(
     num_trees: int = NUM_TREES,
     depth: int = MAX_DEPTH,
     seed: int = FOREST_SEED,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """``t_end``, ``mae`` and ``mean_pred`` of every valid window. Incomplete rows take no part.
+    """``t_end``, ``mae`` and ``mean_pred`` of every valid window, or of those in ``only``.
 
-    Rows, draws and each level's splits are written to the shared folder: later levels read them,
+    Incomplete rows take no part. Rows, draws and each level's splits are written to the shared folder: later levels read them,
     and a lost executor costs the level it worked on.
     """
     spark = series.sparkSession
@@ -165,22 +187,43 @@ def walk_forward_forest_grouped(
     folder = fresh_folder(spark, "forests")
     tried = math.ceil(len(features) / 3)
 
-    binned = spark.read.parquet(write_snapshot(_binned(series, grid, features, label), f"{folder}/rows"))
+    binned = spark.read.parquet(write_snapshot(_binned(series, grid, features, label, only), f"{folder}/rows"))
     drawn = spark.read.parquet(write_snapshot(_drawn(binned, num_trees, seed), f"{folder}/drawn"))
+    # All a level does is within a tree, of at most ``window_size`` rows: one shuffle per level.
+    drawn = drawn.repartition(*TREE)
     at_level = drawn.withColumn("node", F.lit(1))
     for level in range(depth):
-        write_part(_best_splits(at_level, seed, tried), f"{folder}/splits", level)
-        trees = _trees(spark.read.parquet(f"{folder}/splits"))
-        following = _node_after(level + 1, "splits")
-        # Rows that stopped at a leaf have a smaller node number.
-        at_level = (
-            drawn.join(trees, list(TREE))
-            .selectExpr(*TREE, "bins", "w", "s", f"{following} AS node")
-            .filter(f"node >= {2 ** (level + 1)}")
-        )
+        write_part(_best_splits(at_level, level, seed, tried), f"{folder}/splits", level)
+        trees = _trees(spark.read.parquet(f"{folder}/splits"), level + 1)
+        routed = drawn.join(trees, list(TREE))
+        at_level = routed.selectExpr(*TREE, "w", "s", "bins", f"{_node_after(level + 1, 'splits')} AS node")
 
     leaf = f"try_element_at(m.leaves, {_node_after(depth, 'm.splits')})"
     predicted = f"aggregate(trees, 0D, (total, m) -> total + {leaf}) / size(trees) AS prediction"
     tests = binned.filter("NOT is_train").select("t_end", "bins", "y")
     scored = tests.join(_models(drawn, trees, depth), "t_end").selectExpr("t_end", "y", predicted)
     return error_by_window(scored)
+
+
+def evaluate_forest_grouped(
+    spark: SparkSession,
+    series_path: str,
+    metrics_path: str,
+    *,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    window_size: int = WINDOW_SIZE,
+    batch_size: int = BATCH_SIZE,
+    processed_at: Column | datetime.datetime | None = None,
+) -> DataFrame:
+    """Score every window that lacks a final score, store the scores as one part, return all."""
+    series = spark.read.parquet(series_path).select("t", *features, label)
+    grid = WindowGrid(series, window_size, batch_size)
+    pending = pending_windows(
+        complete_rows(series, [*features, label]), grid, read_parts(spark, metrics_path, ML_PERFORMANCE)
+    )
+    if not pending.isEmpty():
+        metrics = walk_forward_forest_grouped(series, features, label, window_size, batch_size, only=pending)
+        metrics = metrics.withColumn("complete", grid.is_complete(F.col("t_end")))
+        write_part(stamped(metrics, processed_at), metrics_path, next_part(spark, metrics_path), ["t_end"])
+    return stored_metrics(spark, metrics_path)
