@@ -16,7 +16,20 @@ def test_query_equals_its_sql(spark, name):
     assert spark_rows(spark, SMALL, name) == oracle_rows(SMALL, name)
 
 
-@pytest.mark.parametrize("name", ["request_features", "sales_stats", "request_log_replaced", "latest_state"])
+@pytest.mark.parametrize(
+    "name",
+    [
+        "latest_state",
+        "request_features",
+        "request_log_replaced",
+        "request_log_stream_upsert",
+        "retained_rows",
+        "sales_stats",
+        "seeded_state",
+        "stats_history",
+        "union_inputs",
+    ],
+)
 def test_results_do_not_depend_on_the_session_time_zone(spark, name):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidegauge.constants import RETENTION_MINUTES
 
@@ -22,7 +23,13 @@ def retained(
         now = df.agg(F.max(ts)).first()[0]
     if now is None:
         return df
-    return df.filter(F.col(ts) > F.lit(_oldest(now, minutes)).cast(df.schema[ts].dataType))
+    oldest = _oldest(now, minutes)
+    if df.schema[ts].dataType == TimestampNTZType():
+        # As text: a plain literal would be an instant, and shift with the session time zone.
+        bound = F.lit(oldest.isoformat(" ")).cast("timestamp_ntz")
+    else:
+        bound = F.lit(oldest)
+    return df.filter(F.col(ts) > bound)
 
 
 def _oldest(now: datetime.datetime, minutes: int) -> datetime.datetime:
