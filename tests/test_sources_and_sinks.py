@@ -116,7 +116,7 @@ def test_bounds_of_nothing_is_no_row(spark):
 
 def test_fallback_path_is_used_when_the_first_one_fails(spark, tmp_path):
     (tmp_path / "blocked").write_text("a file, not a folder")
-    table = literal_rows(spark, [("Hello", 1), ("World", 2), ("Airflow", 3), ("Spark", 4)], ["word", "count"])
+    table = literal_rows(spark, [("Hello", 1), ("World", 2), ("Tables", 3), ("Spark", 4)], ["word", "count"])
     used = write_with_fallback(table, [str(tmp_path / "blocked" / "t"), str(tmp_path / "open")])
     assert used == str(tmp_path / "open")
     assert scan_table(spark, used).count() == 4

@@ -76,6 +76,8 @@ def test_iso_text_there_and_back(spark):
     text = df.select(iso_text("ts").alias("text"), parse_iso(iso_text("ts")).alias("ts"))
     assert text.first()["text"] == "2024-03-10T02:30:00.123456"
     assert text.first()["ts"] == datetime.datetime(2024, 3, 10, 2, 30, 0, 123456)
+    zoned = spark.sql("SELECT '2026-03-01T12:00:00+00:00' AS x")
+    assert zoned.select(parse_iso("x")).first()[0] == datetime.datetime(2026, 3, 1, 12)
     assert spark.sql("SELECT 'no time' AS x").select(parse_iso("x")).first()[0] is None
 
 

@@ -208,6 +208,15 @@ def test_grouped_forest_without_any_split_predicts_the_mean(spark):
     assert [tuple(r) for r in walk_forward_forest_grouped(df, ["x"]).collect()] == [(100, 0.0, 5.0)]
 
 
+def test_grouped_forest_keeps_windows_that_no_tree_draws_from(spark):
+    """Every window trains on one row, and with one tree a third of them draw nothing."""
+    df = spark.range(60).selectExpr("id * 10 AS t", "CAST(id AS DOUBLE) AS x", "CAST(id AS DOUBLE) AS y")
+    got = walk_forward_forest_grouped(df, ["x"], window_size=10, batch_size=10, num_trees=1).collect()
+    assert {r["t_end"]: (r["mae"], r["mean_pred"]) for r in got} == {
+        10 * k: (1.0, k - 1.0) for k in range(1, 59)
+    }
+
+
 def test_grouped_forest_refuses_many_rows_per_time(spark):
     df = series(spark, range(160)).crossJoin(spark.range(3)).drop("id")
     with pytest.raises(Exception, match="more than one row per t"):

@@ -79,7 +79,7 @@ def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived and newly arrived records, and a place that does not exist."""
     records = sales(spark, sf_dir)
-    archived = F.col("ts") % 3 > 0
+    archived = F.coalesce(F.col("amount") < 50, F.lit(False))
     paths = [
         as_json(spark, records.filter(archived), "archive"),
         as_json(spark, records.filter(~archived), "success"),
@@ -97,10 +97,10 @@ def request_logs_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_log_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads of the request log. The second repeats a third of the hours with new targets."""
+    """Two loads of the request log. The second repeats eight hours of each day with new targets."""
     log = request_features(hourly_series(spark, sf_dir)).withColumn("timestamp", iso_text("timestamp"))
-    first = log.filter("t % 3 < 2").withColumn("y", F.col("y") + 1)
-    second = log.filter("t % 3 > 0")
+    first = log.filter("hour < 16").withColumn("y", F.col("y") + 1)
+    second = log.filter("hour >= 8")
     path = fresh_folder(spark, "request-logs")
     for part, rows in enumerate((first, second)):
         load_requests(spark, as_json(spark, rows, "request-log"), path, part)
@@ -188,7 +188,7 @@ WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 10081 MINUTE""",
     "request_logs_latest": _LATEST_SQL,
     "request_log_replaced": f"""WITH {LOG_SQL}
 SELECT "timestamp", t, hour, requests, round(size, 6) AS size,
-       CASE WHEN t % 3 = 0 THEN y + 1 ELSE y END AS y, round(drift_factor, 9) AS drift_factor
+       CASE WHEN hour < 8 THEN y + 1 ELSE y END AS y, round(drift_factor, 9) AS drift_factor
 FROM log""",
     "latest_state": f"WITH {_STATE_SQL} SELECT key, value, updated_at FROM state",
     "seeded_state": f"""WITH {_STATE_SQL},

@@ -74,12 +74,13 @@ def _binned(
         .groupBy("t_end")
         .agg(
             F.count(F.lit(1)).alias("n_train"),
+            F.avg("y").alias("train_mean"),
             *[F.percentile_approx(v, quantiles, 10_000).alias(f"cuts_{v}") for v in values],
         )
     )
     bins = ", ".join(f"size(filter(cuts_{v}, c -> c < {v}))" for v in values)
     checked = f"if(n_train <= {grid.window_size}, array({bins}), raise_error('more than one row per t')) AS bins"
-    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", checked, "y")
+    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", checked, "y", "train_mean")
 
 
 def _drawn(binned: DataFrame, num_trees: int, seed: int) -> DataFrame:
@@ -179,8 +180,8 @@ def walk_forward_forest_grouped(
 ) -> DataFrame:
     """``t_end``, ``mae`` and ``mean_pred`` of every valid window, or of those in ``only``.
 
-    Incomplete rows take no part. Rows, draws and each level's splits are written to the shared folder: later levels read them,
-    and a lost executor costs the level it worked on.
+    Incomplete rows take no part. Rows, draws and each level's splits are written to the shared
+    folder: later levels read them, and a lost executor costs the level it worked on.
     """
     spark = series.sparkSession
     grid = WindowGrid(series, window_size, batch_size)
@@ -199,10 +200,11 @@ def walk_forward_forest_grouped(
         at_level = routed.selectExpr(*TREE, "w", "s", "bins", f"{_node_after(level + 1, 'splits')} AS node")
 
     leaf = f"try_element_at(m.leaves, {_node_after(depth, 'm.splits')})"
-    predicted = f"aggregate(trees, 0D, (total, m) -> total + {leaf}) / size(trees) AS prediction"
-    tests = binned.filter("NOT is_train").select("t_end", "bins", "y")
-    scored = tests.join(_models(drawn, trees, depth), "t_end").selectExpr("t_end", "y", predicted)
-    return error_by_window(scored)
+    forest = f"aggregate(trees, 0D, (total, m) -> total + {leaf}) / size(trees)"
+    tests = binned.filter("NOT is_train").drop("is_train", "t")
+    # Of a window with a row or two, it can happen that no tree draws any; the mean is left then.
+    scored = tests.join(_models(drawn, trees, depth), "t_end", "left")
+    return error_by_window(scored.selectExpr("t_end", "y", f"coalesce({forest}, train_mean) AS prediction"))
 
 
 def evaluate_forest_grouped(

@@ -1,4 +1,4 @@
-"""One named schema per record type, as DDL text.
+"""One named schema per record type, as DDL text.
 
 Input records (``SALES``, ``REQUEST_LOG``) have one directory each; a directory
 never mixes record types, because a reader would turn foreign fields into nulls.
