@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_base: dict[str, str] = {}
-
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    A machine-local folder stands in only when the setting is absent and Spark itself
-    runs on this machine alone; on a cluster executors could not see it.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """The folder named by ``spark.checkpoint.dir``, or else the one given to ``setCheckpointDir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_base:
-        _local_base[app] = tempfile.mkdtemp(prefix="tidegauge-")
-    return _local_base[app]
+    return folder.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
