@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a vector operation sees at a time; longer texts form a slice of their own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
