@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.llm import exact_dedup
 from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.store import table
+from tidegauge.llm.substring_dedup import repeated_substrings
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_substrings(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
