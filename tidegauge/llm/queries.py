@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import exact_dedup
 from tidegauge.llm.near_dedup import near_duplicates
+from tidegauge.llm.packing import packed
 from tidegauge.llm.store import table
 from tidegauge.llm.substring_dedup import repeated_substrings
+from tidegauge.llm.token_files import token_files
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +27,17 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_substrings(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_token_id_output": op9_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
