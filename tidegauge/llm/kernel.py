@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a vector operation sees at a time; longer texts form a slice of their own.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -58,7 +58,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Texts]:
         low = high
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in order, in batches of about ``limit`` bytes of text."""
     for batch in batches:
         n, low = batch.num_rows, 0

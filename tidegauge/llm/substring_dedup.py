@@ -14,8 +14,7 @@ same key form one segment of text. Four passes, of which the input is read in th
 4. Units cover the bytes of windows whose smallest id is below the document's own.
 
 A passage in a third of all documents is one segment per unit, never one per document. Memory of a
-task is bounded by its input partition, and by its share of keys, whose number of shares is the
-number of shuffle partitions.
+task is bounded by its input partition, and by its share of keys: ``SHARES`` for each shuffle partition.
 """
 
 from __future__ import annotations
@@ -38,6 +37,8 @@ LENGTH = 50
 GRAM = 20
 #: Keys are compared by so many of their bits between documents; more only spares work.
 KEY_BITS = 48
+#: Shares of keys for each shuffle partition; a task takes them one at a time.
+SHARES = 4
 
 
 def _gram_values(sums: np.ndarray, n: int) -> np.ndarray:
@@ -138,7 +139,8 @@ def _send_keys(count: int):
                 most.append(np.maximum.reduceat(doc, at))
         if not keys:
             return
-        key, low, high = np.concatenate(keys), np.concatenate(least), np.concatenate(most)
+        key, low, high = (np.concatenate(x) for x in (keys, least, most))
+        keys, least, most = [], [], []
         order = np.argsort(key, kind="stable")
         key, at = key[order], _bounds(key[order])
         shared = np.minimum.reduceat(low[order], at) != np.maximum.reduceat(high[order], at)
@@ -368,7 +370,7 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     scan of files has; what is not a plain scan is stored first.
     """
     spark = docs.sparkSession
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = bounded(same_rows(docs.select("doc_id", "text")))
 
     asked = rows.mapInArrow(_send_keys(count), "share long, unit long, keys binary, shared binary")
