@@ -7,13 +7,13 @@
 3. Every class of a band's bucket is paired with the bucket's smallest: no more pairs than rows.
    Pairs are confirmed on the full sets, and confirmed ones give components.
 4. A bucket that still spans several components is searched further. Small ones give their pairs of
-   different components. In large ones a pair must also share one of its rarest shingles: at
-   least one of the first ``n - ceil(0.85 n) + 1``, counted from the rarest (prefix filter,
-   exact for any order). So groups of edited copies that are no near duplicates of each other
-   meet only where their rare parts meet, and all pairs of a group are never formed.
+   different components. Large ones, groups of edited copies that mostly are no near duplicates of
+   each other, are compared block by block on longer signatures within tasks, which give only
+   pairs that these allow to be linked. No group is gathered and no group's pairs are emitted.
 5. Components of all confirmed pairs.
 
-With 24 bands of 4 values a link at exactly 0.85 escapes all buckets with probability 2e-8.
+With 24 bands of 4 values a link at exactly 0.85 escapes all buckets with probability 2e-8. Signatures
+rule a pair out only at 6.5 standard deviations below 0.85. There is no cap on pairs or buckets.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidegauge.llm.components import components
 from tidegauge.llm.kernel import mix, pieces
@@ -36,12 +35,21 @@ from tidegauge.llm.store import bounded, id_filter, maybe_in, stored
 PERCENT = 85
 BANDS = 24
 BAND_VALUES = 4
-#: Buckets up to this many classes give their pairs directly; larger ones by rare shingles.
+#: Buckets up to this many classes give their pairs directly; larger ones are compared in blocks.
 SMALL_BUCKET = 32
+BLOCK = 512
+#: Values of the longer signature, of which one byte each is kept.
+LONG = 1024
 
 _FACTORS = (np.random.Generator(np.random.PCG64(85)).integers(0, 1 << 63, BANDS * BAND_VALUES // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-#: Signature bytes that agree in a link: 96 * 0.85 less 6.5 standard deviations.
-_LEAST_AGREEING = math.floor(BANDS * BAND_VALUES * PERCENT / 100 - 6.5 * math.sqrt(BANDS * BAND_VALUES * PERCENT / 100 * (1 - PERCENT / 100)))
+
+
+def _least(values: int) -> int:
+    """So many signature values agree in a link: 0.85 of them less 6.5 standard deviations."""
+    return math.floor(values * PERCENT / 100 - 6.5 * math.sqrt(values * PERCENT / 100 * (1 - PERCENT / 100)))
+
+
+_LEAST_AGREEING, _LEAST_LONG = _least(BANDS * BAND_VALUES), _least(LONG)
 
 _SIGNED = "doc_id long, n long, digest binary, bands array<long>, sketch binary"
 
@@ -116,28 +124,56 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     return stored(both.mapInArrow(_overlaps, "a long, b long").distinct(), "links")
 
 
-def _rare_pairs(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """Pairs of different components that share a shingle among the rarest of both."""
+def _long_sketches(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """``id`` and a signature of ``LONG`` bytes, for the classes named."""
+    factors = (np.random.Generator(np.random.PCG64(86)).integers(0, 1 << 63, LONG // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def run(batches):
         for batch in batches:
-            ids, sets = batch.column(0).to_numpy(), [np.frombuffer(s, np.int64) for s in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, [len(s) for s in sets])), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))], ["id", "shingle"])
-
-    rows = _sets_of(docs, members.select("id"), width).mapInArrow(run, "id long, shingle long")
-    rows = stored(rows, "shingles")
-    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    order = Window.partitionBy("id").orderBy("df", "shingle")
-    ranked = rows.join(counts, "shingle").withColumn("place", F.row_number().over(order))
-    rare = ranked.join(members, "id").where(f"place <= n - ceil({PERCENT} * n / 100) + 1 and df > 1").select("shingle", "id", "n", "label")
-    rare = stored(rare, "rare")
-    other = rare.select("shingle", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    return (
-        rare.join(other, "shingle")
-        .where(f"id < b and label != lb and 100 * least(n, nb) >= {PERCENT} * greatest(n, nb)")
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
-    )
+            sets = [np.frombuffer(s, np.uint64) for s in batch.column(1).to_pylist()]
+            rows = [i for i, s in enumerate(sets) if len(s)]
+            sketches = [(min_max([sets[i]], factors) & np.uint64(255)).astype(np.uint8).tobytes() for i in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sketches, pa.binary())], ["id", "long"])
+
+    return _sets_of(docs, members, width).mapInArrow(run, "id long, long binary").dropDuplicates(["id"])
+
+
+def _near_in_blocks(table: pa.Table) -> pa.Table:
+    """Pairs of two blocks of a bucket, or of one, that belong to different components and may be linked."""
+    left, right = table["left"][0].as_py(), table["right"][0].as_py()
+    own, ids = table["own"].to_numpy(), table["id"].to_numpy()
+    n, label = table["n"].to_numpy(), table["label"].to_numpy()
+    bands = np.array(table["bands"].to_pylist(), np.int64)
+    short = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+    long = np.frombuffer(b"".join(table["long"].to_pylist()), np.uint8).reshape(len(ids), -1)
+    band = table["band"][0].as_py()
+    one, two = np.flatnonzero(own == left), np.flatnonzero(own == right)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in one.tolist():
+        j = two[ids[two] > ids[i]] if left == right else two
+        j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))]
+        j = j[(short[j] == short[i]).sum(axis=1) >= _LEAST_AGREEING]
+        j = j[(long[j] == long[i]).sum(axis=1) >= _LEAST_LONG]
+        # A pair that meets in several bands is judged in the first.
+        j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
+        a.append(np.minimum(ids[i], ids[j]))
+        b.append(np.maximum(ids[i], ids[j]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _pairs_in_blocks(docs: DataFrame, classes: DataFrame, large: DataFrame, width: int) -> DataFrame:
+    """Pairs of different components within large buckets, as far as signatures of ``LONG`` values allow a link.
+
+    A bucket is cut into blocks of about ``BLOCK`` classes, and every two blocks are compared in a task
+    of their own, so a task holds two blocks whatever the size of the bucket. Only near pairs leave it.
+    """
+    members = stored(large.select("id").distinct(), "large")
+    long = stored(_long_sketches(docs, members, width), "sketches")
+    rows = large.join(classes.select("id", "bands", "sketch"), "id").join(long, "id")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("band", "value", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "id", "n", "label", "bands", "sketch", "long")
+    return rows.groupBy("band", "value", "left", "right").applyInArrow(_near_in_blocks, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -170,9 +206,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         .where(f"id < b and id != hub and label != lb and 100 * least(n, nb) >= {PERCENT} * greatest(n, nb)")
         .select(F.col("id").alias("a"), "b")
     )
-    large = stored(open_rows.where(F.col("size") > SMALL_BUCKET).select("id", "n", "label").distinct(), "large")
+    large = open_rows.where(F.col("size") > SMALL_BUCKET).select("band", "value", "size", "id", "n", "label")
     if not large.isEmpty():
-        pairs = pairs.union(_rare_pairs(docs, large, width))
+        pairs = pairs.union(_pairs_in_blocks(docs, classes, large, width))
     second = _confirmed(docs, classes, stored(pairs.distinct(), "pairs"), width)
 
     linked = first.union(second)
