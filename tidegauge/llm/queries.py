@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import exact_dedup
+from tidegauge.llm.language_model import language_model_scores
 from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.packing import packed
 from tidegauge.llm.store import table
@@ -35,7 +36,12 @@ def op9_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_lm_scoring": op6_lm_scoring,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_token_id_output": op9_token_id_output,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
