@@ -81,7 +81,7 @@ def _signatures(width: int):
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``id`` and its shingle set as bytes, for the documents named; the texts are read again for it."""
+    """``id`` and its shingle set as bytes, for the documents named, stored; the texts are read again for it."""
     shared = id_filter(wanted)
 
     def run(batches):
@@ -90,7 +90,9 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             sets = [s.tobytes() for s in shingle_sets(batch.column(1), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
 
-    return bounded(docs.select("doc_id", "text")).mapInArrow(run, "id long, shingles binary")
+    sets = stored(bounded(docs.select("doc_id", "text")).mapInArrow(run, "id long, shingles binary"), "sets")
+    shared.destroy()
+    return sets
 
 
 def _overlaps(batches):
@@ -118,7 +120,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int
     one, two = (sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
     pairs = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
     pairs = stored(pairs.select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long").distinct(), "candidates")
-    sets = stored(_sets_of(docs, pairs.select("a").union(pairs.select("b")), width), "sets")
+    sets = _sets_of(docs, pairs.select("a").union(pairs.select("b")), width)
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     both = both.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y")
     return stored(both.mapInArrow(_overlaps, "a long, b long").distinct(), "links")

@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Rows that Spark hands to Python at once, so that long texts don't add up in a worker.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 
 
 def bounded(df: DataFrame) -> DataFrame:
