@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.llm import exact_dedup
+from tidegauge.llm.decontamination import contamination
 from tidegauge.llm.language_model import language_model_scores
+from tidegauge.llm.licenses import license_scan
 from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.packing import packed
+from tidegauge.llm.quality import quality_scores
 from tidegauge.llm.store import table
 from tidegauge.llm.substring_dedup import repeated_substrings
 from tidegauge.llm.token_files import token_files
@@ -40,7 +43,22 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(table(spark, sf_dir, "documents"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op10_license_scan": op10_license_scan,
+    "op1_quality_classifier": op1_quality_classifier,
     "op6_lm_scoring": op6_lm_scoring,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_token_id_output": op9_token_id_output,
