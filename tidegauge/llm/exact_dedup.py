@@ -24,39 +24,47 @@ def normalised(text) -> F.Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` for every row of ``docs(doc_id, text)``.
-
-    ``kept`` holds for exactly one row of each group, one with the smallest id. Null, empty and
-    all-white texts are texts like others. A null id counts as larger than any other; a group of
-    such rows alone has no ``keep_id`` and keeps one row. Of rows with equal id and text one is
-    kept. Other columns are not read. An empty table gives an empty result.
-    """
+def _sorted_out(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Every row with its place in its stretch of equal texts, stored; and what each stretch knows of its group."""
     lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", normalised(F.col("text")).alias("norm")).select(
+    rows = docs.select(
+        *(F.col(f"`{c}`").alias(f"own_{c}") for c in carried),
         "doc_id",
-        "norm",
+        normalised(F.col("text")).alias("norm"),
+    ).select(
+        "*",
         F.substring("norm", 1, HEAD).alias("head"),
         F.xxhash64("norm").alias("hash"),
         F.pmod(F.xxhash64("doc_id"), F.lit(lots)).cast("int").alias("lot"),
     )
     stretch = Window.partitionBy("head", "hash", "lot", "norm")
-    # Every row of the stretch is in the frame, so the counts need no second look at the rows.
-    whole = stretch.orderBy(F.col("doc_id").asc_nulls_last())
     seen = rows.repartitionByRange("head", "hash", "lot").select(
+        *(f"own_{c}" for c in carried),
         "doc_id",
         "lot",
         F.unhex(F.sha2("norm", 256)).alias("digest"),
-        F.row_number().over(whole).alias("place"),
+        F.row_number().over(stretch.orderBy(F.col("doc_id").asc_nulls_last())).alias("place"),
         F.min("doc_id").over(stretch).alias("least"),
         F.count(F.lit(1)).over(stretch).alias("size"),
     )
-    seen = stored(seen, "texts")
+    # With whole rows only the first of a stretch can stay.
+    seen = stored(seen.where("place = 1") if carried else seen, "texts")
     heads = seen.where("place = 1").select("digest", "lot", "least", "size")
     groups = heads.groupBy("digest").agg(
         F.min(F.struct(F.col("least").isNull().alias("none"), "least", "lot")).alias("first"), F.sum("size").alias("group_size")
     )
-    heads = heads.select("digest", "lot").join(groups, "digest")
+    return seen, heads.select("digest", "lot").join(groups, "digest")
+
+
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256`` for every row of ``docs(doc_id, text)``.
+
+    ``kept`` holds for exactly one row of each group, one with the smallest id. Null, empty and
+    all-white texts are texts like others. A null id counts as larger than any other; a group of
+    such rows alone has no ``keep_id`` and keeps one row. Of rows with equal id and text one is
+    kept. Other columns are not read. An empty table gives an empty result.
+    """
+    seen, heads = _sorted_out(docs, [])
     return seen.join(heads, ["digest", "lot"]).select(
         "doc_id",
         F.col("first.least").alias("keep_id"),
@@ -66,6 +74,16 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def first_of_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that `exact_duplicates` keeps, with all their columns.
+
+    The rows are sorted whole, so one row of each group is left even where ids repeat or are null.
+    """
+    seen, heads = _sorted_out(docs, docs.columns)
+    stay = heads.where("first.lot = lot").select("digest", "lot")
+    return seen.join(stay, ["digest", "lot"], "left_semi").select(*(F.col(f"own_{c}").alias(c) for c in docs.columns))
+
+
 SQL = r"""
 WITH texts AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents

@@ -12,8 +12,9 @@
    pairs that these allow to be linked. No group is gathered and no group's pairs are emitted.
 5. Components of all confirmed pairs.
 
-With 24 bands of 4 values a link at exactly 0.85 escapes all buckets with probability 2e-8. Signatures
-rule a pair out only at 6.5 standard deviations below 0.85. There is no cap on pairs or buckets.
+With 32 bands of 4 values a link at exactly 0.8 escapes all buckets with probability 5e-8, at 0.85 6e-11.
+Signatures rule a pair out only at 6.5 standard deviations below the threshold. There is no cap on
+pairs or buckets.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from tidegauge.llm.kernel import mix, pieces
 from tidegauge.llm.shingles import WIDTH, min_max, shingle_sets
 from tidegauge.llm.store import bounded, id_filter, maybe_in, stored
 
-#: Similarity in percent: linked if 100 * intersection >= PERCENT * union.
-PERCENT = 85
-BANDS = 24
+#: Similarity in percent unless another is asked for: linked if 100 * intersection >= percent * union.
+PERCENT = 80
+BANDS = 32
 BAND_VALUES = 4
 #: Buckets up to this many classes give their pairs directly; larger ones are compared in blocks.
 SMALL_BUCKET = 32
@@ -44,13 +45,12 @@ LONG = 1024
 _FACTORS = (np.random.Generator(np.random.PCG64(85)).integers(0, 1 << 63, BANDS * BAND_VALUES // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
-def _least(values: int) -> int:
-    """So many signature values agree in a link: 0.85 of them less 6.5 standard deviations."""
-    return math.floor(values * PERCENT / 100 - 6.5 * math.sqrt(values * PERCENT / 100 * (1 - PERCENT / 100)))
+def _least(values: int, percent: int) -> int:
+    """So many of a signature's values agree in a link: the threshold's share less 6.5 standard deviations."""
+    share = percent / 100
+    return math.floor(values * share - 6.5 * math.sqrt(values * share * (1 - share)))
 
 
-_LEAST_AGREEING, _LEAST_LONG = _least(BANDS * BAND_VALUES), _least(LONG)
-
 _SIGNED = "doc_id long, n long, digest binary, bands array<long>, sketch binary"
 
 
@@ -95,35 +95,43 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return sets
 
 
-def _overlaps(batches):
-    for batch in batches:
-        a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-        keep = []
-        for i in range(len(a)):
-            one, two = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
-            shared = len(np.intersect1d(one, two, assume_unique=True))
-            if 100 * shared >= PERCENT * (len(one) + len(two) - shared):
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
+def _overlaps(percent: int):
+    def run(batches):
+        for batch in batches:
+            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
+            keep = []
+            for i in range(len(a)):
+                one, two = np.frombuffer(x[i], np.uint64), np.frombuffer(y[i], np.uint64)
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * shared >= percent * (len(one) + len(two) - shared):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
+
+    return run
 
 
-def _alike(batches):
+def _alike(percent: int):
     """Pairs whose signatures agree in enough places to be linked at all."""
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * BAND_VALUES) for i in (2, 3))
-        yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= _LEAST_AGREEING))
+    least = _least(BANDS * BAND_VALUES, percent)
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BANDS * BAND_VALUES) for i in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
+
+    return run
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
     """Those of the pairs ``a``, ``b`` that are linked, by their full sets."""
     sketches = classes.select("id", "sketch", "n")
     one, two = (sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
-    pairs = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
-    pairs = stored(pairs.select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long").distinct(), "candidates")
+    pairs = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    pairs = stored(pairs.select("a", "b", "sa", "sb").mapInArrow(_alike(percent), "a long, b long").distinct(), "candidates")
     sets = _sets_of(docs, pairs.select("a").union(pairs.select("b")), width)
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     both = both.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(_overlaps, "a long, b long").distinct(), "links")
+    return stored(both.mapInArrow(_overlaps(percent), "a long, b long").distinct(), "links")
 
 
 def _long_sketches(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
@@ -140,7 +148,7 @@ def _long_sketches(docs: DataFrame, members: DataFrame, width: int) -> DataFrame
     return _sets_of(docs, members, width).mapInArrow(run, "id long, long binary").dropDuplicates(["id"])
 
 
-def _near_in_blocks(table: pa.Table) -> pa.Table:
+def _near_in_blocks(table: pa.Table, percent: int) -> pa.Table:
     """Pairs of two blocks of a bucket, or of one, that belong to different components and may be linked."""
     left, right = table["left"][0].as_py(), table["right"][0].as_py()
     own, ids = table["own"].to_numpy(), table["id"].to_numpy()
@@ -150,12 +158,13 @@ def _near_in_blocks(table: pa.Table) -> pa.Table:
     long = np.frombuffer(b"".join(table["long"].to_pylist()), np.uint8).reshape(len(ids), -1)
     band = table["band"][0].as_py()
     one, two = np.flatnonzero(own == left), np.flatnonzero(own == right)
+    least, least_long = _least(BANDS * BAND_VALUES, percent), _least(LONG, percent)
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in one.tolist():
         j = two[ids[two] > ids[i]] if left == right else two
-        j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i]))]
-        j = j[(short[j] == short[i]).sum(axis=1) >= _LEAST_AGREEING]
-        j = j[(long[j] == long[i]).sum(axis=1) >= _LEAST_LONG]
+        j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        j = j[(short[j] == short[i]).sum(axis=1) >= least]
+        j = j[(long[j] == long[i]).sum(axis=1) >= least_long]
         # A pair that meets in several bands is judged in the first.
         j = j[(bands[j] == bands[i]).argmax(axis=1) == band]
         a.append(np.minimum(ids[i], ids[j]))
@@ -163,7 +172,7 @@ def _near_in_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
-def _pairs_in_blocks(docs: DataFrame, classes: DataFrame, large: DataFrame, width: int) -> DataFrame:
+def _pairs_in_blocks(docs: DataFrame, classes: DataFrame, large: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs of different components within large buckets, as far as signatures of ``LONG`` values allow a link.
 
     A bucket is cut into blocks of about ``BLOCK`` classes, and every two blocks are compared in a task
@@ -175,10 +184,10 @@ def _pairs_in_blocks(docs: DataFrame, classes: DataFrame, large: DataFrame, widt
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select("band", "value", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "id", "n", "label", "bands", "sketch", "long")
-    return rows.groupBy("band", "value", "left", "right").applyInArrow(_near_in_blocks, "a long, b long").distinct()
+    return rows.groupBy("band", "value", "left", "right").applyInArrow(lambda table: _near_in_blocks(table, percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs(doc_id, text)``.
 
     Texts without words, empty and null ones have no shingles, are linked with nothing and are kept.
@@ -194,7 +203,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     members = classes.select("id", "n", F.posexplode("bands").alias("band", "value"))
     buckets = stored(members.groupBy("band", "value").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     members = stored(members.join(buckets, ["band", "value"]), "members")
-    first = _confirmed(docs, classes, members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), width)
+    first = _confirmed(docs, classes, members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), percent, width)
     labels = stored(components(first), "labels")
 
     labelled = members.where("size > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -205,13 +214,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     other = small.select("band", "value", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
     pairs = (
         small.join(other, ["band", "value"])
-        .where(f"id < b and id != hub and label != lb and 100 * least(n, nb) >= {PERCENT} * greatest(n, nb)")
+        .where(f"id < b and id != hub and label != lb and 100 * least(n, nb) >= {percent} * greatest(n, nb)")
         .select(F.col("id").alias("a"), "b")
     )
     large = open_rows.where(F.col("size") > SMALL_BUCKET).select("band", "value", "size", "id", "n", "label")
     if not large.isEmpty():
-        pairs = pairs.union(_pairs_in_blocks(docs, classes, large, width))
-    second = _confirmed(docs, classes, stored(pairs.distinct(), "pairs"), width)
+        pairs = pairs.union(_pairs_in_blocks(docs, classes, large, percent, width))
+    second = _confirmed(docs, classes, stored(pairs.distinct(), "pairs"), percent, width)
 
     linked = first.union(second)
     labels = stored(components(linked), "labels")

@@ -155,6 +155,17 @@ def fitted(rows: DataFrame) -> Model:
     return model
 
 
+def _fold() -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def _learnt(known: DataFrame, labels: DataFrame) -> Model:
+    """The model of all labelled rows outside the held-out fold, from their stored statistics."""
+    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("label"))
+    rows = known.where(_fold() % FOLDS != 0).join(marks, "doc_id").select("statistics", "label", (F.floor(_fold() / FOLDS) % 2).cast("int").alias("fold"))
+    return fitted(stored(rows, "labelled"))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row of ``docs(doc_id, text)``.
 
@@ -164,11 +175,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     has their mean; null labels are ignored. Without any label all scores are 0.5. Rows that repeat
     are scored each. Other columns are not read. An empty table gives an empty result.
     """
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     known = document_statistics(docs)
-    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("label"))
-    rows = known.where(fold % FOLDS != 0).join(marks, "doc_id").select("statistics", "label", (F.floor(fold / FOLDS) % 2).cast("int").alias("fold"))
-    model = fitted(stored(rows, "labelled"))
+    model = _learnt(known, labels)
 
     def run(batches):
         for batch in batches:
@@ -177,5 +185,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"]
             )
 
-    marked = known.withColumn("held_out", F.coalesce(fold % FOLDS == 0, F.lit(False)))
+    marked = known.withColumn("held_out", F.coalesce(_fold() % FOLDS == 0, F.lit(False)))
     return marked.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score at least ``THRESHOLD``, with all their columns.
+
+    Learns as `quality_scores` does. The texts are read a second time and judged where they are, so
+    that they need no shuffle and rows without an id or with a repeated one are judged each.
+    """
+    model = _learnt(document_statistics(docs), labels)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in pieces(batches, place):
+            score = model.score(model.features(statistics(batch.column(place)).astype(np.float32)) @ model.weights)
+            yield batch.filter(pa.array(score >= THRESHOLD))
+
+    return bounded(docs).mapInArrow(run, docs.schema)

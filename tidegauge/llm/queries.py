@@ -11,6 +11,7 @@ from tidegauge.llm.language_model import language_model_scores
 from tidegauge.llm.licenses import license_scan
 from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.packing import packed
+from tidegauge.llm.pii import personal_data
 from tidegauge.llm.quality import quality_scores
 from tidegauge.llm.store import table
 from tidegauge.llm.substring_dedup import repeated_substrings
@@ -20,7 +21,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_substrings(table(spark, sf_dir, "documents"))
+    return repeated_substrings(table(spark, sf_dir, "documents"), plain_scan=True)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +56,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_pii": op2_pii,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op10_license_scan": op10_license_scan,
     "op1_quality_classifier": op1_quality_classifier,

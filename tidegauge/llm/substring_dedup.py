@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.files import read_unit
 from tidegauge.llm.kernel import Texts, mix, pieces, prefix_sums, ranges, segment_hashes, slices
-from tidegauge.llm.scan import same_rows
-from tidegauge.llm.store import bounded
+from tidegauge.llm.store import bounded, stored
 from tidegauge.scratch import fresh_folder
 
 LENGTH = 50
@@ -358,7 +357,7 @@ def _cover(replies: str):
     return run
 
 
-def repeated_substrings(docs: DataFrame) -> DataFrame:
+def repeated_substrings(docs: DataFrame, plain_scan: bool = False) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` for every row of ``docs(doc_id, text)``.
 
     A byte is removed if a ``LENGTH``-byte string over it also starts in a document with a smaller
@@ -366,12 +365,14 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     nothing and are matched by none; rows that share an id never remove each other's text. Other
     columns are not read. An empty table gives an empty result.
 
-    The frame is read three times and must have the same rows in the same partitions each time, as a
-    scan of files has; what is not a plain scan is stored first.
+    The rows are read three times and must be in the same partitions each time. A scan of files, perhaps
+    with columns chosen or rows filtered, is: it packs files by name and size alone, also when it is
+    repeated after an executor is lost. Say ``plain_scan`` for such a frame; others are stored first.
     """
     spark = docs.sparkSession
     count = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = bounded(same_rows(docs.select("doc_id", "text")))
+    rows = docs.select("doc_id", "text")
+    rows = bounded(rows if plain_scan else stored(rows, "rows"))
 
     asked = rows.mapInArrow(_send_keys(count), "share long, unit long, keys binary, shared binary")
     found = asked.groupBy("share").applyInArrow(_repeated_keys, "unit long, keys binary")
