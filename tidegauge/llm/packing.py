@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 from tidegauge.llm.kernel import pieces as cut_batches
 from tidegauge.llm.kernel import slices
 from tidegauge.llm.store import bounded, stored
-from tidegauge.llm.tokens import Encoder
+from tidegauge.llm.tokens import encoder_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -35,7 +35,7 @@ END_ID = 1
 def _tokenised(tokenizer: str, capacity: int, end_id: int):
     def run(batches):
         task = TaskContext.get().partitionId()
-        encoder, seen = Encoder(tokenizer), np.zeros(capacity + 1, np.int64)
+        encoder, seen = encoder_of(tokenizer), np.zeros(capacity + 1, np.int64)
         for batch in cut_batches(batches, 1):
             columns: dict[str, list] = {k: [] for k in ("row", "piece", "start", "length", "ids_crc32")}
             for texts in slices(batch.column(1)):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.files import opened, write_file
 from tidegauge.llm.kernel import pieces, slices
 from tidegauge.llm.store import bounded
-from tidegauge.llm.tokens import Encoder
+from tidegauge.llm.tokens import encoder_of
 from tidegauge.scratch import fresh_folder
 
 MAGIC = b"TGTOK001"
@@ -43,7 +43,7 @@ END_ID = 2
 def trained_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A dictionary for serialised id arrays; empty if there is too little to learn from."""
     sample = docs.select("doc_id", F.substring("text", 1, TRAIN_CHARS).alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    encoder = Encoder(tokenizer)
+    encoder = encoder_of(tokenizer)
     samples = []
     for texts in slices(sample.toArrow()["text"].combine_chunks()):
         ids, counts = encoder.encode(texts)
@@ -57,7 +57,7 @@ def trained_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
 def _writer(folder: str, tokenizer: str, end_id: int, dictionary: bytes):
     def run(batches):
         shard = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         width = 2 if max(len(encoder.closes) - 1, end_id) < 1 << 16 else 4
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         doc_ids, known, counts, sizes = [], [], [], []

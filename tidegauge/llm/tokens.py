@@ -1,20 +1,24 @@
-"""Token ids of whole texts, encoding each distinct piece of text once per task.
+"""Token ids of whole texts, encoding each distinct piece of text once per worker.
 
 The tokenizer treats white space and changes between letters and other characters as borders, so a
 text's ids are those of its pieces, end to end. Pieces are found and hashed for all texts of a slice
-at once; only pieces not seen before go to the tokenizer.
+at once; only pieces not seen before go to the tokenizer. A worker keeps what it has learnt for its
+next task, up to a bound.
 """
 
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
 from tidegauge.llm.kernel import LOWER, SPACE, Texts, prefix_sums, ranges, segment_hashes, words_of
 
-#: Distinct pieces a task remembers before it starts anew.
-MEMORY = 500_000
+#: Distinct pieces a worker remembers before it starts anew; about 50 bytes each.
+MEMORY = 1_500_000
+#: New pieces are kept apart up to this number, as sorting them in is a pass over all.
+RECENT = 60_000
 
 _KIND = np.full(256, 2, np.uint8)  # 1: ASCII letter, 2: other ASCII, 3: part of another character
 _KIND[65:91] = _KIND[97:123] = 1
@@ -60,8 +64,40 @@ def piece_bounds(texts: Texts, unsplit: list[bytes]) -> tuple[np.ndarray, np.nda
     return np.sort(np.concatenate((words.starts, at))), np.sort(np.concatenate((words.ends, at)))
 
 
+class _Growing:
+    """An array to which values are added at the end."""
+
+    def __init__(self, kind) -> None:
+        self.n, self.space = 0, np.zeros(1024, kind)
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.space):
+            self.space = np.concatenate((self.space[: self.n], np.zeros(self.n + 2 * len(values), self.space.dtype)))
+        self.space[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class _Numbers:
+    """Hashes in ascending order with the number of each."""
+
+    def __init__(self) -> None:
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        keys, values = np.concatenate((self.keys, keys)), np.concatenate((self.values, values))
+        order = np.argsort(keys, kind="stable")  # fast on what is sorted in two parts
+        self.keys, self.values = keys[order], values[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each hash, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], -1)
+
+
 class Encoder:
-    """The tokenizer of one task."""
+    """A tokenizer and the pieces it has seen."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
@@ -75,9 +111,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # of known pieces, ascending, with the place of their ids
-        self.starts = self.counts = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.known, self.recent = _Numbers(), _Numbers()
+        self.starts, self.counts, self.ids = _Growing(np.int64), _Growing(np.int64), _Growing(np.uint32)
 
     def _one_by_one(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast([data[a:b].tobytes().decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], add_special_tokens=False)
@@ -107,12 +142,19 @@ class Encoder:
         for rows, encode in ((np.flatnonzero(plain), self._letters), (np.flatnonzero(~plain), self._one_by_one)):
             if len(rows):
                 ids, counts = encode(data, starts[rows], ends[rows])
-                self.keys = np.concatenate((self.keys, keys[rows]))
-                self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(counts) - counts))
-                self.counts = np.concatenate((self.counts, counts))
-                self.ids = np.concatenate((self.ids, ids))
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.starts, self.counts = self.keys[order], self.starts[order], self.counts[order]
+                self.recent.add(keys[rows], np.arange(self.counts.n, self.counts.n + len(rows)))
+                self.starts.add(self.ids.n + np.cumsum(counts) - counts)
+                self.counts.add(counts)
+                self.ids.add(ids)
+        if len(self.recent.keys) > RECENT:
+            self.known.add(self.recent.keys, self.recent.values)
+            self.recent = _Numbers()
+
+    def _numbers(self, keys: np.ndarray) -> np.ndarray:
+        found = self.known.find(keys)
+        rest = np.flatnonzero(found < 0)
+        found[rest] = self.recent.find(keys[rest])
+        return found
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of the slice end to end, and how many each text has."""
@@ -123,14 +165,22 @@ class Encoder:
         new[1:] = hashes[order[1:]] != hashes[order[:-1]]
         first = order[new]
         keys = hashes[first]
-        if len(self.keys) + len(keys) > MEMORY:
+        if self.counts.n + len(keys) > MEMORY:
             self.forget()
-        unknown = ~np.isin(keys, self.keys, assume_unique=True)
+        found = self._numbers(keys)
+        unknown = found < 0
         if unknown.any():
             self._learn(texts.data, keys[unknown], starts[first[unknown]], ends[first[unknown]])
+            found[unknown] = self._numbers(keys[unknown])
         number = np.empty(len(hashes), np.int64)
-        number[order] = np.searchsorted(self.keys, keys)[np.cumsum(new) - 1]
-        counts = self.counts[number]
-        ids = self.ids[ranges(self.starts[number], counts)]
+        number[order] = found[np.cumsum(new) - 1]
+        counts = self.counts.space[number]
+        ids = self.ids.space[ranges(self.starts.space[number], counts)]
         sums = np.concatenate(([0], np.cumsum(counts)))
         return ids, sums[np.searchsorted(starts, texts.ends)] - sums[np.searchsorted(starts, texts.starts)]
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder for this tokenizer, with what earlier tasks have taught it."""
+    return Encoder(path)
