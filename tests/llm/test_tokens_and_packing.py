@@ -41,6 +41,7 @@ def encoded(encoder, texts, limit):
 @pytest.mark.parametrize("memory", [50, 500_000])
 def test_ids_are_those_of_the_library(memory, monkeypatch):
     monkeypatch.setattr("tidegauge.llm.tokens.MEMORY", memory)
+    monkeypatch.setattr("tidegauge.llm.tokens.RECENT", memory // 100)
     r = random.Random(1)
     letters = "aZé×'s.,<|> \n1²٣é≠—Σíñll'd́한"
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(3000)]
