@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,6 +27,11 @@ def timed(spark: SparkSession, name: str) -> float:
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as folder:
+        measure(folder)
+
+
+def measure(folder: str) -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("bench")
@@ -34,6 +40,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", folder)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -40,8 +40,8 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, name):
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == QUERIES.keys()
-    assert contract.oracle_sql().keys() <= QUERIES.keys()
+    assert QUERIES.keys() == ORACLES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
     metrics = contract.entry(spark)
-    assert metrics.columns == ["t_end", "mae", "mean_pred"]
+    assert metrics.columns == ["t_end", "n_train", "n_test", "complete", "within_range"]
     assert metrics.count() == contract.queries()["walk_forward_linear"](spark, SMALL).count()

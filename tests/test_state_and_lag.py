@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime
 import random
 
+import duckdb
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -12,7 +14,8 @@ from tidegauge.operators.latest import absent_from, compact, latest_rows, read_r
 from tidegauge.operators.retention import retained
 from tidegauge.operators.state import latest_state, seeded
 from tidegauge.operators.trend import newest_totals, trend_line
-from tidegauge.plans.requests import LOG_KEY, stored_log
+from tidegauge.operators.aggregates import totals
+from tidegauge.plans.requests import LOG_KEY, binned_series, stored_log
 from tidegauge.plans.sales import sales_trend
 from tidegauge.schemas import METADATA, REQUEST_LOG, REQUEST_LOGS, SALES_STATS
 from tidegauge.sinks import write_part
@@ -57,6 +60,32 @@ def test_lag_keeps_a_null_value_and_separates_series(spark):
     }
 
 
+def test_lag_of_rows_without_time_or_key_equals_duckdb(spark):
+    rows = [("a", 1, 1.0), ("a", 2, None), ("a", None, 5.0), (None, 3, 7.0), (None, 40, 8.0), ("b", None, 9.0)]
+    got = with_lag(spark.createDataFrame(rows, "k STRING, t BIGINT, y DOUBLE"), "y", 0.0, keys=["k"], stretch=10)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE s (k VARCHAR, t BIGINT, y DOUBLE)")
+    con.executemany("INSERT INTO s VALUES (?, ?, ?)", rows)
+    want = con.execute(
+        "SELECT k, t, y, CASE WHEN row_number() OVER w = 1 THEN 0.0 ELSE lag(y) OVER w END AS y_lag1 "
+        "FROM s WINDOW w AS (PARTITION BY k ORDER BY t NULLS LAST)"
+    ).fetchall()
+    assert sorted(map(repr, map(tuple, got.select("k", "t", "y", "y_lag1").collect()))) == sorted(map(repr, want))
+
+
+def test_a_request_without_a_value_is_a_request(spark):
+    rows = [(NOON, 2.0), (NOON, None), (NOON.replace(hour=13), None), (None, 1.0)]
+    got = binned_series(spark.createDataFrame(rows, "ts TIMESTAMP_NTZ, value DOUBLE"), "ts", "value", scale=2)
+    assert {(r["requests"], r["size"], r["y"]) for r in got.collect()} == {(2, 1.0, 2.0), (1, None, None), (1, 1.0, 1.0)}
+
+
+def test_values_finer_than_the_scale_are_an_error(spark):
+    df = spark.createDataFrame([("a", 1.25), ("a", 1.005)], "item STRING, amount DOUBLE")
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        totals(df, scale=2).collect()
+    assert totals(df, scale=3).first()["total_amount"] == 2.255
+
+
 def test_epoch_units_round_down_on_both_sides_of_the_epoch(spark):
     df = spark.sql(
         "SELECT timestamp_ntz'1969-12-31 23:59:59.5' AS ts UNION ALL SELECT timestamp_ntz'1970-01-02 01:02:03.9'"

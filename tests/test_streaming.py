@@ -2,14 +2,16 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from tidegauge import jobs
 from tidegauge.operators.aggregates import totals
 from tidegauge.operators.latest import read_parts, read_replacing
 from tidegauge.operators.words import lines_of, word_counts
 from tidegauge.plans.requests import LOG_KEY
-from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES, SALES_STATS
+from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES, SALES_STATS, WORD_COUNT
 from tidegauge.sources import stream_json_lines
-from tidegauge.streaming import console_word_count, running_word_count, stream_log, stream_totals
+from tidegauge.streaming import console_word_count, read_counts, running_word_count, stream_log, stream_totals
 
 TEXTS = ["a  b", "", " c ", "b a\nb"]
 
@@ -43,12 +45,30 @@ def test_stream_of_three_batches_equals_the_batch_count_and_reruns(spark, tmp_pa
         return query
 
     assert len(run().recentProgress) >= 3
-    assert counted(spark.read.parquet(table)) == batch_count(spark, TEXTS[:3])
+    assert counted(read_counts(spark, table)) == batch_count(spark, TEXTS[:3])
     run()
-    assert counted(spark.read.parquet(table)) == batch_count(spark, TEXTS[:3])
+    assert counted(read_counts(spark, table)) == batch_count(spark, TEXTS[:3])
     put(source, "3.txt", [TEXTS[3]])
     run()
-    assert counted(spark.read.parquet(table)) == batch_count(spark, TEXTS)
+    assert counted(read_counts(spark, table)) == batch_count(spark, TEXTS)
+    # The last batch wrote only the words it changed.
+    parts = read_parts(spark, table, WORD_COUNT)
+    last = parts.agg({"part": "max"}).first()[0]
+    assert {r["word"] for r in parts.filter(f"part = {last}").collect()} <= {"a", "b"}
+
+
+def test_carriage_returns_nulls_and_a_batch_run_again(spark, tmp_path):
+    texts = ["a\rb", None, "c\r", "a b"]
+    source, table = tmp_path / "in", str(tmp_path / "t")
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    df.where("value IS NOT NULL").coalesce(1).write.option("lineSep", "\n").text(str(source))
+    running_word_count(spark, str(source), table, str(tmp_path / "c"), partitions=2).awaitTermination()
+    want = batch_count(spark, texts)
+    assert want == {"a\rb": 1, "c\r": 1, "a": 1, "b": 1}
+    assert counted(read_counts(spark, table)) == want
+    # A batch that is run again, as after a crash before its commit, writes its own part anew.
+    running_word_count(spark, str(source), table, str(tmp_path / "c2"), partitions=2).awaitTermination()
+    assert counted(read_counts(spark, table)) == want
 
 
 def test_restart_empties_the_table_and_settings_survive(spark, tmp_path):
@@ -59,7 +79,7 @@ def test_restart_empties_the_table_and_settings_survive(spark, tmp_path):
         running_word_count(
             spark, str(source), table, str(tmp_path / f"c{run}"), partitions=2, restart=True
         ).awaitTermination()
-        assert counted(spark.read.parquet(table)) == {"a": 1}
+        assert counted(read_counts(spark, table)) == {"a": 1}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
@@ -113,6 +133,19 @@ def test_archived_source_files_are_not_loaded_again(spark, tmp_path):
     assert list(archive.rglob("*.json"))
 
 
+def test_a_stream_keeps_its_rejects(spark, tmp_path):
+    source, table, rejects = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "r")
+    bad = [log_line(7, 1.0).replace("2024-05-01T12", "01/05/2024 12"), log_line(8, 1.0)[:-3], log_line(9, 1.0).replace('"2024-05-01T12:00:00"', "null")]
+    put(source, "0.json", [log_line(t, 1.0) for t in range(5)] + bad)
+    lines = stream_json_lines(spark, str(source), REQUEST_LOG).lines
+    stream_log(lines, table, str(tmp_path / "c"), rejects=rejects).awaitTermination()
+    stored = read_replacing(spark, table, REQUEST_LOGS, LOG_KEY)
+    assert sorted(r["t"] for r in stored.collect()) == [*range(5)]
+    kept = [r["value"] for r in spark.read.text(rejects).collect()]
+    assert len(kept) == 3 and {json.loads(k)["t"] for k in kept if k.endswith("}")} == {7, 9}
+    assert bad[1] in kept
+
+
 def log_line(t, y):
     record = dict(timestamp="2024-05-01T12:00:00", t=t, hour=12, requests=50, size=100.0, y=y, y_lag1=0.0, drift_factor=0.1)
     return json.dumps(record)
@@ -149,11 +182,17 @@ def test_jobs_run_from_the_command_line(spark, tmp_path, capsys):
     jobs.main(["load-requests", "--source", at("log"), "--table", at("logs"), "--checkpoint", at("c3")])
     jobs.main(["compact-requests", "--table", at("logs"), "--target", at("merged")])
     jobs.main(["evaluate-drift", "--source", at("log"), "--series", at("series"), "--metrics", at("metrics"), "--checkpoint", at("c4")])
-    jobs.main(["retain-sales", "--source", at("sales"), "--table", at("kept")])
+    put(tmp_path / "sales", "1.json", ["BROKEN"])
+    jobs.main(["retain-files", "--source", at("sales"), "--target", at("kept")])
+    assert spark.read.text(at("kept")).count() == 4
+    jobs.main(["evaluate-drift", "--series", at("no-series"), "--metrics", at("no-metrics")])
+    assert "no series" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        jobs.main(["evaluate-drift", "--source", at("log"), "--series", at("series"), "--metrics", at("metrics")])
     read = lambda name: spark.read.parquet(at(name))
     assert {r["item"]: r["total_amount"] for r in read("stats").collect()} == {"mouse": 110.0, "screen": 100.0}
-    assert read("stream").count() == 2 and read("models").count() == 1 and read("kept").count() == 3
+    assert read("stream").count() == 2 and read("models").count() == 1
     assert read("total").first()[0] == 210
-    assert counted(read("counts")) == {"a": 2, "b": 1}
+    assert counted(read_counts(spark, at("counts"))) == {"a": 2, "b": 1}
     assert read("merged").count() == 125
     assert sorted(r["t_end"] for r in read("metrics").collect()) == [100, 120]

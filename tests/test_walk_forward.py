@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidegauge.constants import FEATURES
 from tidegauge.operators.windows import WindowGrid, window_membership
 from tidegauge.plans.walk_forward_forest import evaluate_forest, fixed_layout, store_series, stored_metrics
-from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped, walk_forward_forest_grouped
+from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped, ranked_rows, walk_forward_forest_grouped
 from tidegauge.plans.walk_forward_linear import walk_forward_linear
 from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.sinks import write_part
@@ -84,7 +84,7 @@ def fitted(df, end, estimator):
     columns = [*FEATURES, "y"]
     rows = df.dropna(subset=columns)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train = fixed_layout(rows.filter(f"t >= {end - 100} AND t < {end}").select("t", *columns), 100)
+    train = fixed_layout(rows.filter(f"t >= {end - 100} AND t < {end}").select("t", *columns))
     model = estimator.fit(vectors.transform(train))
     return model.transform(vectors.transform(rows.filter(f"t >= {end} AND t < {end + 20}")))
 
@@ -159,20 +159,19 @@ def test_the_last_score_of_a_window_counts(spark, tmp_path):
     path = str(tmp_path / "m")
     schema = ML_PERFORMANCE
     for part, mae in enumerate((3.0, 1.0, 2.0)):
-        write_part(spark.createDataFrame([(100, mae, 0.0, True, None)], schema), path, part)
+        write_part(spark.createDataFrame([(100, 100, 20, True, mae, 0.0, 0, None)], schema), path, part)
     assert [r["mae"] for r in stored_metrics(spark, path).collect()] == [2.0]
 
 
 def test_large_train_sets_are_spread_in_a_fixed_way(spark, monkeypatch):
     from tidegauge.plans import walk_forward_forest as module
 
-    monkeypatch.setattr(module, "ROWS_PER_TASK", 50)
     monkeypatch.setattr(module, "ROWS_PER_LOT", 10)
     copies = series(spark, [199] * 101).dropDuplicates(["t"]).crossJoin(spark.range(101)).drop("id")
     df = series(spark, range(199)).unionByName(copies)
 
     def layout(rows):
-        return [[r["t"] for r in part] for part in fixed_layout(rows, 300).rdd.glom().collect()]
+        return [[r["t"] for r in part] for part in fixed_layout(rows, 6).rdd.glom().collect()]
 
     tasks = layout(df)
     assert tasks == layout(df.repartition(7)) and len(tasks) == 6
@@ -217,10 +216,59 @@ def test_grouped_forest_keeps_windows_that_no_tree_draws_from(spark):
     }
 
 
-def test_grouped_forest_refuses_many_rows_per_time(spark):
-    df = series(spark, range(160)).crossJoin(spark.range(3)).drop("id")
-    with pytest.raises(Exception, match="more than one row per t"):
-        walk_forward_forest_grouped(df)
+def test_grouped_forest_takes_repeated_times(spark):
+    """Three rows per time, some equal and some not, and gaps in time: each row is drawn for itself."""
+    once = series(spark, [t for t in range(160) if t % 9])
+    moved = once.withColumn("y", F.col("y") + 1).withColumn("size", F.col("size") + 1)
+    df = once.unionByName(once).unionByName(moved)
+    first = {r["t_end"]: (r["mae"], r["mean_pred"]) for r in walk_forward_forest_grouped(df).collect()}
+    assert sorted(first) == [100 + once.first()["t"], 120 + once.first()["t"], 140 + once.first()["t"]]
+    again = {r["t_end"]: (r["mae"], r["mean_pred"]) for r in walk_forward_forest_grouped(df.repartition(7)).collect()}
+    assert {end: pytest.approx(scores) for end, scores in first.items()} == again
+    ranks = ranked_rows(df.select("t", "y", "size")).collect()
+    by_time = {}
+    for r in sorted(ranks, key=lambda r: (r["t"], r["nth"])):
+        by_time.setdefault(r["t"], []).append((r["nth"], r["y"]))
+    assert all([n for n, _ in rows] == [0, 1, 2] and [y for _, y in rows] == sorted(y for _, y in rows) for rows in by_time.values())
+
+
+@pytest.mark.parametrize("size", [1e-6, 1e15])
+def test_grouped_forest_scales_with_the_target(spark, size):
+    df = series(spark, range(125))
+    plain = walk_forward_forest_grouped(df).first()
+    scaled = walk_forward_forest_grouped(df.withColumn("y", F.col("y") * size).withColumn("y_lag1", F.col("y_lag1") * size)).first()
+    assert (scaled["mae"] / size, scaled["mean_pred"] / size) == pytest.approx((plain["mae"], plain["mean_pred"]), rel=1e-6)
+
+
+def test_late_rows_lead_to_a_new_score(spark, tmp_path):
+    late = set(range(30, 45))
+    early = evaluated(spark, series(spark, [t for t in range(125) if t not in late]), tmp_path)
+    after = evaluated(spark, series(spark, range(125)), tmp_path)
+    fresh = evaluated(spark, series(spark, range(125)), tmp_path / "fresh")
+    assert after == fresh and early[100] != after[100]
+
+
+def test_ends_stay_where_they_are_when_old_rows_go(spark, tmp_path):
+    evaluated(spark, series(spark, range(160)), tmp_path)
+    after = evaluated(spark, series(spark, range(7, 185)), tmp_path)
+    assert sorted(after) == [100, 120, 140, 160, 180]
+    anew = evaluated(spark, series(spark, range(7, 185)), tmp_path, restart_grid=True)
+    assert sorted(set(anew) - set(after)) == [107, 127, 147, 167]
+    # No window whose rows are all there was fitted again after the purge; 100 lost seven of its rows.
+    parts = spark.read.parquet(str(tmp_path / "metrics")).filter("t_end = 120")
+    assert parts.count() == 1
+
+
+def test_nothing_stored_is_nothing_to_evaluate(spark, tmp_path):
+    for evaluate in (evaluate_forest, evaluate_forest_grouped):
+        got = evaluate(spark, str(tmp_path / "none"), str(tmp_path / "metrics"))
+        assert got.count() == 0 and got.columns == [f.split()[0] for f in ML_PERFORMANCE.split(", ")]
+
+
+def test_large_times_fall_into_their_blocks(spark):
+    base = 2**60
+    df = spark.createDataFrame([(base + t,) for t in range(121)], "t BIGINT")
+    assert [tuple(r) for r in window_membership(df).collect()] == [(base + 100, 100, 20, True)]
 
 
 def test_grouped_evaluation_is_incremental(spark, tmp_path):

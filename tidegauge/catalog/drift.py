@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.catalog.inputs import LOG_SQL, hourly_series, stored_features
 from tidegauge.constants import FEATURES, FOREST_SEED, LABEL, MAX_BINS, MAX_DEPTH, NUM_TREES
 from tidegauge.operators import windows
+from tidegauge.plans.requests import request_features
 from tidegauge.plans.walk_forward_forest import evaluate_forest
-from tidegauge.plans.walk_forward_forest_grouped import TARGET_UNITS, poisson_steps, walk_forward_forest_grouped
+from tidegauge.plans.walk_forward_forest_grouped import TARGET_STEPS, poisson_steps, walk_forward_forest_grouped
 from tidegauge.plans.walk_forward_linear import walk_forward_linear
 from tidegauge.scratch import fresh_folder
 from tidegauge.sources import scan_table
@@ -34,16 +36,28 @@ def _rounded(metrics: DataFrame) -> DataFrame:
 
 
 def walk_forward_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(walk_forward_linear(scan_table(spark, stored_features(spark, sf_dir)), ["y_lag1"]))
+    return _rounded(walk_forward_linear(request_features(hourly_series(spark, sf_dir)), ["y_lag1"]))
 
 
 def walk_forward_linear_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(walk_forward_linear(scan_table(spark, stored_features(spark, sf_dir))))
+    return _rounded(walk_forward_linear(request_features(hourly_series(spark, sf_dir))))
 
 
 def walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = evaluate_forest(spark, stored_features(spark, sf_dir), fresh_folder(spark, "ml-performance"))
-    return metrics.select("t_end", "mae", "mean_pred")
+    """What is certain of ten trees whose draws only the library knows: the windows, and means within reach."""
+    path = stored_features(spark, sf_dir)
+    metrics = evaluate_forest(spark, path, fresh_folder(spark, "ml-performance"))
+    reach = scan_table(spark, path).agg(F.min("y").alias("low"), F.max("y").alias("high"))
+    low, high = reach.first()
+    within = F.col("mean_pred").between(low, high) & (F.col("mae") >= 0) & (F.col("mae") <= high - low)
+    return metrics.select("t_end", "n_train", "n_test", "complete", within.alias("within_range"))
+
+
+def walk_forward_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same evaluation with one tree of one cut and no draws, which SQL can state exactly."""
+    stump = RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxBins=128, maxDepth=1, seed=FOREST_SEED)
+    metrics = evaluate_forest(spark, stored_features(spark, sf_dir), fresh_folder(spark, "ml-performance"), forest=stump)
+    return _rounded(metrics)
 
 
 def walk_forward_forest_grouped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +70,7 @@ QUERIES = {
     "walk_forward_trend": walk_forward_trend,
     "walk_forward_linear": walk_forward_linear_query,
     "walk_forward_forest": walk_forward_forest,
+    "walk_forward_stump": walk_forward_stump,
     "walk_forward_forest_grouped": walk_forward_forest_grouped_query,
 }
 
@@ -107,13 +122,17 @@ def _forest_sql(features: tuple[str, ...], label: str) -> str:
         for i, f in enumerate(features)
     )
     steps = " + ".join(f"(u >= {step!r}::DOUBLE)::BIGINT" for step in poisson_steps())
-    hashed = f"substr(md5(concat_ws(':', {FOREST_SEED}, t_end, tree, t)), 1, 8)"
+    hashed = f"substr(md5(concat_ws(':', {FOREST_SEED}, t_end, tree, t, nth)), 1, 8)"
     parts = [
         f"""placed AS MATERIALIZED (
-    SELECT t_end, t < t_end AS is_train, log.* EXCLUDE ("timestamp")
+    SELECT t_end, t < t_end AS is_train, log.* EXCLUDE ("timestamp"),
+           row_number() OVER (PARTITION BY t_end, t ORDER BY {", ".join((*features, label))}) - 1 AS nth
     FROM ends JOIN log ON t >= t_end - 100 AND t < t_end + 20
 ),
-cuts AS MATERIALIZED (SELECT t_end, {cuts} FROM placed WHERE is_train GROUP BY t_end),
+cuts AS MATERIALIZED (
+    SELECT t_end, min({label}) AS low, (max({label}) - min({label})) / {TARGET_STEPS} AS step, {cuts}
+    FROM placed WHERE is_train GROUP BY t_end
+),
 bins AS MATERIALIZED (
     {long}
 ),
@@ -124,8 +143,9 @@ drawn AS (
           FROM placed, (SELECT unnest(range({NUM_TREES})) AS tree))
 ),
 nodes_0 AS MATERIALIZED (
-    SELECT t_end, t, tree, is_train, actual, w, w * CAST(round_even(actual * {TARGET_UNITS}, 0) AS BIGINT) AS s, 1 AS node
-    FROM drawn WHERE w > 0 OR NOT is_train
+    SELECT t_end, t, tree, is_train, actual, w, 1 AS node,
+           w * CAST(CASE WHEN step > 0 AND is_train THEN round_even((actual - low) / step, 0) ELSE 0 END AS BIGINT) AS s
+    FROM drawn JOIN cuts USING (t_end) WHERE w > 0 OR NOT is_train
 )"""
     ]
     for level in range(MAX_DEPTH):
@@ -172,8 +192,8 @@ nodes_{level + 1} AS MATERIALIZED (
     return f"""WITH {_ENDS_SQL},
 {body},
 leaves AS (
-    SELECT t_end, tree, node, CAST(sum(s) AS DOUBLE) / sum(w) / {TARGET_UNITS} AS mean
-    FROM {last} WHERE is_train GROUP BY ALL
+    SELECT t_end, tree, node, any_value(low) + CAST(sum(s) AS DOUBLE) / sum(w) * any_value(step) AS mean
+    FROM {last} JOIN cuts USING (t_end) WHERE is_train GROUP BY ALL
 ),
 predicted AS (
     SELECT t_end, t, any_value(actual) AS actual, avg(mean) AS prediction
@@ -183,7 +203,43 @@ SELECT t_end, round(avg(abs(actual - prediction)), 4) AS mae, round(avg(predicti
 FROM predicted GROUP BY t_end"""
 
 
+def _stump_sql(features: tuple[str, ...], label: str) -> str:
+    """Of all midpoints of neighbouring values the cut that leaves the least variance; the mean on either side."""
+    long = " UNION ALL ".join(f"SELECT t_end, {i} AS feature, CAST({f} AS DOUBLE) AS x, {label} AS target FROM train" for i, f in enumerate(features))
+    value = "CASE feature " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(features)) + " END"
+    return f"""WITH {_ENDS_SQL},
+train AS (SELECT t_end, log.* EXCLUDE ("timestamp") FROM ends JOIN log ON t >= t_end - 100 AND t < t_end),
+points AS ({long}),
+valued AS (SELECT t_end, feature, x, count(*) AS n, sum(target) AS s FROM points GROUP BY ALL),
+cumulated AS (
+    SELECT t_end, feature, x, lead(x) OVER up AS next_x, sum(n) OVER up AS ln, sum(s) OVER up AS ls,
+           sum(n) OVER (PARTITION BY t_end, feature) AS tn, sum(s) OVER (PARTITION BY t_end, feature) AS ts
+    FROM valued WINDOW up AS (PARTITION BY t_end, feature ORDER BY x)
+),
+cuts AS (
+    SELECT *, (x + next_x) / 2 AS cut, ls / ln AS low_mean, (ts - ls) / (tn - ln) AS high_mean
+    FROM cumulated WHERE next_x IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY t_end ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC, feature, x) = 1
+),
+scored AS (
+    SELECT t_end, {label} AS actual, CASE WHEN {value} <= cut THEN low_mean ELSE high_mean END AS prediction
+    FROM cuts JOIN log ON t >= t_end AND t < t_end + 20
+)
+SELECT t_end, round(avg(abs(actual - prediction)), 4) AS mae, round(avg(prediction), 4) AS mean_pred
+FROM scored GROUP BY t_end"""
+
+
+_MEMBERSHIP = """SELECT t_end,
+       count(*) FILTER (WHERE t < t_end) AS n_train,
+       count(*) FILTER (WHERE t >= t_end) AS n_test,
+       t_end + 20 <= (SELECT max(t) + 1 FROM log) AS complete{more}
+FROM ends JOIN log ON t >= t_end - 100 AND t < t_end + 20
+GROUP BY t_end
+HAVING count(*) FILTER (WHERE t < t_end) > 0 AND count(*) FILTER (WHERE t >= t_end) > 0"""
+
 ORACLES = {
+    "walk_forward_stump": _stump_sql(FEATURES, LABEL),
+    "walk_forward_forest": f"WITH {_ENDS_SQL}\n" + _MEMBERSHIP.format(more=",\n       true AS within_range"),
     "window_membership": f"""WITH {_ENDS_SQL}
 SELECT t_end,
        count(*) FILTER (WHERE t < t_end) AS n_train,

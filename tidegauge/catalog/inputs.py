@@ -33,18 +33,14 @@ def as_json(spark: SparkSession, df: DataFrame, label: str) -> str:
     return path
 
 
-def in_pieces(df: DataFrame) -> tuple[DataFrame, int]:
-    """Data for at least four files, and how many files make a third of them.
+# Files that a table arrives in where a stream is to read it, and how many of them a batch takes.
+FILES = 6
+FILES_PER_BATCH = 2
 
-    A stream over the files then takes a few batches at any size of the data.
-    """
-    pieces = max(4, df.rdd.getNumPartitions())
-    return df.repartition(pieces), -(-pieces // 3)
 
-
-def state_width(spark: SparkSession) -> int:
-    """State partitions for a finite stream: no more than the session would use or has cores for."""
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def arriving(df: DataFrame, files: int = FILES) -> DataFrame:
+    """The rows dealt out for so many files."""
+    return df.repartition(files)
 
 
 def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:

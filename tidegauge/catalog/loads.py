@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidegauge.catalog.inputs import (
     LOG_SQL,
     SALES_SQL,
+    FILES_PER_BATCH,
     SCALE,
+    arriving,
     as_json,
     hourly_series,
-    in_pieces,
     sales,
     table,
 )
@@ -24,10 +25,10 @@ from tidegauge.operators.aggregates import grand_total, totals
 from tidegauge.operators.latest import latest_rows, read_parts, read_replacing
 from tidegauge.operators.retention import retained
 from tidegauge.operators.state import latest_state, seeded
-from tidegauge.plans.requests import LOG_KEY, STORED, load_requests, request_features
+from tidegauge.plans.requests import LOG_KEY, STORED, continued_features, load_requests, request_features
 from tidegauge.schemas import REQUEST_LOGS, SALES, SALES_STATS
 from tidegauge.scratch import fresh_folder
-from tidegauge.sinks import write_snapshot
+from tidegauge.sinks import write_snapshot, write_with_fallback
 from tidegauge.sources import (
     parse_json,
     scan_inferred,
@@ -36,6 +37,7 @@ from tidegauge.sources import (
     scan_table,
     stream_json_lines,
 )
+from tidegauge.sources.json_lines import CORRUPT
 from tidegauge.streaming import stream_latest, stream_totals
 
 EVENT = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -56,10 +58,40 @@ def sales_json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = fresh_folder(spark, "sales-broken")
     sales(spark, sf_dir).select(line.alias("value")).write.text(path)
-    scan = scan_json_lines(spark, path, SALES, glob="*.txt")
-    good = scan.rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_rows"))
-    bad = scan.rejects.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("(rejected)").alias("item"), "n_rows")
-    return good.unionByName(bad)
+    lines = scan_json_lines(spark, path, SALES, glob="*.txt").lines
+    item = F.when(F.col(CORRUPT).isNotNull(), "(rejected)").otherwise(F.col("item"))
+    return lines.groupBy(item.alias("item")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def load_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of request-log lines of which some are cut off and some have no time: rows and rejects together."""
+    log = request_features(hourly_series(spark, sf_dir)).withColumn("timestamp", iso_text("timestamp"))
+    bad_time = log.withColumn("timestamp", F.when(F.col("hour") == 3, "03/02/2024 03:00").otherwise(F.col("timestamp")))
+    record = F.to_json(F.struct(*bad_time.columns))
+    line = F.when(F.col("hour") == 5, F.substr(record, F.lit(1), F.length(record) - 1)).otherwise(record)
+    source, path, rejects = (fresh_folder(spark, label) for label in ("log-broken", "request-logs", "rejects"))
+    bad_time.select(line.alias("value")).write.text(source)
+    load_requests(spark, source, path, 0, rejects=rejects, glob="*.txt")
+    good = read_replacing(spark, path, REQUEST_LOGS, LOG_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = spark.read.text(rejects).agg(F.count(F.lit(1)).alias("n_rows"))
+    return good.select(F.lit("loaded").alias("lines"), "n_rows").unionByName(bad.select(F.lit("rejected").alias("lines"), "n_rows"))
+
+
+def series_in_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request log made in two loads, the second of which takes its first lag from the stored state."""
+    hourly = hourly_series(spark, sf_dir)
+    middle = hourly.agg(F.expr("percentile_approx(t, 0.5)")).first()[0]
+    state = fresh_folder(spark, "metadata")
+    log = []
+    for part, stretch in enumerate((hourly.filter(F.col("t") < middle), hourly.filter(F.col("t") >= middle))):
+        log.append(continued_features(spark, stretch, state, part))
+    return log[0].unionByName(log[1]).select("t", "y", "y_lag1")
+
+
+def fallback_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals, whose first place does not take them."""
+    places = ["no-such-store://totals", fresh_folder(spark, "fallback")]
+    return scan_table(spark, write_with_fallback(totals(sales(spark, sf_dir), scale=SCALE), places))
 
 
 def json_inferred_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,20 +162,18 @@ def seeded_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of each batch of arriving files, added up."""
-    pieces, max_files = in_pieces(sales(spark, sf_dir))
-    source, path = as_json(spark, pieces, "sales-arriving"), fresh_folder(spark, "sales-stats")
-    arriving = stream_json_lines(spark, source, SALES, max_files=max_files).rows
-    stream_totals(arriving, path, fresh_folder(spark, "checkpoint"), scale=SCALE).awaitTermination()
+    source, path = as_json(spark, arriving(sales(spark, sf_dir)), "sales-arriving"), fresh_folder(spark, "sales-stats")
+    new = stream_json_lines(spark, source, SALES, max_files=FILES_PER_BATCH).rows
+    stream_totals(new, path, fresh_folder(spark, "checkpoint"), scale=SCALE).awaitTermination()
     return totals(read_parts(spark, path, SALES_STATS), amount="total_amount", scale=SCALE)
 
 
 def request_log_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest record per user, kept up to date by a stream."""
-    pieces, max_files = in_pieces(table(spark, sf_dir, "events"))
-    source, path = as_json(spark, pieces, "events-arriving"), fresh_folder(spark, "latest")
-    arriving = stream_json_lines(spark, source, EVENT, max_files=max_files).rows
+    source, path = as_json(spark, arriving(table(spark, sf_dir, "events")), "events-arriving"), fresh_folder(spark, "latest")
+    new = stream_json_lines(spark, source, EVENT, max_files=FILES_PER_BATCH).rows
     key, version = ["user_id"], ["ts", "event_id"]
-    stream_latest(arriving, path, fresh_folder(spark, "checkpoint"), key, version).awaitTermination()
+    stream_latest(new, path, fresh_folder(spark, "checkpoint"), key, version).awaitTermination()
     # Files arrive in no particular order, so the record's own version decides, not its batch.
     return latest_rows(read_parts(spark, path, EVENT).drop("part"), key, version)
 
@@ -151,6 +181,9 @@ def request_log_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "sales_json_totals": sales_json_totals,
     "sales_json_rejects": sales_json_rejects,
+    "load_with_rejects": load_with_rejects,
+    "series_in_two_loads": series_in_two_loads,
+    "fallback_write": fallback_write,
     "json_inferred_total": json_inferred_total,
     "json_column_total": json_column_total,
     "parquet_round_trip": parquet_round_trip,
@@ -179,6 +212,10 @@ ORACLES = {
     "sales_json_rejects": """SELECT CASE WHEN event_type IN ('error', 'signup') THEN '(rejected)' ELSE event_type END AS item,
        count(*) AS n_rows
 FROM events GROUP BY 1""",
+    "load_with_rejects": f"""WITH {LOG_SQL}
+SELECT CASE WHEN hour IN (3, 5) THEN 'rejected' ELSE 'loaded' END AS lines, count(*) AS n_rows FROM log GROUP BY 1""",
+    "series_in_two_loads": f"WITH {LOG_SQL} SELECT t, y, y_lag1 FROM log",
+    "fallback_write": TOTALS_SQL,
     "json_inferred_total": "SELECT CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount FROM events",
     "json_column_total": "SELECT CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events",
     "parquet_round_trip": f"WITH {SALES_SQL} SELECT item, amount, ts FROM sales",

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.catalog.inputs import in_pieces, state_width, table
+from tidegauge.catalog.inputs import FILES_PER_BATCH, arriving, table
 from tidegauge.operators.words import lines_of, word_counts
 from tidegauge.scratch import fresh_folder
-from tidegauge.sources import scan_table
-from tidegauge.streaming import running_word_count
+from tidegauge.streaming import read_counts, running_word_count
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,18 +17,17 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts, kept by a stream over text files that arrive in a few batches."""
-    pieces, max_files = in_pieces(table(spark, sf_dir, "documents").select(F.col("text").alias("value")))
+    texts = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.col("text").alias("value"))
     source, counts = fresh_folder(spark, "lines"), fresh_folder(spark, "word-count")
-    pieces.write.text(source)
+    arriving(texts).write.option("lineSep", "\n").text(source)
     running_word_count(
         spark,
         source,
         counts,
         fresh_folder(spark, "checkpoint"),
-        max_files=max_files,
-        partitions=state_width(spark),
+        max_files=FILES_PER_BATCH,
     ).awaitTermination()
-    return scan_table(spark, counts)
+    return read_counts(spark, counts)
 
 
 QUERIES = {"word_count": word_count, "word_count_stream": word_count_stream}

@@ -11,8 +11,8 @@ from tidegauge.operators.aggregates import average, bounds, grand_total, totals
 from tidegauge.operators.trend import newest_totals
 from tidegauge.plans.sales import STATS_ORDER, sales_trend, store_trend
 from tidegauge.scratch import fresh_folder
-from tidegauge.sinks import append_sorted, stamped
-from tidegauge.sources import integers, scan_table
+from tidegauge.sinks import append_sorted, stamped, write_snapshot
+from tidegauge.sources import scan_table
 
 
 def sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,13 +38,11 @@ def time_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doubled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "events").count()
-    return integers(spark, n).select((F.col("id") * 2).alias("doubled"))
+    return table(spark, sf_dir, "events").select((F.col("event_id") * 2).alias("doubled"))
 
 
 def range_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "events").count()
-    return integers(spark, n).agg(F.sum("id").alias("total"))
+    return table(spark, sf_dir, "events").agg(F.sum("event_id").alias("total"))
 
 
 def _stats_table(spark: SparkSession, sf_dir: str) -> str:
@@ -55,6 +53,7 @@ def _stats_table(spark: SparkSession, sf_dir: str) -> str:
         .agg(exact_sum("value", SCALE).alias("total_amount"))
         .select("item", "total_amount", from_epoch_units("day", "DAY").alias("processed_at"))
     )
+    daily = scan_table(spark, write_snapshot(daily, fresh_folder(spark, "daily")))
     path = fresh_folder(spark, "sales-stats")
     early = F.dayofmonth("processed_at") <= 15
     for part in (daily.filter(early), daily.filter(~early)):
@@ -129,8 +128,8 @@ FROM events GROUP BY event_type""",
     "value_total": "SELECT CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount FROM events",
     "time_bounds": """SELECT min(t) AS lowest, max(t) AS highest, count(*) AS n_rows
 FROM (SELECT CAST(floor(epoch(ts) / 3600) AS BIGINT) AS t FROM events) HAVING count(*) > 0""",
-    "doubled_ids": "SELECT 2 * i AS doubled FROM (SELECT unnest(range(count(*))) AS i FROM events)",
-    "range_total": "SELECT CAST(sum(i) AS BIGINT) AS total FROM (SELECT unnest(range(count(*))) AS i FROM events)",
+    "doubled_ids": "SELECT 2 * event_id AS doubled FROM events",
+    "range_total": "SELECT CAST(sum(event_id) AS BIGINT) AS total FROM events",
     "stats_history": f"WITH {_STATS_SQL} SELECT item, total_amount, processed_at FROM stats",
     "newest_totals": f'WITH {_POINTS_SQL} SELECT "index", amount FROM points',
     "trend_line": _TREND_SQL,

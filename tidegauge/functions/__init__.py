@@ -5,6 +5,7 @@ from tidegauge.functions.sums import exact_sum
 from tidegauge.functions.text import words
 from tidegauge.functions.times import (
     epoch_units,
+    floor_div,
     from_epoch_units,
     hour_of_day,
     iso_text,
@@ -17,6 +18,7 @@ __all__ = [
     "exact_sum",
     "expected_rate",
     "expected_target",
+    "floor_div",
     "from_epoch_units",
     "hour_of_day",
     "iso_text",

@@ -21,6 +21,12 @@ def epoch_units(ts: str, unit: str = "SECOND") -> Column:
     return seconds if unit == "SECOND" else F.floor(seconds / _SECONDS[unit])
 
 
+def floor_div(number: Column, by: int) -> Column:
+    """Integer division rounded down, exact over the whole range of BIGINT."""
+    down = number - F.pmod(number, F.lit(by).cast("bigint"))
+    return F.call_function("div", down, F.lit(by).cast("bigint"))
+
+
 def from_epoch_units(units: str, unit: str = "SECOND") -> Column:
     return F.expr(f"timestampadd({unit}, {units}, {_EPOCH})")
 

@@ -14,29 +14,31 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.constants import FEATURES, LABEL
 from tidegauge.operators.aggregates import grand_total
 from tidegauge.operators.latest import compact, read_replacing
-from tidegauge.operators.retention import retained_since
+from tidegauge.operators.retention import retained_lines
 from tidegauge.plans.requests import LOG_KEY
 from tidegauge.plans.sales import load_sales, sales_trend, store_trend
-from tidegauge.plans.walk_forward_forest import evaluate_forest, stored_metrics
+from tidegauge.plans.walk_forward_forest import evaluate_forest, read_series, stored_metrics
 from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped
+from tidegauge.plans.walk_forward_linear import complete_rows
 from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
-from tidegauge.sinks import write_snapshot, write_with_fallback
-from tidegauge.sources import scan_inferred, scan_json_lines, scan_table, stream_json_lines
+from tidegauge.sinks import write_with_fallback
+from tidegauge.sources import scan_inferred, scan_table, stream_json_lines
 from tidegauge.streaming import console_word_count, running_word_count, stream_log, stream_series, stream_totals
 
 PEEK_ROWS = 5
 
 
 def _sales(spark: SparkSession, a: argparse.Namespace) -> None:
-    if not load_sales(spark, a.source, a.table):
+    if not load_sales(spark, a.source, a.table, rejects=a.rejects):
         print("no sales to load")
 
 
 def _sales_stream(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = stream_json_lines(spark, a.source, SALES, max_files=a.max_files, archive=a.archive).rows
-    stream_totals(rows, a.table, a.checkpoint, every=a.every).awaitTermination()
+    lines = stream_json_lines(spark, a.source, SALES, max_files=a.max_files, archive=a.archive).lines
+    stream_totals(lines, a.table, a.checkpoint, every=a.every, rejects=a.rejects).awaitTermination()
 
 
 def _trend(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -46,8 +48,8 @@ def _trend(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _requests(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = stream_json_lines(spark, a.source, REQUEST_LOG, max_files=a.max_files, archive=a.archive).rows
-    stream_log(rows, a.table, a.checkpoint, every=a.every).awaitTermination()
+    lines = stream_json_lines(spark, a.source, REQUEST_LOG, max_files=a.max_files, archive=a.archive).lines
+    stream_log(lines, a.table, a.checkpoint, every=a.every, rejects=a.rejects).awaitTermination()
 
 
 def _compact(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -57,12 +59,19 @@ def _compact(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _drift(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.source:
-        rows = stream_json_lines(spark, a.source, REQUEST_LOG).rows
-        stream_series(rows, a.series, a.checkpoint).awaitTermination()
+        lines = stream_json_lines(spark, a.source, REQUEST_LOG).lines
+        stream_series(lines, a.series, a.checkpoint, rejects=a.rejects).awaitTermination()
+    series = read_series(spark, a.series, [*FEATURES, LABEL])
+    if series is None or series.isEmpty():
+        print("no series to evaluate")
+        return
+    skipped = series.count() - complete_rows(series, [*FEATURES, LABEL]).count()
+    if skipped:
+        print(f"rows with a missing value, left out: {skipped}")
     if a.grouped:
-        evaluate_forest_grouped(spark, a.series, a.metrics)
+        evaluate_forest_grouped(spark, a.series, a.metrics, restart_grid=a.restart_grid)
     else:
-        evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism)
+        evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism, restart_grid=a.restart_grid)
     stored_metrics(spark, a.metrics).orderBy("t_end").show()
 
 
@@ -87,11 +96,10 @@ def _words(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _retain(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Copy the records of the files that are still young enough; the old place can then go."""
+    """Copy the lines of the files that are still young enough, bad ones too; the old place can then go."""
     # File times are compared in the session's time zone.
     now = spark.sql("SELECT current_timestamp()::timestamp_ntz").first()[0]
-    kept = scan_json_lines(spark, a.source, SALES, modified_after=retained_since(now))
-    write_snapshot(kept.rows, a.table)
+    retained_lines(spark, a.source, now).write.mode("overwrite").text(a.target)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -111,25 +119,30 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--every", help="keep running, one batch per interval, such as '10 minutes'")
         sub.add_argument("--max-files", type=int)
         sub.add_argument("--archive", help="where finished source files move")
+        sub.add_argument("--rejects", help="text table for lines that are no records")
 
-    command("load-sales", _sales, ("source", "table"))
+    command("load-sales", _sales, ("source", "table"), ("rejects",))
     arriving(command("stream-sales", _sales_stream, ("source", "table", "checkpoint")))
     command("sales-trend", _trend, ("table", "results"))
     arriving(command("load-requests", _requests, ("source", "table", "checkpoint")))
     command("compact-requests", _compact, ("table", "target"))
-    drift = command("evaluate-drift", _drift, ("series", "metrics"), ("source", "checkpoint"))
+    drift = command("evaluate-drift", _drift, ("series", "metrics"), ("source", "checkpoint", "rejects"))
+    drift.add_argument("--restart-grid", action="store_true", help="count window ends anew from the first row")
     drift.add_argument("--parallelism", type=int)
     drift.add_argument("--grouped", action="store_true", help="all windows in one go, for a backfill")
     command("total-amount", _amounts, ("source", "table"), ("fallback",))
     words = command("count-words", _words, ("source", "checkpoint"), ("table", "every"))
     words.add_argument("--partitions", type=int)
     words.add_argument("--restart", action="store_true")
-    command("retain-sales", _retain, ("source", "table"))
+    command("retain-files", _retain, ("source", "target"))
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
-    arguments = parser().parse_args(argv)
+    top = parser()
+    arguments = top.parse_args(argv)
+    if arguments.run is _drift and arguments.source and not arguments.checkpoint:
+        top.error("evaluate-drift --source needs --checkpoint")
     spark = SparkSession.builder.appName("tidegauge").getOrCreate()
     arguments.run(spark, arguments)
 

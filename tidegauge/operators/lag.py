@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.functions import floor_div
+
 # Time units per stretch. The lag inside a stretch is an ordinary window; the last value of
 # each stretch is carried to the next one by the same method one level up. With seconds, one
 # level leaves 316 tails a year.
@@ -22,20 +24,22 @@ def _previous(
     if levels == 0:
         # With no key this is one task, over the tails of the top level only: their number is
         # the time span divided by stretch**levels, whatever the number of rows.
-        return df.withColumn("_prev", F.lag(boxed).over(Window.partitionBy(*keys).orderBy(time)))
+        return df.withColumn("_prev", F.lag(boxed).over(Window.partitionBy(*keys).orderBy(F.col(time).asc_nulls_last())))
 
     part = f"_stretch_{levels}"
     group = [*keys, part]
-    split = df.withColumn(part, F.floor(F.col(time) / stretch))
-    inside = split.withColumn("_within", F.lag(boxed).over(Window.partitionBy(*group).orderBy(time)))
+    split = df.withColumn(part, floor_div(F.col(time), stretch))
+    inside = split.withColumn("_within", F.lag(boxed).over(Window.partitionBy(*group).orderBy(F.col(time).asc_nulls_last())))
     tails = split.groupBy(*group).agg(F.max_by(boxed, time).alias("_tail"))
     carried = _previous(tails, F.col("_tail.value"), part, keys, stretch, levels - 1).select(
-        *group, F.col("_prev").alias("_carried")
+        *[F.col(g).alias(f"_of_{g}") for g in group], F.col("_prev").alias("_carried")
     )
+    # Keys and times may be null, and rows without one are kept.
+    same = [inside[g].eqNullSafe(carried[f"_of_{g}"]) for g in group]
     return (
-        inside.join(carried, group)
+        inside.join(carried, same)
         .withColumn("_prev", F.coalesce("_within", "_carried"))
-        .drop(part, "_within", "_carried")
+        .drop(part, "_within", "_carried", *[f"_of_{g}" for g in group])
     )
 
 
@@ -54,7 +58,8 @@ def with_lag(
 
     ``series`` holds one row per ``(keys, time)``, as a binned series does; a stretch then has
     at most ``stretch`` rows, so no task sorts more than that. The series is read once per level
-    and once more: hand in a stored table, not the aggregation that makes it.
+    and once more: hand in a stored table, not the aggregation that makes it. A row without a time
+    comes after all others of its series.
     """
     kept = series.columns
     previous = _previous(series, F.col(value), time, keys, stretch, levels)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -32,6 +32,12 @@ def retained(
     return df.filter(F.col(ts) > bound)
 
 
+def retained_lines(spark: SparkSession, source: str, now: datetime.datetime, glob: str = "*.json") -> DataFrame:
+    """All lines, good and bad, of the files below ``source`` that are still young enough, as they stand."""
+    reader = spark.read.option("pathGlobFilter", glob).option("modifiedAfter", retained_since(now)).option("lineSep", "\n")
+    return reader.text(source)
+
+
 def _oldest(now: datetime.datetime, minutes: int) -> datetime.datetime:
     # Age in whole minutes <= n is the same as age < n + 1 minutes.
     return now - datetime.timedelta(minutes=minutes + 1)

@@ -1,12 +1,14 @@
 """Sliding train and tumbling test windows over integer time.
 
-Window ``j`` ends at ``t_end = min(t) + window_size + j * batch_size``. It trains on
+Window ``j`` ends at ``t_end = origin + window_size + j * batch_size``, where the origin is ``min(t)``
+unless an earlier evaluation fixed it: rows that are purged or arrive late do not move the ends.
+Rows before the origin are in no window. A window trains on
 ``[t_end - window_size, t_end)`` and tests on ``[t_end, t_end + batch_size)``. Ends are smaller
-than ``max(t)``: with ``(max(t) - min(t) - window_size)`` a multiple of ``batch_size`` the row at
+than ``max(t)``: with ``(max(t) - origin - window_size)`` a multiple of ``batch_size`` the row at
 ``max(t)`` is in no test part. A window is valid when both of its parts have rows.
 
 Ends and window edges all fall on multiples of the greatest common divisor of the two sizes,
-counted from ``min(t)``. So the rows are first reduced to one aggregate per *block* of that
+counted from the origin. So the rows are first reduced to one aggregate per *block* of that
 length, and only the block aggregates are copied into the windows they belong to. The rows
 themselves are shuffled as partial sums and never replicated.
 """
@@ -20,12 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.constants import BATCH_SIZE, WINDOW_SIZE
+from tidegauge.functions import floor_div
 
 
 class WindowGrid:
     """Column arithmetic between time, blocks and windows for one series."""
 
-    def __init__(self, series: DataFrame, window_size: int = WINDOW_SIZE, batch_size: int = BATCH_SIZE):
+    def __init__(
+        self, series: DataFrame, window_size: int = WINDOW_SIZE, batch_size: int = BATCH_SIZE, origin: int | None = None
+    ):
         self.window_size = window_size
         self.batch_size = batch_size
         self.block_size = gcd(window_size, batch_size)
@@ -36,16 +41,18 @@ class WindowGrid:
         self.first_t, self.last_t = series.agg(F.min("t"), F.max("t")).first()
         if self.first_t is None:
             self.first_t = self.last_t = 0
+        if origin is not None:
+            self.first_t = origin
 
     def block(self, t: str = "t") -> Column:
-        return F.floor((F.col(t) - self.first_t) / self.block_size)
+        return floor_div(F.col(t) - self.first_t, self.block_size)
 
     def end(self, window: Column) -> Column:
         return window * self.batch_size + (self.first_t + self.window_size)
 
     def tested_at(self, t: str = "t") -> Column:
         """End of the window that tests this time, if one does."""
-        return self.end(F.floor((F.col(t) - (self.first_t + self.window_size)) / self.batch_size))
+        return self.end(floor_div(F.col(t) - (self.first_t + self.window_size), self.batch_size))
 
     def is_tested(self, t: str = "t") -> Column:
         """The time belongs to the test part of a window: neither before the first nor past the last."""
@@ -58,17 +65,17 @@ class WindowGrid:
         return t_end < self.last_t
 
     def is_complete(self, t_end: Column) -> Column:
-        """The series has reached the end of the test part; later rows cannot change it."""
+        """The series has reached the end of the test part."""
         return t_end + self.batch_size <= self.last_t + 1
 
     def memberships(self, block: str = "block") -> Column:
         """All ``(window, is_train)`` pairs of a block, at most ``train_blocks + 1`` of them."""
         b = F.col(block)
-        first = F.greatest(F.ceil((b - (self.train_blocks - 1)) / self.step_blocks), F.lit(0))
-        last = F.floor(b / self.step_blocks)
+        first = F.greatest(floor_div(b - (self.train_blocks - self.step_blocks), self.step_blocks), F.lit(0).cast("bigint"))
+        last = floor_div(b, self.step_blocks)
         # ``sequence`` counts downwards when its bounds are reversed.
         training = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-        test = F.floor((b - self.train_blocks) / self.step_blocks)
+        test = floor_div(b - self.train_blocks, self.step_blocks)
         testing = F.when(test >= 0, F.array(test)).otherwise(F.array().cast("array<bigint>"))
 
         def marked(windows: Column, is_train: bool) -> Column:

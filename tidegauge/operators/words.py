@@ -9,7 +9,7 @@ from tidegauge.functions import words
 
 
 def lines_of(df: DataFrame, text: str) -> DataFrame:
-    """Rows ``value`` as a text file of that column would have them."""
+    """Rows ``value`` as a text file of that column would have them: cut at line feeds, nulls left out."""
     return df.select(F.explode(F.split(F.col(text), "\n")).alias("value"))
 
 

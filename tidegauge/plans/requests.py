@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.constants import LAG_SEED
+from tidegauge.constants import LAG_SEED, LAST_VALUE_KEY
 from tidegauge.functions import (
     drift_factor,
     epoch_units,
@@ -20,18 +20,26 @@ from tidegauge.functions import (
     parse_iso,
 )
 from tidegauge.operators.lag import with_lag
-from tidegauge.schemas import REQUEST_LOG
-from tidegauge.sinks import stamped, write_part
+from tidegauge.operators.latest import read_parts
+from tidegauge.operators.state import latest_state
+from tidegauge.schemas import METADATA, REQUEST_LOG, REQUEST_LOGS, field_names
+from tidegauge.sinks import stamped, write_lines, write_part
+from tidegauge.sinks.tables import PART
 from tidegauge.sources import scan_json_lines
+from tidegauge.sources.json_lines import reject_rows, rejected_lines, split_rejects
 
-STORED = ("timestamp", "t", "hour", "requests", "size", "y", "drift_factor")
-LOG_KEY = ("timestamp", "t")
+# What both forms of the record have; the key is its first two.
+STORED = tuple(c for c in field_names(REQUEST_LOGS) if c in field_names(REQUEST_LOG))
+LOG_KEY = STORED[:2]
 
 
 def binned_series(events: DataFrame, ts: str, value: str, unit: str = "HOUR", scale: int | None = None) -> DataFrame:
-    """One row per time unit: number of requests, mean size and total of the value."""
+    """One row per time unit: number of requests, total of the value, and the total per request.
+
+    Requests without a value count as requests; a unit in which none has one has no total.
+    """
     binned = events.groupBy(epoch_units(ts, unit).alias("t")).agg(
-        F.count(value).alias("requests"), exact_sum(value, scale).alias("y")
+        F.count(F.lit(1)).alias("requests"), exact_sum(value, scale).alias("y")
     )
     return binned.select("t", "requests", (F.col("y") / F.col("requests")).alias("size"), "y")
 
@@ -43,7 +51,7 @@ def request_features(series: DataFrame, unit: str = "HOUR", lag_seed: float = LA
         .withColumn("timestamp", from_epoch_units("t", unit))
         .withColumn("hour", hour_of_day("timestamp"))
         .withColumn("drift_factor", drift_factor())
-        .select("timestamp", "t", "hour", "requests", "size", "y", "y_lag1", "drift_factor")
+        .select(*field_names(REQUEST_LOG))
     )
 
 
@@ -64,21 +72,49 @@ def stored_log(log: DataFrame, processed_at: Column | datetime.datetime | None =
     return stamped(typed.withColumn("hour", F.col("hour").cast("tinyint")), processed_at)
 
 
+def checked_times(lines: DataFrame) -> DataFrame:
+    """Lines whose time is no time are marked as rejects: as null keys they would replace each other."""
+    return reject_rows(lines, parse_iso("timestamp").isNull())
+
+
 def load_requests(
     spark: SparkSession,
     source: str,
     table: str,
     part: int,
     processed_at: Column | datetime.datetime | None = None,
+    rejects: str | None = None,
+    **options,
 ) -> bool:
-    """Write the request log below ``source`` as one part; False when there is nothing to load."""
-    rows = scan_json_lines(spark, source, REQUEST_LOG).rows
-    if rows.isEmpty():
+    """Write the request log below ``source`` as one part; False when there is nothing to load.
+
+    Lines that are no records go to the text table ``rejects`` under the same part number.
+    ``options`` are those of `scan_json_lines`.
+    """
+    scan = split_rejects(checked_times(scan_json_lines(spark, source, REQUEST_LOG, **options).lines))
+    if rejects is not None:
+        write_lines(rejected_lines(scan.rejects), rejects, part)
+    if scan.rows.isEmpty():
         return False
-    write_part(stored_log(rows, processed_at), table, part, sort_by=LOG_KEY)
+    write_part(stored_log(scan.rows, processed_at), table, part, sort_by=LOG_KEY)
     return True
 
 
+def continued_features(
+    spark: SparkSession, series: DataFrame, state: str, part: int, unit: str = "HOUR", lag_seed: float = LAG_SEED
+) -> DataFrame:
+    """Features of the next stretch of a series, its first lag taken from the state that the last one left.
+
+    The newest target is then stored as part ``part`` of the state. ``series`` is read several times.
+    """
+    earlier = read_parts(spark, state, METADATA).filter(F.col(PART) < part)
+    last = latest_state(earlier.filter(F.col("key") == LAST_VALUE_KEY), at="updated_at").first()
+    log = request_features(series, unit, lag_seed if last is None else last["value"])
+    newest = log.agg(F.max_by("y", "t").alias("value"), F.max("timestamp").alias("updated_at")).filter("updated_at IS NOT NULL")
+    write_part(newest.select(F.lit(LAST_VALUE_KEY).alias("key"), "value", "updated_at"), state, part)
+    return log
+
+
 def ordered(series: DataFrame, by: Sequence[str] = ("t",)) -> DataFrame:
     """Full sort, distributed by ranges."""
     return series.orderBy(*by)

@@ -11,6 +11,7 @@ from tidegauge.operators.trend import newest_totals, trend_line
 from tidegauge.schemas import SALES
 from tidegauge.sinks import append_sorted, stamped
 from tidegauge.sources import scan_json_lines
+from tidegauge.sources.json_lines import rejected_lines
 
 STATS_ORDER = ("processed_at", "item")
 
@@ -27,12 +28,18 @@ def load_sales(
     table: str,
     processed_at: Column | datetime.datetime | None = None,
     scale: int | None = None,
+    rejects: str | None = None,
 ) -> bool:
-    """Append the totals of the JSON lines below ``source``; False when there is nothing to load."""
-    rows = scan_json_lines(spark, source, SALES).rows
-    if rows.isEmpty():
+    """Append the totals of the JSON lines below ``source``; False when there is nothing to load.
+
+    Lines that are no sales are appended to the text table ``rejects``.
+    """
+    scan = scan_json_lines(spark, source, SALES)
+    if rejects is not None:
+        rejected_lines(scan.rejects).write.mode("append").text(rejects)
+    if scan.rows.isEmpty():
         return False
-    append_sorted(sales_stats(rows, processed_at, scale), table, STATS_ORDER)
+    append_sorted(sales_stats(scan.rows, processed_at, scale), table, STATS_ORDER)
     return True
 
 

@@ -1,4 +1,4 @@
-"""Walk-forward evaluation of a random forest, one model per window that has no final score yet.
+"""Walk-forward evaluation of a random forest, one model per window whose score is not up to date.
 
 The series is a Parquet table sorted by ``t``: a window's rows come from the few row groups that
 its bounds leave. Several windows train side by side, and each group of windows is scored and
@@ -8,12 +8,13 @@ stored by one job, so that a run that breaks off continues where it stopped.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from itertools import batched
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -27,8 +28,9 @@ from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.sinks import stamped, write_part
 from tidegauge.sinks.tables import PART
 
-# Train rows one task can hold in comfort; a larger window is spread over more tasks.
-ROWS_PER_TASK = 200_000
+# Tasks that a train set is spread over. The forest depends on it, so it never follows the data:
+# raise it where windows hold very many rows.
+TRAIN_TASKS = 4
 # Equal rows that stay together when a train set is spread.
 ROWS_PER_LOT = 10_000
 # Windows scored and stored by one job.
@@ -50,17 +52,14 @@ def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
 
 
-def fixed_layout(df: DataFrame, n_rows: int) -> DataFrame:
+def fixed_layout(df: DataFrame, tasks: int = TRAIN_TASKS) -> DataFrame:
     """The same rows in the same tasks in the same order on every run.
 
-    A forest draws its samples by partition and position, so a seed alone does not fix it. A train
-    set that fits one task goes to one. A larger one is spread by its values; equal rows, which a
-    hash would keep together however many they are, are counted and dealt out in lots.
+    A forest draws its samples by partition and position, so a seed alone does not fix it. Rows are
+    spread by their values; equal rows, which a hash would keep together however many they are, are
+    counted and dealt out in lots.
     """
-    tasks = -(-n_rows // ROWS_PER_TASK)
     order = ["t", *[c for c in df.columns if c != "t"]]
-    if tasks <= 1:
-        return df.coalesce(1).sortWithinPartitions(*order)
     lots = (
         df.groupBy(*order)
         .agg(F.count(F.lit(1)).alias("_copies"))
@@ -76,12 +75,28 @@ def fixed_layout(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def pending_windows(rows: DataFrame, grid: WindowGrid, stored: DataFrame) -> DataFrame:
-    """Valid windows without a final score, oldest first.
+    """Valid windows that have no score, or one made from fewer or more rows than there are now, oldest first.
 
-    A score counts as final when the test part was full at the time; a half-filled one is
-    computed again and replaces its predecessor.
+    So a half-filled test part and rows that arrive late both lead to a new score, which replaces the
+    one before.
     """
-    return absent_from(window_membership(rows, grid), stored.filter("complete"), ["t_end"]).orderBy("t_end")
+    return absent_from(window_membership(rows, grid), stored, ["t_end", "n_train", "n_test"]).orderBy("t_end")
+
+
+def read_series(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame | None:
+    """The stored series, or None where nothing has been stored yet."""
+    try:
+        return spark.read.parquet(path).select("t", *columns)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def grid_of(series: DataFrame, stored: DataFrame, window_size: int, batch_size: int, restart: bool) -> WindowGrid:
+    """Ends counted from the origin of the scores stored last, or anew from ``min(t)``."""
+    last = None if restart else stored.agg(F.max_by("origin", PART)).first()[0]
+    return WindowGrid(series, window_size, batch_size, origin=last)
 
 
 class ForestEvaluation:
@@ -94,17 +109,16 @@ class ForestEvaluation:
         label: str,
         window_size: int,
         batch_size: int,
-        num_trees: int,
-        seed: int,
+        forest: RandomForestRegressor,
+        tasks: int,
     ):
         self.rows = rows
         self.features = list(features)
         self.label = label
         self.window_size = window_size
         self.batch_size = batch_size
-        self.forest = RandomForestRegressor(
-            featuresCol="features", labelCol=label, numTrees=num_trees, seed=seed
-        )
+        self.forest = forest.copy({forest.featuresCol: "features", forest.labelCol: label})
+        self.tasks = tasks
 
     def between(self, low: int, high: int) -> DataFrame:
         return self.rows.filter(f"t >= {low} AND t < {high}")
@@ -112,17 +126,18 @@ class ForestEvaluation:
     def scored(self, window: Row) -> DataFrame:
         """Fit the window's forest; its test rows with their prediction, not yet computed."""
         end = window["t_end"]
-        train = fixed_layout(self.between(end - self.window_size, end), window["n_train"])
+        train = fixed_layout(self.between(end - self.window_size, end), self.tasks)
         model = self.forest.fit(assembled(train, self.features))
         test = assembled(self.between(end, end + self.batch_size), self.features)
         return model.transform(test).selectExpr(
-            f"{end}L AS t_end", f"{window['complete']} AS complete", f"`{self.label}`", "prediction"
+            *[f"{window[c]}L AS {c}" for c in ("t_end", "n_train", "n_test")],
+            f"{window['complete']} AS complete",
+            f"`{self.label}`",
+            "prediction",
         )
 
 
-def _groups(windows: DataFrame, size: int) -> Iterator[tuple[Row, ...]]:
-    """Windows in groups. Only their ends and counts come to the driver, a partition at a time."""
-    return batched(windows.toLocalIterator(), size)
+SCORED = ("t_end", "n_train", "n_test", "complete")
 
 
 def evaluate_forest(
@@ -136,24 +151,34 @@ def evaluate_forest(
     batch_size: int = BATCH_SIZE,
     num_trees: int = NUM_TREES,
     seed: int = FOREST_SEED,
+    forest: RandomForestRegressor | None = None,
+    tasks: int = TRAIN_TASKS,
     parallelism: int | None = None,
+    restart_grid: bool = False,
     processed_at: Column | datetime.datetime | None = None,
 ) -> DataFrame:
-    """Score every window that lacks a final score, store the scores, return all of them."""
+    """Score every window whose score is not up to date, store the scores, return all of them.
+
+    ``forest`` replaces the default one of ``num_trees`` and ``seed``. Only window ends and counts come
+    to the driver, a partition at a time. As many windows train side by side as there are cores, and
+    training goes on while a group of scores is stored. Without a stored series nothing happens.
+    """
     columns = [*features, label]
-    series = spark.read.parquet(series_path).select("t", *columns)
+    series = read_series(spark, series_path, columns)
+    if series is None:
+        return stored_metrics(spark, metrics_path)
     rows = complete_rows(series, columns)
-    evaluation = ForestEvaluation(rows, features, label, window_size, batch_size, num_trees, seed)
+    forest = forest or RandomForestRegressor(numTrees=num_trees, seed=seed)
+    evaluation = ForestEvaluation(rows, features, label, window_size, batch_size, forest, tasks)
 
-    parts = read_parts(spark, metrics_path, ML_PERFORMANCE)
-    pending = pending_windows(rows, WindowGrid(series, window_size, batch_size), parts)
+    grid = grid_of(series, read_parts(spark, metrics_path, ML_PERFORMANCE), window_size, batch_size, restart_grid)
+    pending = pending_windows(rows, grid, stored_metrics(spark, metrics_path))
 
-    threads = parallelism or min(16, spark.sparkContext.defaultParallelism)
-    with ThreadPool(threads) as pool:
-        for number, group in enumerate(_groups(pending, WINDOWS_PER_WRITE), next_part(spark, metrics_path)):
-            scored = pool.map(inheritable_thread_target(spark)(evaluation.scored), group)
-            together = reduce(DataFrame.unionByName, scored)
-            metrics = error_by_window(together, label, ["t_end", "complete"])
+    with ThreadPool(parallelism or spark.sparkContext.defaultParallelism) as pool:
+        scored = pool.imap(inheritable_thread_target(spark)(evaluation.scored), pending.toLocalIterator())
+        for number, group in enumerate(batched(scored, WINDOWS_PER_WRITE), next_part(spark, metrics_path)):
+            metrics = error_by_window(reduce(DataFrame.unionByName, group), label, SCORED)
+            metrics = metrics.withColumn("origin", F.lit(grid.first_t).cast("bigint"))
             write_part(stamped(metrics, processed_at), metrics_path, number, ["t_end"])
     return stored_metrics(spark, metrics_path)
 

@@ -5,14 +5,14 @@ very many windows then only waits for the driver. Here the trees of all windows
 level per job: a level is a grouped sum over (window, tree, node, feature, bin), a choice of the best
 cut per node, and an equi-join that sends the drawn rows to their next node.
 
-The series has one row per ``t``, as a binned series does, so a tree has at most ``window_size``
-rows and all work on it stays in one task, with one shuffle per level. A window with more rows is
-refused; the library forest is the one for those.
+Drawn rows are partitioned by tree once and kept so; a level shuffles sums and cuts. A task meets the
+rows of a tree one after the other, so a window with very many of them takes time, not memory.
 
 The forest is the usual one for regression: rows drawn with replacement (Poisson weights), a third
 of the features per node, cuts at 1/32 quantiles of the window, greatest reduction of variance,
-the mean as leaf. Draws are hashes of (seed, window, tree, time) and targets are summed as whole
-numbers, so the result is the same on any number of tasks.
+the mean as leaf. Draws are hashes of (seed, window, tree, time, rank among the rows of that time), and
+targets are summed as whole steps of the window's own range, so the result is the same on any number
+of tasks and for targets of any size.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import datetime
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,14 +37,16 @@ from tidegauge.constants import (
 )
 from tidegauge.operators.latest import read_parts
 from tidegauge.operators.windows import WindowGrid, error_by_window
-from tidegauge.plans.walk_forward_forest import next_part, pending_windows, stored_metrics
+from tidegauge.plans.walk_forward_forest import SCORED, grid_of, next_part, pending_windows, read_series, stored_metrics
 from tidegauge.plans.walk_forward_linear import complete_rows, numbered
 from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.scratch import fresh_folder
 from tidegauge.sinks import stamped, write_part, write_snapshot
 
-# Targets are summed as multiples of this fraction.
-TARGET_UNITS = 10_000
+# Targets are summed as multiples of this fraction of the range they have in their window.
+TARGET_STEPS = 2**31
+# Equal rows that are numbered together.
+ROWS_PER_LOT = 10_000
 
 TREE = ("t_end", "tree")
 NODE = (*TREE, "node")
@@ -58,14 +61,36 @@ def poisson_steps() -> list[float]:
     return steps
 
 
+def ranked_rows(rows: DataFrame) -> DataFrame:
+    """Add ``nth``, each row's number among the rows of its time, by value: equal rows get neighbouring numbers.
+
+    Equal rows are counted first. The distinct ones are sorted by range over all tasks, and a task's
+    numbers for a time start where those of the tasks before it end, so no task sorts a whole time.
+    """
+    columns = rows.columns
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    ranged = counted.repartitionByRange(*columns).withColumn("_task", F.spark_partition_id())
+    spark = rows.sparkSession
+    ranged = spark.read.parquet(write_snapshot(ranged, fresh_folder(spark, "ranked")))
+    by_task = ranged.groupBy("t", "_task").agg(F.sum("_copies").alias("_size"))
+    earlier = Window.partitionBy("t").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    by_task = by_task.select("t", "_task", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("t", "_task").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("_before", F.coalesce(F.sum("_copies").over(within), F.lit(0))).join(by_task, ["t", "_task"])
+    lots = placed.withColumn("_lot", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {ROWS_PER_LOT})")))
+    in_lot = f"sequence(_lot * {ROWS_PER_LOT}, least((_lot + 1) * {ROWS_PER_LOT}, _copies) - 1)"
+    numbered_rows = lots.withColumn("_copy", F.explode(F.expr(in_lot)))
+    return numbered_rows.select(*columns, F.expr("_base + _before + _copy").alias("nth"))
+
+
 def _binned(
     series: DataFrame, grid: WindowGrid, features: Sequence[str], label: str, only: DataFrame | None
 ) -> DataFrame:
     """Train and test rows of every window, each feature as the number of its window's cut."""
     p = len(features)
     values = [f"v{i}" for i in range(p)]
-    rows = numbered(series, [*features, label]).withColumn("block", grid.block())
-    placed = grid.place(rows).select("t_end", "is_train", "t", *values, F.col(f"v{p}").alias("y"))
+    rows = ranked_rows(numbered(series, [*features, label])).withColumn("block", grid.block())
+    placed = grid.place(rows).select("t_end", "is_train", "t", "nth", *values, F.col(f"v{p}").alias("y"))
     if only is not None:
         placed = placed.join(only.select("t_end"), "t_end", "left_semi")
     quantiles = F.array(*[F.lit(k / MAX_BINS) for k in range(1, MAX_BINS)])
@@ -73,29 +98,30 @@ def _binned(
         placed.filter("is_train")
         .groupBy("t_end")
         .agg(
-            F.count(F.lit(1)).alias("n_train"),
             F.avg("y").alias("train_mean"),
+            F.min("y").alias("low"),
+            F.max("y").alias("high"),
             *[F.percentile_approx(v, quantiles, 10_000).alias(f"cuts_{v}") for v in values],
         )
     )
     bins = ", ".join(f"size(filter(cuts_{v}, c -> c < {v}))" for v in values)
-    checked = f"if(n_train <= {grid.window_size}, array({bins}), raise_error('more than one row per t')) AS bins"
-    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", checked, "y", "train_mean")
+    step = f"(high - low) / {TARGET_STEPS} AS step"
+    return placed.join(cuts, "t_end").selectExpr("t_end", "is_train", "t", "nth", f"array({bins}) AS bins", "y", "train_mean", "low", step)
 
 
 def _drawn(binned: DataFrame, num_trees: int, seed: int) -> DataFrame:
     """Train rows once per tree that draws them: ``w`` times, with ``s`` as their summed target."""
-    bits = f"conv(substr(md5(concat_ws(':', {seed}, t_end, tree, t)), 1, 8), 16, 10)"
+    bits = f"conv(substr(md5(concat_ws(':', {seed}, t_end, tree, t, nth)), 1, 8), 16, 10)"
     # As the output of a generator ``u`` is computed once; a filter on a projected column would
     # be moved below it and repeat the hash for every comparison.
     draws = f"inline(transform(sequence(0, {num_trees - 1}), tree -> struct(tree, {bits} / 4294967296D AS u)))"
     weight = " + ".join(f"CAST(u >= {step!r}D AS BIGINT)" for step in poisson_steps())
     return (
         binned.filter("is_train")
-        .selectExpr("t_end", "bins", f"CAST(rint(y * {TARGET_UNITS}) AS BIGINT) AS units", f"{draws} AS (tree, u)")
-        .selectExpr(*TREE, "bins", "units", f"{weight} AS w")
+        .selectExpr("t_end", "bins", "low", "step", "CAST(if(step > 0, rint((y - low) / step), 0D) AS BIGINT) AS units", f"{draws} AS (tree, u)")
+        .selectExpr(*TREE, "bins", "low", "step", "units", f"{weight} AS w")
         .filter("w > 0")
-        .selectExpr(*TREE, "bins", "w", "w * units AS s")
+        .selectExpr(*TREE, "bins", "low", "step", "w", "w * units AS s")
     )
 
 
@@ -157,9 +183,9 @@ def _models(drawn: DataFrame, trees: DataFrame, depth: int) -> DataFrame:
     """The trees of each window, in order, with their splits and the mean target of each leaf."""
     leaves = (
         drawn.join(trees, list(TREE), "left")
-        .selectExpr(*TREE, f"{_node_after(depth, 'splits')} AS node", "w", "s")
+        .selectExpr(*TREE, f"{_node_after(depth, 'splits')} AS node", "w", "s", "low", "step")
         .groupBy(*NODE)
-        .agg(F.expr(f"CAST(sum(s) AS DOUBLE) / sum(w) / {TARGET_UNITS} AS mean"))
+        .agg(F.expr("first(low) + CAST(sum(s) AS DOUBLE) / sum(w) * first(step) AS mean"))
         .groupBy(*TREE)
         .agg(F.map_from_entries(F.collect_list(F.struct("node", "mean"))).alias("leaves"))
     )
@@ -177,6 +203,7 @@ def walk_forward_forest_grouped(
     depth: int = MAX_DEPTH,
     seed: int = FOREST_SEED,
     only: DataFrame | None = None,
+    grid: WindowGrid | None = None,
 ) -> DataFrame:
     """``t_end``, ``mae`` and ``mean_pred`` of every valid window, or of those in ``only``.
 
@@ -184,14 +211,14 @@ def walk_forward_forest_grouped(
     folder: later levels read them, and a lost executor costs the level it worked on.
     """
     spark = series.sparkSession
-    grid = WindowGrid(series, window_size, batch_size)
+    grid = grid or WindowGrid(series, window_size, batch_size)
     folder = fresh_folder(spark, "forests")
     tried = math.ceil(len(features) / 3)
 
     binned = spark.read.parquet(write_snapshot(_binned(series, grid, features, label, only), f"{folder}/rows"))
     drawn = spark.read.parquet(write_snapshot(_drawn(binned, num_trees, seed), f"{folder}/drawn"))
-    # All a level does is within a tree, of at most ``window_size`` rows: one shuffle per level.
-    drawn = drawn.repartition(*TREE)
+    # Kept on disk by tree, so that levels shuffle no rows; what is lost is read again from the folder.
+    drawn = drawn.repartition(*TREE).persist(StorageLevel.DISK_ONLY)
     at_level = drawn.withColumn("node", F.lit(1))
     for level in range(depth):
         write_part(_best_splits(at_level, level, seed, tried), f"{folder}/splits", level)
@@ -201,7 +228,7 @@ def walk_forward_forest_grouped(
 
     leaf = f"try_element_at(m.leaves, {_node_after(depth, 'm.splits')})"
     forest = f"aggregate(trees, 0D, (total, m) -> total + {leaf}) / size(trees)"
-    tests = binned.filter("NOT is_train").drop("is_train", "t")
+    tests = binned.filter("NOT is_train").select("t_end", "bins", "y", "train_mean")
     # Of a window with a row or two, it can happen that no tree draws any; the mean is left then.
     scored = tests.join(_models(drawn, trees, depth), "t_end", "left")
     return error_by_window(scored.selectExpr("t_end", "y", f"coalesce({forest}, train_mean) AS prediction"))
@@ -216,16 +243,17 @@ def evaluate_forest_grouped(
     label: str = LABEL,
     window_size: int = WINDOW_SIZE,
     batch_size: int = BATCH_SIZE,
+    restart_grid: bool = False,
     processed_at: Column | datetime.datetime | None = None,
 ) -> DataFrame:
-    """Score every window that lacks a final score, store the scores as one part, return all."""
-    series = spark.read.parquet(series_path).select("t", *features, label)
-    grid = WindowGrid(series, window_size, batch_size)
-    pending = pending_windows(
-        complete_rows(series, [*features, label]), grid, read_parts(spark, metrics_path, ML_PERFORMANCE)
-    )
+    """Score every window whose score is not up to date, store the scores as one part, return all."""
+    series = read_series(spark, series_path, [*features, label])
+    if series is None:
+        return stored_metrics(spark, metrics_path)
+    grid = grid_of(series, read_parts(spark, metrics_path, ML_PERFORMANCE), window_size, batch_size, restart_grid)
+    pending = pending_windows(complete_rows(series, [*features, label]), grid, stored_metrics(spark, metrics_path))
     if not pending.isEmpty():
-        metrics = walk_forward_forest_grouped(series, features, label, window_size, batch_size, only=pending)
-        metrics = metrics.withColumn("complete", grid.is_complete(F.col("t_end")))
+        metrics = walk_forward_forest_grouped(series, features, label, window_size, batch_size, only=pending, grid=grid)
+        metrics = metrics.join(pending.select(*SCORED), "t_end").withColumn("origin", F.lit(grid.first_t).cast("bigint"))
         write_part(stamped(metrics, processed_at), metrics_path, next_part(spark, metrics_path), ["t_end"])
     return stored_metrics(spark, metrics_path)

@@ -19,11 +19,19 @@ REQUEST_LOGS = (
     "size DOUBLE, y DOUBLE, drift_factor DOUBLE, processed_at TIMESTAMP"
 )
 
-# ``complete`` says whether the test part was already full when it was scored.
-ML_PERFORMANCE = "t_end BIGINT, mae DOUBLE, mean_pred DOUBLE, complete BOOLEAN, processed_at TIMESTAMP"
+# How many rows the window had when it was scored, whether its test part was full, and the time from
+# which the ends of its evaluation are counted.
+ML_PERFORMANCE = (
+    "t_end BIGINT, n_train BIGINT, n_test BIGINT, complete BOOLEAN, mae DOUBLE, mean_pred DOUBLE, "
+    "origin BIGINT, processed_at TIMESTAMP"
+)
 
 MODEL_RESULTS = "coeff DOUBLE, intercept DOUBLE, updated_at TIMESTAMP"
 
 WORD_COUNT = "word STRING, count BIGINT"
 
+def field_names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(",")]
+
+
 METADATA = "key STRING, value DOUBLE, updated_at TIMESTAMP_NTZ"

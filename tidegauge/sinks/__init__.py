@@ -5,6 +5,7 @@ from tidegauge.sinks.tables import (
     create_absent,
     stamped,
     truncate,
+    write_lines,
     write_part,
     write_snapshot,
     write_with_fallback,
@@ -15,6 +16,7 @@ __all__ = [
     "create_absent",
     "stamped",
     "truncate",
+    "write_lines",
     "write_part",
     "write_snapshot",
     "write_with_fallback",

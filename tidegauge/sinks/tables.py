@@ -53,6 +53,12 @@ def append_sorted(df: DataFrame, path: str, by: Sequence[str]) -> str:
     return path
 
 
+def write_lines(lines: DataFrame, path: str, part: int) -> str:
+    """Write one numbered part of a text table; writing it again replaces that part only."""
+    lines.write.mode("overwrite").option("lineSep", "\n").text(f"{path}/{PART}={part}")
+    return path
+
+
 def write_part(df: DataFrame, path: str, part: int, sort_by: Sequence[str] = ()) -> str:
     """Write one numbered part of the table; writing it again replaces that part only.
 

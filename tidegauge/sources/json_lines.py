@@ -15,10 +15,14 @@ DEFAULT_GLOB = "*.json"
 
 
 class JsonScan(NamedTuple):
-    """Rows that fit the schema, and the lines that do not (fields as far as they parsed)."""
+    """Rows that fit the schema, and the lines that do not (fields as far as they parsed).
+
+    ``lines`` are both together, the bad ones marked by ``_corrupt_record``: for one pass over the input.
+    """
 
     rows: DataFrame
     rejects: DataFrame
+    lines: DataFrame
 
 
 def split_rejects(raw: DataFrame) -> JsonScan:
@@ -34,9 +38,22 @@ def split_rejects(raw: DataFrame) -> JsonScan:
     return JsonScan(
         raw.filter(corrupt.isNull() & all_parsed).drop(CORRUPT),
         raw.filter(corrupt.isNotNull() & all_parsed),
+        raw.filter(all_parsed),
     )
 
 
+def reject_rows(lines: DataFrame, bad: Column) -> DataFrame:
+    """Marked lines of which well-formed ones are marked too where ``bad`` holds, with their record as text."""
+    fields = [c for c in lines.columns if c != CORRUPT]
+    record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return lines.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNull() & bad, record).otherwise(F.col(CORRUPT)))
+
+
+def rejected_lines(rejects: DataFrame) -> DataFrame:
+    """Rejects as a text table of the lines themselves."""
+    return rejects.select(F.col(CORRUPT).alias("value"))
+
+
 def with_corrupt(schema: str) -> str:
     return f"{schema}, {CORRUPT} STRING"
 
@@ -75,6 +92,7 @@ def scan_present(spark: SparkSession, paths: Iterable[str], schema: str, **optio
     return JsonScan(
         reduce(DataFrame.unionByName, [s.rows for s in scans]),
         reduce(DataFrame.unionByName, [s.rejects for s in scans]),
+        reduce(DataFrame.unionByName, [s.lines for s in scans]),
     )
 
 

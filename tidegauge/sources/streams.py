@@ -21,8 +21,8 @@ def _reader(spark: SparkSession, max_files: int | None, archive: str | None):
 def stream_text(
     spark: SparkSession, path: str, *, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """One row ``value`` per line of the text files below ``path``."""
-    return _reader(spark, max_files, archive).format("text").load(path)
+    """One row ``value`` per line of the text files below ``path``; lines end at line feeds only."""
+    return _reader(spark, max_files, archive).format("text").option("lineSep", "\n").load(path)
 
 
 def stream_json_lines(

@@ -2,6 +2,6 @@
 unless a trigger says otherwise, and continues from its checkpoint when started again."""
 
 from tidegauge.streaming.loads import stream_latest, stream_log, stream_series, stream_totals
-from tidegauge.streaming.word_count import console_word_count, running_word_count
+from tidegauge.streaming.word_count import console_word_count, read_counts, running_word_count
 
-__all__ = ["console_word_count", "running_word_count", "stream_latest", "stream_log", "stream_series", "stream_totals"]
+__all__ = ["console_word_count", "read_counts", "running_word_count", "stream_latest", "stream_log", "stream_series", "stream_totals"]

@@ -1,7 +1,8 @@
 """Running word count over arriving text files.
 
-The state holds one count per distinct word, as does every complete output: both are bounded by
-the vocabulary, not by the text.
+The state holds one count per distinct word: it is bounded by the vocabulary, not by the text. A batch
+writes the counts that it changed as a numbered part of the table; readers take each word's last one,
+and no part that they read is ever replaced by another batch.
 """
 
 from __future__ import annotations
@@ -9,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegauge.operators.latest import read_replacing
 from tidegauge.operators.words import word_counts
 from tidegauge.schemas import WORD_COUNT
-from tidegauge.sinks import create_absent, truncate, write_snapshot
+from tidegauge.sinks import create_absent, truncate, write_part
 from tidegauge.sources import stream_text
 from tidegauge.streaming.runs import start, state_partitions
 
@@ -27,22 +29,24 @@ def running_word_count(
     every: str | None = None,
     restart: bool = False,
 ) -> StreamingQuery:
-    """Keep ``table`` equal to the counts so far.
+    """Keep the counts so far in ``table``, to be read with `read_counts`.
 
-    Every batch hands over all counts and replaces the table with them: appending would list a
-    word once per batch. A batch that is run again writes the same table. ``restart`` empties the
-    table first; it belongs with a new checkpoint, since counts already made come back only with
-    the next batch.
+    A batch that is run again writes the same part. ``restart`` empties the table first; it belongs
+    with a new checkpoint.
     """
 
-    def replace(counts: DataFrame, batch_id: int) -> None:
-        write_snapshot(counts, table)
+    def store(counts: DataFrame, batch_id: int) -> None:
+        write_part(counts, table, batch_id)
 
     prepare = truncate if restart else create_absent
     prepare(spark, table, WORD_COUNT)
     counts = word_counts(stream_text(spark, source, max_files=max_files))
     with state_partitions(spark, partitions):
-        return start(counts.writeStream.outputMode("complete").foreachBatch(replace), checkpoint, every)
+        return start(counts.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
+
+
+def read_counts(spark: SparkSession, table: str) -> DataFrame:
+    return read_replacing(spark, table, WORD_COUNT, ["word"])
 
 
 def console_word_count(
