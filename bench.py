@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from tidegauge.catalog import QUERIES
+from tidegauge.scratch import release
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -23,7 +24,9 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 def timed(spark: SparkSession, name: str) -> float:
     started = time.perf_counter()
     QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - started
+    seconds = time.perf_counter() - started
+    release(spark)
+    return seconds
 
 
 def main() -> None:

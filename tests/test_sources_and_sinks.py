@@ -3,13 +3,15 @@ from __future__ import annotations
 import datetime
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 
+from tidegauge.catalog import QUERIES
 from tidegauge.operators.aggregates import average, bounds, totals
 from tidegauge.schemas import REQUEST_LOG, SALES, WORD_COUNT
-from tidegauge.scratch import fresh_folder, shared_base
+from tidegauge.scratch import fresh_folder, release, shared_base
 from tidegauge.sinks import append_sorted, create_absent, stamped, truncate, write_part, write_snapshot, write_with_fallback
 from tidegauge.sources import (
     empty_table,
@@ -169,6 +171,12 @@ def test_newest_is_planned_as_a_distributed_top_n(spark, tmp_path):
 def test_scratch_is_below_the_configured_folder(spark):
     a, b = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert a != b and a.startswith(shared_base(spark)) and b.startswith(shared_base(spark))
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert shared_base(spark) == configured.rstrip("/")
+    assert shared_base(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_finished_query_leaves_only_its_result(spark, tmp_path):
+    release(spark)
+    path = write_snapshot(QUERIES["request_log_replaced"](spark, "/root/testdata/sf0.001"), str(tmp_path / "result"))
+    base = Path(shared_base(spark)) / "tidegauge"
+    assert list(base.iterdir()) and release(spark) > 0 and not list(base.iterdir())
+    assert spark.read.parquet(path).count() > 0 and release(spark) == 0

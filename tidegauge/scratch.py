@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import SparkSession
 
+_made: dict[str, list[str]] = defaultdict(list)
+
 
 def shared_base(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or else the one given to ``setCheckpointDir``."""
@@ -16,5 +19,20 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has written to yet."""
-    return f"{shared_base(spark)}/tidegauge/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has written to yet. `release` deletes it."""
+    path = f"{shared_base(spark)}/tidegauge/{label}-{uuid.uuid4().hex}"
+    _made[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has put into its fresh folders; how many there were.
+
+    Frames are evaluated late and may still read them: call this when results are stored elsewhere.
+    """
+    context = spark.sparkContext
+    paths = _made.pop(context.applicationId, [])
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
