@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from tidegauge.llm.kernel import slices, word_hashes
+from tidegauge.llm.kernel import Texts, mix, slices, word_hashes
 
 _LETTER = np.zeros(256, np.float32)
 _LETTER[65:91] = _LETTER[97:123] = 1
@@ -22,6 +22,8 @@ def _of(chars: str) -> np.ndarray:
 _OTHER = np.zeros(256, np.float32)
 _OTHER[0xC0:] = 1  # first byte of a character beyond ASCII
 
+_LETTERS, _CAPITALS = (_LETTER + _OTHER).astype(np.uint8), _UPPER.astype(np.uint8)
+
 #: Shares of a text's bytes.
 KINDS = {
     "letters": _LETTER,
@@ -51,12 +53,20 @@ def _sums(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return total[high] - total[low]
 
 
+def _byte_counts(texts: Texts) -> np.ndarray:
+    """How often each byte value occurs in each text, for a slice of bounded size."""
+    out = np.zeros((len(texts.ends), 256), np.float64)
+    for row, (a, b) in enumerate(zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)):
+        out[row] = np.bincount(texts.data[a:b], minlength=256)
+    return out
+
+
 def _distinct(keys: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-    order = np.lexsort((keys, owner))
-    k, o = keys[order], owner[order]
-    new = np.ones(len(k), bool)
-    new[1:] = (k[1:] != k[:-1]) | (o[1:] != o[:-1])
-    return np.bincount(o[new], minlength=texts).astype(np.float64)
+    """Distinct hashes per text; 44 bits of them, which is plenty for a statistic."""
+    both = np.sort((owner.astype(np.uint64) << np.uint64(44)) | (keys >> np.uint64(20)))
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    return np.bincount((both[new] >> np.uint64(44)).astype(np.int64), minlength=texts).astype(np.float64)
 
 
 def statistics(column: pa.Array) -> np.ndarray:
@@ -69,15 +79,16 @@ def statistics(column: pa.Array) -> np.ndarray:
         count = (words.last - words.first).astype(np.float64)
         length = (words.ends - words.starts).astype(np.float64)
         owner = np.repeat(np.arange(len(ends)), (words.last - words.first))
-        byte = [_ratio(_sums(kind[texts.data], starts, ends), size) for kind in KINDS.values()]
-        letter = np.concatenate(([0.0], np.cumsum(_LETTER[texts.data] + _OTHER[texts.data], dtype=np.float64)))
-        upper = np.concatenate(([0.0], np.cumsum(_UPPER[texts.data], dtype=np.float64)))
+        counts = _byte_counts(texts)
+        byte = [_ratio(counts @ kind, size) for kind in KINDS.values()]
+        letter = np.concatenate(([0], np.cumsum(_LETTERS[texts.data], dtype=np.int64)))
+        upper = np.concatenate(([0], np.cumsum(_CAPITALS[texts.data], dtype=np.int64)))
         letters, uppers = letter[words.ends] - letter[words.starts], upper[words.ends] - upper[words.starts]
         last = texts.data[words.ends - 1] if len(length) else np.zeros(0, np.uint8)
         echo = np.zeros(len(hashes))
         echo[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
         pair = hashes.copy()
-        pair[1:] = hashes[1:] * np.uint64(0x9E3779B97F4A7C15) + hashes[:-1]
+        pair[1:] = mix(hashes[1:] * np.uint64(0x9E3779B97F4A7C15) + hashes[:-1])
         per_word = {
             "mean": length,
             "square": length**2,
