@@ -21,7 +21,13 @@ def write_file(uri: str, parts) -> None:
     with store.open_output_stream(draft) as out:
         for part in parts:
             out.write(part)
-    store.move(draft, path)
+    try:
+        store.move(draft, path)
+    except OSError:
+        # Some stores do not rename onto a file. What is there is whole, and another attempt's same content.
+        if store.get_file_info(path).type == pafs.FileType.NotFound:
+            raise
+        store.delete_file(draft)
 
 
 def read_unit(uri: str, unit: int):

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS = 200
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the workers, once an application: they import the functions that run there."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        # The driver serves this file to executors for as long as it runs.
+        folder = os.path.realpath(tempfile.mkdtemp(prefix="tidegauge-code-"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = Path(__file__).resolve().parents[2]
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/tidegauge", "zip", root, "tidegauge"))
+        _shipped.add(app)
+
+
 def bounded(df: DataFrame) -> DataFrame:
-    """The same frame, in a session whose Arrow batches have few enough rows for long texts."""
+    """The same frame, in a session whose workers have this package and get few enough rows at once for long texts."""
+    ship_code(df.sparkSession)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
         df.sparkSession.conf.set(key, BATCH_ROWS)
