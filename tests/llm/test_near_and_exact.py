@@ -122,6 +122,15 @@ def test_first_of_copies_keeps_whole_rows(edges, nothing):
     assert first_of_copies(nothing).count() == 0 and exact_duplicates(nothing).count() == 0
 
 
+def test_texts_are_shuffled_once_and_no_python_runs(spark):
+    from tidegauge.llm.exact_dedup import normalised_rows, stretches
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = stretches(normalised_rows(docs, []), [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(head" in plan and "Window" in plan
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
 def test_a_hot_group_of_copies(frame):
     got = exact_duplicates(frame([(i, "the same text") for i in range(500, 0, -1)] + [(501, "another")])).collect()
     assert Counter((r["keep_id"], r["group_size"], r["kept"]) for r in got) == {(1, 500, True): 1, (1, 500, False): 499, (501, 1, True): 1}

@@ -24,21 +24,26 @@ def normalised(text) -> F.Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " ")
 
 
-def _sorted_out(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Every row with its place in its stretch of equal texts, stored; and what each stretch knows of its group."""
+def normalised_rows(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """Rows with their normalised text and what they are dealt out by; columns to be carried along get other names."""
     lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(
-        *(F.col(f"`{c}`").alias(f"own_{c}") for c in carried),
-        "doc_id",
-        normalised(F.col("text")).alias("norm"),
-    ).select(
+    own = [F.col(f"`{c}`").alias(f"own_{c}") for c in carried]
+    return docs.select(*own, "doc_id", normalised(F.col("text")).alias("norm")).select(
         "*",
         F.substring("norm", 1, HEAD).alias("head"),
         F.xxhash64("norm").alias("hash"),
         F.pmod(F.xxhash64("doc_id"), F.lit(lots)).cast("int").alias("lot"),
     )
+
+
+def stretches(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """Each row's place, and the smallest id and size, in its stretch of equal texts.
+
+    The window asks for rows together that agree on all its keys. Ranges of three of them give that,
+    so the texts are not shuffled again.
+    """
     stretch = Window.partitionBy("head", "hash", "lot", "norm")
-    seen = rows.repartitionByRange("head", "hash", "lot").select(
+    return rows.repartitionByRange("head", "hash", "lot").select(
         *(f"own_{c}" for c in carried),
         "doc_id",
         "lot",
@@ -47,6 +52,11 @@ def _sorted_out(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFra
         F.min("doc_id").over(stretch).alias("least"),
         F.count(F.lit(1)).over(stretch).alias("size"),
     )
+
+
+def _sorted_out(docs: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Every row with its place in its stretch of equal texts, stored; and what each stretch knows of its group."""
+    seen = stretches(normalised_rows(docs, carried), carried)
     # With whole rows only the first of a stretch can stay.
     seen = stored(seen.where("place = 1") if carried else seen, "texts")
     heads = seen.where("place = 1").select("digest", "lot", "least", "size")

@@ -12,6 +12,8 @@ store that has no paths Spark brings them to each executor.
 
 from __future__ import annotations
 
+import mmap
+import resource
 from typing import NamedTuple
 
 import numpy as np
@@ -230,6 +232,17 @@ def trained(docs: DataFrame) -> tuple[str, int, Smoothing]:
     return folder, shares, Smoothing(word["tokens"] or 0, word["types"] or 0, pair_types, discounts([pair[f"n{i}"] or 0 for i in range(4)]), by_word, back)
 
 
+def _mapped(path: str) -> np.ndarray:
+    """The bytes of a file, mapped into memory without a file handle that stays open: models have thousands of files."""
+    with open(path, "rb") as file:
+        try:
+            return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)
+        except TypeError:  # before Python 3.13 a handle is kept
+            limit = resource.getrlimit(resource.RLIMIT_NOFILE)[1]
+            resource.setrlimit(resource.RLIMIT_NOFILE, (limit, limit))
+            return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
+
+
 class Arrays:
     """The sorted arrays, mapped into memory as far as they are looked at."""
 
@@ -242,7 +255,7 @@ class Arrays:
             if store.get_file_info(path).type == pafs.FileType.NotFound:
                 self.open[kind, share] = None
             else:
-                raw = np.memmap(path, np.uint8, "r")
+                raw = _mapped(path)
                 fields = 1 if kind == "pairs" else len(_FIELDS)
                 n = len(raw) // (8 + 4 * fields)
                 self.open[kind, share] = raw[: 8 * n].view(np.uint64), raw[8 * n :].view("<u4").reshape(fields, n)
