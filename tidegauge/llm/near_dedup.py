@@ -225,7 +225,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     linked = first.union(second)
     labels = stored(components(linked), "labels")
     class_label = of_digest.join(labels.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("label", "id").alias("component_id"))
-    found = signed.select("doc_id", "digest", "n").join(class_label, "digest", "left")
+    # Copies of one text may be very many: they meet the label of their class lot by lot.
+    lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = signed.select("doc_id", "digest", "n", F.pmod(F.xxhash64("doc_id"), F.lit(lots)).alias("lot"))
+    labelled = found.where("digest is not null").select("digest", "lot").distinct().join(class_label, "digest")
+    found = found.join(labelled, ["digest", "lot"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return found.select(
         "doc_id",
