@@ -168,3 +168,14 @@ def test_repeated_substrings_of_tangled_texts(frame):
     rows += [(100 + k, PASSAGE_ALL) for k in range(30)]
     assert Counter(map(tuple, repeated_substrings(frame(rows)).collect())) == brute_substrings(rows)
 
+
+
+def test_documents_with_several_texts_have_the_links_of_all(frame, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)
+    texts = [edited(prose(1, 120), 0.02, k) for k in range(30)]
+    rows = [(k // 2, t) for k, t in enumerate(texts)] + [(100 + k, edited(prose(2, 120), 0.02, k)) for k in range(20)] + [(3, prose(2, 120))]
+    sets = [(i, shingles(t)) for i, t in rows]
+    links = [(a, b) for (a, x), (b, y) in combinations(sets, 2) if a != b and 100 * len(x & y) >= 80 * len(x | y)]
+    root = smallest_reachable({i for i, _ in rows}, links)
+    got = near_duplicates(frame(rows), 80).collect()
+    assert len(got) == len(rows) and all(r["component_id"] == root[r["doc_id"]] for r in got)

@@ -145,7 +145,7 @@ def _long_sketches(docs: DataFrame, members: DataFrame, width: int) -> DataFrame
             sketches = [(min_max([sets[i]], factors) & np.uint64(255)).astype(np.uint8).tobytes() for i in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sketches, pa.binary())], ["id", "long"])
 
-    return _sets_of(docs, members, width).mapInArrow(run, "id long, long binary").dropDuplicates(["id"])
+    return _sets_of(docs, members, width).mapInArrow(run, "id long, long binary")
 
 
 def _near_in_blocks(table: pa.Table, percent: int) -> pa.Table:

@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidegauge.llm.files import read_unit
 from tidegauge.llm.kernel import Texts, mix, pieces, prefix_sums, ranges, segment_hashes, slices
