@@ -5,14 +5,16 @@ from __future__ import annotations
 import random
 import re
 import sys
+from itertools import combinations
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from llm_rows import ROWS, prose
 
 from tidegauge.llm import decontamination
-from tidegauge.llm.decontamination import LEAST_SHARE, contamination, decontaminated, overlap
+from tidegauge.llm.decontamination import LEAST_SHARE, LEAST_WORDS, MASKS, SHORTEST, contamination, decontaminated, overlap, whole_masks
 from tidegauge.llm.licenses import MIT, canonical, license_scan
 from tidegauge.llm.queries import ORACLES, QUERIES
 
@@ -61,6 +63,44 @@ def test_passages_with_substituted_words_are_found(frame, items, block, monkeypa
     assert {r["doc_id"] for r in kept.collect()} == set(got) - set(want) and kept.columns == frame([]).columns
 
 
+@pytest.mark.parametrize("n", range(SHORTEST, 2 * LEAST_WORDS))
+def test_every_placement_of_substituted_words_has_a_hit(n):
+    differ = np.array([sum(1 << i for i in c) for c in combinations(range(n), int(n * (1 - LEAST_SHARE) + 1e-9))])
+    hit = np.zeros(len(differ), bool)
+    for mask in MASKS if n >= LEAST_WORDS else whole_masks(n):
+        for place in range(n - len(mask) + 1):
+            hit |= (differ >> place) & int(mask[::-1], 2) == 0
+    assert hit.all()
+
+
+def test_overlaps_with_random_substitutions_equal_brute_force(frame, spark):
+    r = random.Random(12)
+    items = {i: prose(3000 + i, r.choice([*range(6, 17), 20, 25, 30])).split(" ") for i in range(60)}
+    docs = {}
+    for k in range(600):
+        own = items[k % 60]
+        length = r.randint(min(LEAST_WORDS, len(own)), len(own))
+        part = own[(low := r.randint(0, len(own) - length)) : low + length]
+        for place in r.sample(range(length), int(length * r.choice((0.2, 0.2, 0.1, 0.25, 0.3)))):
+            part = [*part[:place], f"other{k}", *part[place + 1 :]]
+        docs[k] = [*prose(5000 + k, r.randint(0, 5)).split(" "), *part, *prose(7000 + k, r.randint(0, 5)).split(" ")]
+    docs = {k: [w for w in d if w] for k, d in docs.items()}
+    want = {}
+    for k, words in docs.items():
+        want[k] = []
+        for i, own in items.items():
+            for diagonal in range(1 - len(own), len(words)):
+                low, high = max(diagonal, 0), min(diagonal + len(own), len(words))
+                agree = [words[p] == own[p - diagonal] for p in range(low, high)]
+                least = min(LEAST_WORDS, len(own))
+                if any(sum(agree[a:b]) >= LEAST_SHARE * (b - a) - 1e-9 for a in range(len(agree)) for b in range(a + least, len(agree) + 1)):
+                    want[k].append(i)
+                    break
+    found = contamination(frame([(k, " ".join(d)) for k, d in docs.items()]), spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert {row["doc_id"]: row["item_ids"] for row in found.collect()} == want
+    assert 200 < sum(map(bool, want.values())) < 600
+
+
 def test_decontamination_of_edge_cases(edges, nothing, items):
     assert sum(r["contaminated"] for r in contamination(edges, items).collect()) == 0
     assert contamination(edges, items.limit(0)).count() == decontaminated(edges, items.limit(0)).count() == len(ROWS)

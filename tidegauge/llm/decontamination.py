@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed looks at some places of a window of words and ignores the others, by one of a few fixed masks,
-so a window still hits where ignored words were substituted. Test windows are hashed under every mask
+so a window still hits where ignored words were substituted. The masks are chosen so that every overlap
+by the rule has a hit, wherever its substituted words stand. Test windows are hashed under every mask
 and sent to all tasks in blocks of bounded size; a task hashes the windows of its documents alike
 and joins them by hash. Around every hit the document and the test item are compared word by word
 along the diagonal, and the longest stretch in which enough words agree decides.
@@ -10,18 +11,19 @@ along the diagonal, and the longest stretch in which enough words agree decides.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidegauge.llm.kernel import gram_hashes, mix, pieces, slices, word_hashes
+from tidegauge.llm.kernel import Words, mix, pieces, ranges, slices, word_hashes
 from tidegauge.llm.store import bounded
 
-#: Places that count in a window of words, by mask.
-MASKS = ("11101100111", "11010111011", "11110011101", "10111101101")
-SPAN = len(MASKS[0])
-#: Test items from this many words to ``SPAN - 1`` are looked for whole; shorter ones say too little.
+#: Places that count in a window of words, by mask. In a stretch of 13 to 25 words of which 80 % agree at least
+#: one window hits, whichever words differ; a longer one falls into two of which one has the share.
+MASKS = ("1101111", "110010001011", "110101011", "1110111")
+#: Test items from this many words to ``LEAST_WORDS - 1`` are looked for whole; shorter ones say too little.
 SHORTEST = 6
 #: An overlap is a stretch of so many words, or of the whole item if that is shorter, ...
 LEAST_WORDS = 13
@@ -29,9 +31,21 @@ LEAST_WORDS = 13
 LEAST_SHARE = 0.8
 #: Hashes of test windows that are sent to tasks at once.
 BLOCK = 1_000_000
+#: Words that are compared at once around hits.
+COMPARED = 1_000_000
 _FILTER = 1 << 20
 
 
+def whole_masks(n: int) -> list[str]:
+    """Masks over a whole item of ``n`` words; one ignores all words that differ if so few do that the share is kept.
+
+    The places are cut into parts, two more than words may differ, and each mask looks at two of them.
+    """
+    parts = int(n * (1 - LEAST_SHARE) + 1e-9) + 2
+    part = [place * parts // n for place in range(n)]
+    return ["".join("1" if p in two else "0" for p in part) for two in combinations(range(parts), 2)]
+
+
 def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the looked-at words of every window; the i-th window begins at word i."""
     n = len(hashes) - len(mask) + 1
@@ -49,15 +63,18 @@ class Seeds:
     """Test items by the hashes of their windows."""
 
     def __init__(self, ids: list[int], words: list[np.ndarray]) -> None:
-        self.ids, self.words = np.array(ids, np.int64), words
+        self.ids = np.array(ids, np.int64)
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        self.masks = [*MASKS, *(m for n in sorted({len(w) for w in words if len(w) < LEAST_WORDS}) for m in whole_masks(n))]
         keys, items, places = [], [], []
         for item, own in enumerate(words):
-            found = [seed_hashes(own, m) for m in MASKS] if len(own) >= SPAN else [gram_hashes(own, len(own))]
-            for hashed in found:
+            for mask in MASKS if len(own) >= LEAST_WORDS else whole_masks(len(own)):
+                hashed = seed_hashes(own, mask)
                 keys.append(hashed)
                 items.append(np.full(len(hashed), item))
                 places.append(np.arange(len(hashed)))
-        self.short = sorted({len(w) for w in words if len(w) < SPAN})
         key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         order = np.argsort(key, kind="stable")
         self.key = key[order]
@@ -67,16 +84,16 @@ class Seeds:
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Test item and diagonal (place in the words less place in the item) of every hit, each once."""
-        items, diagonals = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for hashed in (*(seed_hashes(hashes, m) for m in MASKS), *(gram_hashes(hashes, n) for n in self.short)):
+        both = [np.zeros(0, np.int64)]
+        for mask in self.masks:
+            hashed = seed_hashes(hashes, mask)
             at = np.flatnonzero(self.filter[(hashed & np.uint64(_FILTER - 1)).astype(np.int64)])
             low, high = np.searchsorted(self.key, hashed[at], "left"), np.searchsorted(self.key, hashed[at], "right")
             count = high - low
-            rows = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            items.append(self.item[rows])
-            diagonals.append(np.repeat(at, count) - self.place[rows])
-        both = np.unique(np.stack((np.concatenate(items), np.concatenate(diagonals))), axis=1)
-        return both[0], both[1]
+            rows = ranges(low, count)
+            both.append(np.unique((self.item[rows] << 32) + (np.repeat(at, count) - self.place[rows] + (1 << 31))))
+        some = np.unique(np.concatenate(both))
+        return some >> 32, (some & 0xFFFFFFFF) - (1 << 31)
 
 
 def overlap(agree: np.ndarray, least: int) -> int:
@@ -93,26 +110,40 @@ def overlap(agree: np.ndarray, least: int) -> int:
     return int(agree[span[0] : span[1]].sum()) if best else 0
 
 
+def _compared(seeds: Seeds, words: Words, hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Text, item and which words agree along each diagonal with a hit; only where enough agree for the least stretch."""
+    items, diagonals = seeds.hits(hashes)
+    low, high = np.maximum(diagonals, 0), np.minimum(diagonals + seeds.sizes[items], len(hashes))
+    # The texts that the diagonal runs over; a window across two texts is cut at the border.
+    first, last = np.searchsorted(words.last, low, "right"), np.searchsorted(words.first, high, "left")
+    count = np.maximum(last - first, 0)
+    text, of = ranges(first, count), np.repeat(np.arange(len(items)), count)
+    low, high = np.maximum(low[of], words.first[text]), np.minimum(high[of], words.last[text])
+    least = np.minimum(LEAST_WORDS, seeds.sizes[items[of]])
+    long = high - low >= least
+    text, of, low, size, least = text[long], of[long], low[long], (high - low)[long], least[long]
+    own = seeds.begins[items[of]] + low - diagonals[of]
+    turn = np.cumsum(size) // COMPARED
+    for rows in np.split(np.arange(len(of)), np.flatnonzero(np.diff(turn)) + 1):
+        if not len(rows):
+            continue
+        agree = hashes[ranges(low[rows], size[rows])] == seeds.words[ranges(own[rows], size[rows])]
+        ends = np.cumsum(size[rows])
+        starts = ends - size[rows]
+        for k in np.flatnonzero(np.add.reduceat(agree.astype(np.int64), starts) >= LEAST_SHARE * least[rows] - 1e-9).tolist():
+            yield int(text[rows[k]]), int(items[of[rows[k]]]), agree[starts[k] : ends[k]].astype(float)
+
+
 def _found(seeds: Seeds, column: pa.Array) -> Iterator[dict[int, int]]:
     """For each text the test items it overlaps, with the number of agreeing words."""
     for texts in slices(column):
         words, hashes = word_hashes(texts)
         out: list[dict[int, int]] = [{} for _ in texts.ends]
-        items, diagonals = seeds.hits(hashes)
-        for item, diagonal in zip(items.tolist(), diagonals.tolist(), strict=True):
-            own = seeds.words[item]
-            # The texts that the diagonal runs over; a window across two texts is cut at the border.
-            low, high = max(diagonal, 0), min(diagonal + len(own), len(hashes))
-            first = int(np.searchsorted(words.last, low, "right"))
-            last = int(np.searchsorted(words.first, high, "left"))
-            for text in range(first, min(last, len(out))):
-                a, b = max(low, int(words.first[text])), min(high, int(words.last[text]))
-                if b > a:
-                    agree = (hashes[a:b] == own[a - diagonal : b - diagonal]).astype(float)
-                    matched = overlap(agree, min(LEAST_WORDS, len(own)))
-                    key = int(seeds.ids[item])
-                    if matched > out[text].get(key, 0):
-                        out[text][key] = matched
+        for text, item, agree in _compared(seeds, words, hashes):
+            matched = overlap(agree, min(LEAST_WORDS, int(seeds.sizes[item])))
+            key = int(seeds.ids[item])
+            if matched > out[text].get(key, 0):
+                out[text][key] = matched
         yield from out
 
 
@@ -127,7 +158,7 @@ def seed_blocks(benchmark: DataFrame) -> Iterator[Seeds]:
         if len(own) >= SHORTEST:
             ids.append(row["item_id"])
             words.append(own)
-            size += len(MASKS) * len(own)
+            size += len(MASKS) * len(own) if len(own) >= LEAST_WORDS else len(whole_masks(len(own)))
         if size >= BLOCK:
             yield Seeds(ids, words)
             ids, words, size = [], [], 0
