@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import uuid
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from llm_rows import ROWS, edited, prose
 
-from tidegauge.llm import near_dedup
+from tidegauge.llm import near_dedup, substring_dedup
 from tidegauge.llm.components import components
 from tidegauge.llm.exact_dedup import exact_duplicates, first_of_copies
 from tidegauge.llm.near_dedup import near_duplicates
@@ -169,6 +171,35 @@ def test_repeated_substrings_of_tangled_texts(frame):
     assert Counter(map(tuple, repeated_substrings(frame(rows)).collect())) == brute_substrings(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 300])
+def test_keys_with_many_windows_are_taken_apart(frame, edges, hot, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", hot, raising=False)
+    monkeypatch.setattr(substring_dedup, "OFTEN", 1, raising=False)
+    monkeypatch.setattr(substring_dedup, "GATHERED", 100, raising=False)
+    assert Counter(map(tuple, repeated_substrings(edges).collect())) == brute_substrings(ROWS)
+    r = random.Random(9)
+    parts = [prose(k, 20) for k in range(6)] + ["x" * 120, "ab" * 60, "é" * 40]
+    rows = [(i, "".join(p[r.randint(0, 30) : r.randint(60, 130)] for p in r.choices(parts, k=r.randint(1, 5)))) for i in range(60)]
+    assert Counter(map(tuple, repeated_substrings(frame(rows)).collect())) == brute_substrings(rows)
+
+
+def test_a_passage_in_every_document_does_not_gather_in_one_share(frame, spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 1000, raising=False)
+    least_ids = substring_dedup._least_ids
+    folder = substring_dedup.fresh_folder(spark, "met")
+
+    def counted(table):
+        (Path(folder.removeprefix("file:")) / f"{uuid.uuid4().hex}").write_text(str(sum(len(k) // 8 for k in table["keys"].to_pylist())))
+        return least_ids(table)
+
+    monkeypatch.setattr(substring_dedup, "_least_ids", counted)
+    Path(folder.removeprefix("file:")).mkdir(parents=True, exist_ok=True)
+    rows = [(i, f"{prose(20_000 + i, 20)} {PASSAGE_ALL[:300]} {prose(40_000 + i, 20)}") for i in range(1500)]
+    assert Counter(map(tuple, repeated_substrings(frame(rows)).collect())) == brute_substrings(rows)
+    met = [int(f.read_text()) for f in Path(folder.removeprefix("file:")).iterdir()]
+    shares = substring_dedup.SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert met and max(met) < max(1000, 4 * sum(met) / shares), (max(met), sum(met), len(met))
+
 
 def test_documents_with_several_texts_have_the_links_of_all(frame, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)

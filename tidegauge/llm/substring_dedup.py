@@ -5,21 +5,25 @@ among its ``GRAM``-byte substrings, so equal strings have equal keys, and neighb
 same key form one segment of text. Four passes, of which the input is read in three:
 
 1. Each input partition (a unit) sends its distinct keys, six bytes each. A key that two documents
-   have is sent back to the units that have it.
-2. Each unit sends its distinct segments under those keys, with the smallest and largest id.
+   have is sent back to the units that have it, and whether it has many windows in all.
+2. Each unit sends its distinct segments under those keys, with the smallest and largest id. Under a key
+   with many windows each window is a segment of its own and is dealt out by its hash.
 3. Per key, segments meet. A key with one distinct segment is settled. Otherwise the suffixes at its
    windows are ordered by most-significant-digit passes, eight bytes a digit, and no further than
    ``LENGTH`` bytes: groups that stay equal are exactly the repeated strings. The smallest id of each
    group is sent back as runs of windows.
 4. Units cover the bytes of windows whose smallest id is below the document's own.
 
-A passage in a third of all documents is one segment per unit, never one per document. Memory of a
-task is bounded by its input partition, and by its share of keys: ``SHARES`` for each shuffle partition.
+Inside a passage that a third of all documents have, a unit has one segment. At the edges of the passage
+segments reach into each document's own text and are as many as documents, all under one key; there
+only equal windows meet. Memory of a task is bounded by its input partition, and by its share of keys:
+``SHARES`` for each shuffle partition.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,13 @@ GRAM = 20
 KEY_BITS = 48
 #: Shares of keys for each shuffle partition; a task takes them one at a time.
 SHARES = 4
+#: A key with so many windows in all documents is taken apart: its windows are compared by key and hash.
+HOT = 200_000
+#: A unit says how many windows a key has from so many on.
+OFTEN = 256
+#: Single windows that a unit gathers before it sends them.
+GATHERED = 500_000
+_LOW_BITS = np.uint64(64 - KEY_BITS)
 
 
 def _gram_values(sums: np.ndarray, n: int) -> np.ndarray:
@@ -54,6 +65,13 @@ def _least_of(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(least) - (width - done)], least[width - done :]) if done < width else least
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 class Segments:
     """Runs of windows with one key in some texts: first byte, number of windows, key, text number."""
 
@@ -84,6 +102,17 @@ class Segments:
         self.key = mix(least[self.first])
         self.text = np.searchsorted(ends, self.first, "right")
 
+    def split(self, hot: np.ndarray) -> None:
+        """Make each window under one of the sorted short keys a segment of its own."""
+        chosen = _among(self.key >> _LOW_BITS, hot)
+        if not chosen.any():
+            return
+        count = np.where(chosen, self.windows, 1)
+        of = np.repeat(np.arange(len(count)), count)
+        self.first = ranges(self.first, count)
+        self.windows = np.where(chosen, 1, self.windows)[of]
+        self.key, self.text = self.key[of], self.text[of]
+
     def names(self, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         """A number for key and text of the segment together."""
         first, windows = self.first[rows], self.windows[rows]
@@ -120,14 +149,12 @@ def _bounds(order_key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _send_keys(count: int):
-    low_bits = np.uint64(64 - KEY_BITS)
-
+def _send_keys(count: int, often: int):
     def run(batches):
         unit = TaskContext.get().partitionId()
-        keys, least, most = [], [], []
+        keys, least, most, windows = [], [], [], []
         for ids, _, segments in _scanned(batches):
-            key, doc = segments.key >> low_bits, ids[segments.text]
+            key, doc = segments.key >> _LOW_BITS, ids[segments.text]
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order]
             at = _bounds(key)
@@ -135,17 +162,19 @@ def _send_keys(count: int):
                 keys.append(key[at])
                 least.append(np.minimum.reduceat(doc, at))
                 most.append(np.maximum.reduceat(doc, at))
+                windows.append(np.add.reduceat(segments.windows[order], at).astype(np.uint32))
         if not keys:
             return
-        key, low, high = (np.concatenate(x) for x in (keys, least, most))
-        keys, least, most = [], [], []
+        key, low, high, total = (np.concatenate(x) for x in (keys, least, most, windows))
+        keys, least, most, windows = [], [], [], []
         order = np.argsort(key, kind="stable")
         key, at = key[order], _bounds(key[order])
         shared = np.minimum.reduceat(low[order], at) != np.maximum.reduceat(high[order], at)
-        key = key[at]
-        for share, a, b in _cuts(_shares(key << low_bits, count)):
+        key, total = key[at], np.add.reduceat(total[order], at, dtype=np.int64)
+        for share, a, b in _cuts(_shares(key << _LOW_BITS, count)):
+            many = np.flatnonzero(total[a:b] >= often)
             packed = np.ascontiguousarray(key[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8])
-            yield pa.RecordBatch.from_pylist([{"share": share, "unit": unit, "keys": packed.tobytes(), "shared": np.packbits(shared[a:b]).tobytes()}])
+            yield pa.RecordBatch.from_pylist([{"share": share, "unit": unit, "keys": packed.tobytes(), "shared": np.packbits(shared[a:b]).tobytes(), "many": many.tobytes(), "windows": total[a:b][many].tobytes()}])
 
     return run
 
@@ -157,45 +186,83 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return full.view("<u8").ravel().astype(np.uint64)
 
 
-def _repeated_keys(table: pa.Table) -> pa.Table:
-    """For one share: each unit's keys that another document has as well."""
-    units, rows = table["unit"].to_pylist(), [_unpacked(k) for k in table["keys"].to_pylist()]
-    shared = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(r)).astype(bool) for s, r in zip(table["shared"].to_pylist(), rows, strict=True)]
-    values, counts = np.unique(np.concatenate(rows), return_counts=True)
-    hot = np.union1d(values[counts > 1], np.concatenate([r[s] for r, s in zip(rows, shared, strict=True)]))
-    found = [r[np.isin(r, hot, assume_unique=True)].astype("<u8").tobytes() for r in rows]
-    return pa.table({"unit": pa.array(units, pa.int64()), "keys": pa.array(found, pa.binary())})
+def _repeated_keys(hot: int):
+    def run(table: pa.Table) -> pa.Table:
+        """For one share: each unit's keys that another document has as well, and which of them have ``hot`` windows."""
+        units, rows = table["unit"].to_pylist(), [_unpacked(k) for k in table["keys"].to_pylist()]
+        shared = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(r)).astype(bool) for s, r in zip(table["shared"].to_pylist(), rows, strict=True)]
+        values, counts = np.unique(np.concatenate(rows), return_counts=True)
+        repeated = np.union1d(values[counts > 1], np.concatenate([r[s] for r, s in zip(rows, shared, strict=True)]))
+        found = [r[np.isin(r, repeated, assume_unique=True)] for r in rows]
+        many = np.concatenate([r[np.frombuffer(m, np.int64)] for r, m in zip(rows, table["many"].to_pylist(), strict=True)])
+        windows = np.frombuffer(b"".join(table["windows"].to_pylist()), np.int64)
+        order = np.argsort(many, kind="stable")
+        at = _bounds(many[order])
+        large = many[order][at][np.add.reduceat(windows[order], at) >= hot] if len(at) else many
+        return pa.table(
+            {
+                "unit": pa.array(units, pa.int64()),
+                "keys": pa.array([f.astype("<u8").tobytes() for f in found], pa.binary()),
+                "hot": pa.array([f[_among(f, large)].astype("<u8").tobytes() for f in found], pa.binary()),
+            }
+        )
+
+    return run
 
 
-def _send_segments(count: int, replies: str):
-    low_bits = np.uint64(64 - KEY_BITS)
+def _answered(replies: str, unit: int, column: str) -> np.ndarray:
+    """The sorted keys that a unit was sent: all of ``keys``, or those of them that are ``hot``."""
+    table = read_unit(replies, unit)
+    return np.sort(np.frombuffer(b"" if table is None else b"".join(table[column].to_pylist()), "<u8"))
+
+
+def _single_windows(unit: int, count: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Windows dealt out by name to the ``count`` shares after those of keys; they have no size, and their names are the data."""
+    key, name, low, high = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(name, kind="stable")
+    at = _bounds(name[order])
+    key, name, low, high = key[order][at], name[order][at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)
+    for share, a, b in _cuts(_shares(name, count)):
+        yield pa.RecordBatch.from_pylist(
+            [{"share": count + share, "unit": unit, "keys": key[a:b].tobytes(), "sizes": b"", "least": low[a:b].tobytes(), "most": high[a:b].tobytes(), "data": name[a:b].tobytes()}]
+        )
+
 
+def _send_segments(count: int, replies: str):
     def run(batches):
         unit = TaskContext.get().partitionId()
-        table = read_unit(replies, unit)
-        if table is None:
+        wanted, hot = (_answered(replies, unit, column) for column in ("keys", "hot"))
+        if not len(wanted):
             return
-        wanted = np.sort(np.frombuffer(b"".join(table["keys"].to_pylist()), "<u8"))
+        single: list[tuple] = []
         names, keys, least, most, lengths, texts_of = [], [], [], [], [], []
         for ids, texts, segments in _scanned(batches):
-            if not len(wanted) or not len(segments.key):
-                continue
-            short = segments.key >> low_bits
-            rows = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)] == short)
+            segments.split(hot)
+            rows = np.flatnonzero(_among(segments.key >> _LOW_BITS, wanted))
             if not len(rows):
                 continue
             name, doc = segments.names(rows), ids[segments.text[rows]]
             order = np.argsort(name, kind="stable")
             at = _bounds(name[order])
-            one = rows[order[at]]
-            names.append(name[order][at])
+            one, name = rows[order[at]], name[order][at]
+            low, high = np.minimum.reduceat(doc[order], at), np.maximum.reduceat(doc[order], at)
+            apart = _among(segments.key[one] >> _LOW_BITS, hot)
+            if apart.any():
+                single.append((segments.key[one[apart]], name[apart], low[apart], high[apart]))
+                if sum(len(x[0]) for x in single) >= GATHERED:
+                    yield from _single_windows(unit, count, single)
+                    single = []
+            one, whole = one[~apart], ~apart
+            names.append(name[whole])
             keys.append(segments.key[one])
-            least.append(np.minimum.reduceat(doc[order], at))
-            most.append(np.maximum.reduceat(doc[order], at))
+            least.append(low[whole])
+            most.append(high[whole])
             size = segments.windows[one] + LENGTH - 1
             lengths.append(size)
             texts_of.append(texts.data[ranges(segments.first[one], size)])
-        if not names:
+        if single:
+            yield from _single_windows(unit, count, single)
+        if not sum(map(len, names)):
             return
         name, key, low, high, size = (np.concatenate(x) for x in (names, keys, least, most, lengths))
         data, begin = np.concatenate(texts_of), np.cumsum(size) - size
@@ -260,9 +327,12 @@ def _least_ids(table: pa.Table) -> pa.Table:
         return np.frombuffer(b"".join(table[column].to_pylist()), kind)
 
     key, size = joined("keys", np.uint64), joined("sizes", np.uint32).astype(np.int64)
-    low, high, data = joined("least", np.int64), joined("most", np.int64), joined("data", np.uint8)
+    low, high = joined("least", np.int64), joined("most", np.int64)
     counts = [len(k) // 8 for k in table["keys"].to_pylist()]
     unit = np.repeat(np.array(table["unit"].to_pylist(), np.int64), counts)
+    if not len(size):
+        return _least_of_windows(unit, key, joined("data", np.uint64), low, high)
+    data = joined("data", np.uint8)
     begin = np.cumsum(size) - size
     name = mix(key + segment_hashes(prefix_sums(data), begin, begin + size))
     order = np.lexsort((name, key))
@@ -313,9 +383,23 @@ def _least_ids(table: pa.Table) -> pa.Table:
     )
 
 
-def _cover(replies: str):
+def _least_of_windows(unit: np.ndarray, key: np.ndarray, name: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
+    """The same for a share of single windows; equal ones have the same key and name."""
+    order = np.lexsort((key, name))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(name[order]) != 0) | (np.diff(key[order]) != 0)
+    at = np.flatnonzero(new)
+    least = np.empty(len(order), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(low[order], at), np.diff(np.append(at, len(order))))
+    keep = least < high
+    n = int(keep.sum())
+    return pa.table({"unit": unit[keep], "name": name[keep].view(np.int64), "begin": np.zeros(n, np.int32), "windows": np.ones(n, np.int32), "least": least[keep]})
+
+
+def _cover(asked: str, replies: str):
     def run(batches):
         unit = TaskContext.get().partitionId()
+        hot = _answered(asked, unit, "hot")
         table = read_unit(replies, unit)
         if table is not None:
             name = table["name"].to_numpy().view(np.uint64)
@@ -331,6 +415,7 @@ def _cover(replies: str):
                 step = np.zeros(n + 1, np.int64)
                 if table is not None and len(name):
                     segments = Segments(texts)
+                    segments.split(hot)
                     mine = segments.names()
                     low, high = np.searchsorted(name, mine, "left"), np.searchsorted(name, mine, "right")
                     pick, of = ranges(low, high - low), np.repeat(np.arange(len(mine)), high - low)
@@ -356,6 +441,16 @@ def _cover(replies: str):
     return run
 
 
+def sent_segments(rows: DataFrame, count: int) -> tuple[DataFrame, str]:
+    """What meets in each share of the keys, and of the single windows of hot keys; and the folder of each unit's keys."""
+    asked = rows.mapInArrow(_send_keys(count, OFTEN), "share long, unit long, keys binary, shared binary, many binary, windows binary")
+    found = asked.groupBy("share").applyInArrow(_repeated_keys(HOT), "unit long, keys binary, hot binary")
+    keys = fresh_folder(rows.sparkSession, "repeated-keys")
+    found.repartition("unit").write.partitionBy("unit").parquet(keys)
+    kind = "share long, unit long, keys binary, sizes binary, least binary, most binary, data binary"
+    return rows.mapInArrow(_send_segments(count, keys), kind), keys
+
+
 def repeated_substrings(docs: DataFrame, plain_scan: bool = False) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` for every row of ``docs(doc_id, text)``.
 
@@ -373,14 +468,8 @@ def repeated_substrings(docs: DataFrame, plain_scan: bool = False) -> DataFrame:
     rows = docs.select("doc_id", "text")
     rows = bounded(rows if plain_scan else stored(rows, "rows"))
 
-    asked = rows.mapInArrow(_send_keys(count), "share long, unit long, keys binary, shared binary")
-    found = asked.groupBy("share").applyInArrow(_repeated_keys, "unit long, keys binary")
-    keys = fresh_folder(spark, "repeated-keys")
-    found.repartition("unit").write.partitionBy("unit").parquet(keys)
-
-    kind = "share long, unit long, keys binary, sizes binary, least binary, most binary, data binary"
-    sent = rows.mapInArrow(_send_segments(count, keys), kind)
+    sent, keys = sent_segments(rows, count)
     runs = sent.groupBy("share").applyInArrow(_least_ids, "unit long, name long, begin int, windows int, least long")
     covered = fresh_folder(spark, "runs")
     runs.repartition("unit").write.option("compression", "zstd").partitionBy("unit").parquet(covered)
-    return rows.mapInArrow(_cover(covered), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(_cover(keys, covered), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
