@@ -210,3 +210,13 @@ def test_documents_with_several_texts_have_the_links_of_all(frame, monkeypatch):
     root = smallest_reachable({i for i, _ in rows}, links)
     got = near_duplicates(frame(rows), 80).collect()
     assert len(got) == len(rows) and all(r["component_id"] == root[r["doc_id"]] for r in got)
+
+
+def test_an_id_links_the_equal_sets_of_all_its_texts(frame):
+    a, b, c, d = (prose(60 + k, 30) for k in range(4))
+    rows = [(3, a), (7, a), (7, b), (9, b), (20, c), (21, c), (22, c), (22, d), (23, d), (19, d), (30, prose(70, 30)), (None, a), (None, b)]
+    links = [(i, j) for (i, x), (j, y) in combinations(rows, 2) if i is not None and j is not None and i != j and shingles(x) == shingles(y)]
+    root = smallest_reachable({i for i, _ in rows if i is not None}, links)
+    got = near_duplicates(frame(rows), 80).collect()
+    assert len(got) == len(rows) and all(r["component_id"] == root.get(r["doc_id"]) for r in got)
+    assert {r["doc_id"] for r in got if r["kept"]} == {3, 19, 30, None}

@@ -10,7 +10,7 @@
    different components. Large ones, groups of edited copies that mostly are no near duplicates of
    each other, are compared block by block on longer signatures within tasks, which give only
    pairs that these allow to be linked. No group is gathered and no group's pairs are emitted.
-5. Components of all confirmed pairs.
+5. Components of all confirmed pairs, and of the classes that one id's texts belong to.
 
 With 32 bands of 4 values a link at exactly 0.8 escapes all buckets with probability 5e-8, at 0.85 6e-11.
 Signatures rule a pair out only at 6.5 standard deviations below the threshold. There is no cap on
@@ -223,10 +223,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH)
     second = _confirmed(docs, classes, stored(pairs.distinct(), "pairs"), percent, width)
 
     linked = first.union(second)
+    # Copies meet lot by lot, as they may be very many.
+    lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    several = named.groupBy("doc_id").agg(F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high"))
+    several = stored(several.where("low != high").select("doc_id"), "several")
+    if not several.isEmpty():
+        # An id with several sets links their classes, also where it is not the smallest of any.
+        own = named.select("doc_id", "digest").join(several, "doc_id", "left_semi").distinct()
+        own = stored(own.withColumn("lot", F.pmod(F.xxhash64("doc_id"), F.lit(lots))), "own")
+        heads = own.select("digest", "lot").distinct().join(of_digest, "digest")
+        linked = linked.union(own.join(heads, ["digest", "lot"]).where("id != doc_id").select(F.col("id").alias("a"), F.col("doc_id").alias("b")))
     labels = stored(components(linked), "labels")
     class_label = of_digest.join(labels.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("label", "id").alias("component_id"))
-    # Copies of one text may be very many: they meet the label of their class lot by lot.
-    lots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = signed.select("doc_id", "digest", "n", F.pmod(F.xxhash64("doc_id"), F.lit(lots)).alias("lot"))
     labelled = found.where("digest is not null").select("digest", "lot").distinct().join(class_label, "digest")
     found = found.join(labelled, ["digest", "lot"], "left")
