@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from llm_rows import ROWS, prose
 
-from tidegauge.llm import decontamination
+from tidegauge.llm import decontamination, licenses
 from tidegauge.llm.decontamination import LEAST_SHARE, LEAST_WORDS, MASKS, SHORTEST, contamination, decontaminated, overlap, whole_masks
 from tidegauge.llm.licenses import MIT, canonical, license_scan
 from tidegauge.llm.queries import ORACLES, QUERIES
@@ -128,6 +128,15 @@ def test_licences_and_notices(frame, edges, nothing):
     assert license_scan(nothing).count() == 0
 
 
+@pytest.mark.parametrize("cues", [0, 50])
+def test_notices_of_a_caller_need_no_certain_word(frame, spark, cues, monkeypatch):
+    monkeypatch.setattr(licenses, "CUES", cues, raising=False)
+    known = [("GPL-3.0", "Released under GPL v3", False), ("Free", "Honour the organisation", False), ("Nothing", "All rights reserved", False)]
+    rows = [(1, "Prose.\n# released under GPL V3.\nmore"), (2, "honor the Organization"), (3, "Honour, the organisation!"), (4, "released under another"), (5, "All rights reserved")]
+    got = license_scan(frame(rows), spark.createDataFrame(known, "license string, text string, whole boolean")).collect()
+    assert {r["doc_id"]: r["notices"] for r in got} == {1: "GPL-3.0", 2: "Free", 3: "Free", 4: "", 5: ""}
+
+
 def texts_of(df):
     return {r["doc_id"]: r["text"] for r in df.collect()}
 

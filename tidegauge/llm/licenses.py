@@ -111,6 +111,8 @@ SPELLINGS = {
 }
 #: Up to so many known texts are broadcast; more are joined by Spark as it sees fit. Notices are at most as many.
 SMALL = 10_000
+#: Up to so many forms of cues a line is searched for them before it is looked up.
+CUES = 50
 
 _COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©|all rights reserved).*$", re.MULTILINE)
 _MARKS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--|rem\b)", re.MULTILINE)
@@ -123,6 +125,16 @@ def canonical(text: str | None) -> str:
     return " ".join(" ".join(SPELLINGS.get(w, w) for w in _WORD.findall(text)).replace("-", " ").split())
 
 
+def cue(text: str | None) -> str:
+    """The longest canonical word, of several the first by name: every text of the same canonical form has it."""
+    return min(canonical(text).split(), key=lambda w: (-len(w), w), default="")
+
+
+def _cue_forms(cues: set[str]) -> set[str]:
+    """What a casefolded text holds, one at least, if one of the words is in its canonical form."""
+    return cues | {form for form, meant in SPELLINGS.items() if cues & set(meant.replace("-", " ").split())}
+
+
 def digest(text: str | None) -> bytes:
     return hashlib.sha256(canonical(text).encode()).digest()
 
@@ -136,11 +148,16 @@ def known_texts(spark: SparkSession) -> DataFrame:
 def _digested(batches):
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column("license"), batch.column("whole"), pa.array([digest(t) for t in texts]), pa.array([len(t or "") for t in texts], pa.int64())], ["license", "whole", "digest", "size"])
+        yield pa.RecordBatch.from_arrays([batch.column("license"), batch.column("whole"), pa.array([digest(t) for t in texts]), pa.array([len(t or "") for t in texts], pa.int64()), pa.array([cue(t) for t in texts], pa.string())], ["license", "whole", "digest", "size", "cue"])
 
 
-def _scanned(notices: dict[bytes, str], longest: int):
-    """Digest of the whole text, and the notices among its lines no longer than four times the longest one."""
+def _scanned(notices: dict[bytes, str], longest: int, cues: set[str]):
+    """Digest of the whole text, and the notices among its lines no longer than four times the longest one.
+
+    A line that holds no notice's cue is none; with more than ``CUES`` forms of cues every line is looked up.
+    """
+    forms = _cue_forms(cues)
+    likely = re.compile("|".join(map(re.escape, sorted(forms))) if len(forms) <= CUES else "")
 
     def run(batches):
         for batch in pieces(batches, 1):
@@ -148,34 +165,31 @@ def _scanned(notices: dict[bytes, str], longest: int):
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 whole.append(digest(text))
-                own = {notices.get(digest(line)) for line in text.splitlines() if len(line) <= 4 * longest and _CUE.search(line)}
+                own = {notices.get(digest(line)) for line in text.splitlines() if len(line) <= 4 * longest and likely.search(line.casefold())}
                 named.append(",".join(sorted(own - {None})))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(whole), pa.array(named)], ["doc_id", "digest", "notices"])
 
     return run
 
 
-#: A line without any of these is no notice.
-_CUE = re.compile(r"licen[sc]e|public domain|copying|©|\(c\)|copyright", re.IGNORECASE)
-
-
 def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``doc_id``, ``license``, ``notices``, ``canonical_sha256`` for every row of ``docs(doc_id, text)``.
 
     ``license`` is the licence whose whole text the document is, or null; of several with one digest the
-    first by name. ``notices`` are the licences its lines name, ascending. Null, empty and all-punctuation
+    first by name. ``notices`` are the licences its lines name, ascending; a known text that is a copyright
+    line alone, such as "All rights reserved", has the digest of nothing and is not looked for. Null, empty and all-punctuation
     texts have the digest of nothing, which no licence has. Rows without an id and rows that repeat are
     judged each. Other columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     known = known_texts(spark) if known is None else known
-    known = known.select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, size long")
-    known = known.where(F.col("digest") != F.lit(digest(""))).groupBy("whole", "digest").agg(F.min("license").alias("license"), F.max("size").alias("size"))
+    known = known.select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, size long, cue string")
+    known = known.where(F.col("digest") != F.lit(digest(""))).groupBy("whole", "digest").agg(F.min("license").alias("license"), F.max("size").alias("size"), F.min("cue").alias("cue"))
     notices = known.where("not whole").limit(SMALL + 1).collect()
     if len(notices) > SMALL:
         raise ValueError(f"more than {SMALL} one-line notices")
     texts = known.where("whole").select("digest", "license")
     texts = F.broadcast(texts) if texts.limit(SMALL + 1).count() <= SMALL else texts
-    scan = _scanned({bytes(r["digest"]): r["license"] for r in notices}, max((r["size"] for r in notices), default=0))
+    scan = _scanned({bytes(r["digest"]): r["license"] for r in notices}, max((r["size"] for r in notices), default=0), {r["cue"] for r in notices})
     rows = bounded(docs.select("doc_id", "text")).mapInArrow(scan, "doc_id long, digest binary, notices string")
     return rows.join(texts, "digest", "left").select("doc_id", "license", "notices", F.lower(F.hex("digest")).alias("canonical_sha256"))
