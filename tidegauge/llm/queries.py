@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.llm import exact_dedup
+from tidegauge.llm import exact_dedup, filter_audit
 from tidegauge.llm.decontamination import contamination
 from tidegauge.llm.language_model import language_model_scores
 from tidegauge.llm.licenses import license_scan
@@ -13,6 +13,8 @@ from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.packing import packed
 from tidegauge.llm.pii import personal_data
 from tidegauge.llm.quality import quality_scores
+from tidegauge.llm.secrets import secret_scan
+from tidegauge.llm.spelling import spelling_variants
 from tidegauge.llm.store import table
 from tidegauge.llm.substring_dedup import repeated_substrings
 from tidegauge.llm.token_files import token_files
@@ -60,6 +62,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_pii": op2_pii,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
@@ -71,5 +85,8 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_filter_audit": op13_filter_audit,
 }
-ORACLES: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL, "op13_filter_audit": filter_audit.SQL}
