@@ -171,6 +171,29 @@ def test_repeated_substrings_of_tangled_texts(frame):
     assert Counter(map(tuple, repeated_substrings(frame(rows)).collect())) == brute_substrings(rows)
 
 
+def test_tasks_may_read_other_portions_in_every_pass(frame, spark, monkeypatch):
+    portions = iter(["128m", "3k", "20k", "1k", "128m", "5k"])
+    folder, key = substring_dedup.fresh_folder, "spark.sql.files.maxPartitionBytes"
+
+    def other_portions(*arguments):
+        spark.conf.set(key, next(portions))
+        return folder(*arguments)
+
+    monkeypatch.setattr(substring_dedup, "fresh_folder", other_portions)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        r = random.Random(3)
+        passages = [prose(k, 15) for k in range(40)]
+        rows = [(i, f"{prose(100 + i, 30)} {r.choice(passages)} {prose(500 + i, 30)}") for i in range(300)]
+        result = repeated_substrings(frame(rows))
+        spark.conf.set(key, next(portions))
+        assert result.rdd.getNumPartitions() > 10
+        assert Counter(map(tuple, result.collect())) == brute_substrings(rows)
+    finally:
+        spark.conf.unset(key)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.mark.parametrize("hot", [1, 300])
 def test_keys_with_many_windows_are_taken_apart(frame, edges, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT", hot, raising=False)

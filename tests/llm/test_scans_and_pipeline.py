@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import subprocess
 import sys
+import time
 from itertools import combinations
 from pathlib import Path
 
@@ -22,6 +25,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 
+ROOT = Path(__file__).resolve().parents[2]
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -137,6 +141,41 @@ def test_notices_of_a_caller_need_no_certain_word(frame, spark, cues, monkeypatc
     assert {r["doc_id"]: r["notices"] for r in got} == {1: "GPL-3.0", 2: "Free", 3: "Free", 4: "", 5: ""}
 
 
+def test_long_texts_take_time_in_proportion(frame):
+    rows = [(1, "\n" * 1_000_000), (2, "-" * 1_000_000), (3, " *\n" * 300_000 + MIT), (4, "(" * 500_000 + "c)" * 200_000)]
+    started = time.monotonic()
+    assert {r["doc_id"]: r["license"] for r in license_scan(frame(rows)).collect()} == {1: None, 2: None, 3: "MIT", 4: None}
+    assert time.monotonic() - started < 60
+
+
+@pytest.mark.parametrize("name", ["op10_license_scan", "op11_spelling_variants"])
+def test_workers_get_the_package_before_anything_runs_there(name, tmp_path):
+    """Each query as the first of an application that starts in another folder."""
+    script = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+import os; os.chdir({str(tmp_path)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+import tidegauge.llm.queries as q
+sent = []
+send = spark.sparkContext.addPyFile
+from tidegauge.llm import store
+import pyspark.sql.classic.dataframe as classic
+ship = store.ship_code
+def seen(spark): sent.append(1); ship(spark)
+store.ship_code = seen
+for method in ("mapInArrow", "mapInPandas"):
+    run = getattr(classic.DataFrame, method)
+    def checked(self, *a, run=run, **k):
+        assert sent, "a Python worker before the package was sent"
+        return run(self, *a, **k)
+    setattr(classic.DataFrame, method, checked)
+print("rows", q.QUERIES[{name!r}](spark, {SMALL!r}).count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300, cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "rows " in done.stdout, done.stderr[-2000:]
+
+
 def texts_of(df):
     return {r["doc_id"]: r["text"] for r in df.collect()}
 

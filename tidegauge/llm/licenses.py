@@ -114,7 +114,7 @@ SMALL = 10_000
 #: Up to so many forms of cues a line is searched for them before it is looked up.
 CUES = 50
 
-_COPYRIGHT = re.compile(r"^\W*(?:copyright\b|\(c\)|©|all rights reserved).*$", re.MULTILINE)
+_COPYRIGHT = re.compile(r"^[^\w\n]*(?:copyright\b|\(c\)|©|all rights reserved).*$", re.MULTILINE)
 _MARKS = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|<!--|rem\b)", re.MULTILINE)
 _WORD = re.compile(r"\w+(?:-\w+)*")
 
@@ -183,7 +183,7 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     known = known_texts(spark) if known is None else known
-    known = known.select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, size long, cue string")
+    known = bounded(known).select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, size long, cue string")
     known = known.where(F.col("digest") != F.lit(digest(""))).groupBy("whole", "digest").agg(F.min("license").alias("license"), F.max("size").alias("size"), F.min("cue").alias("cue"))
     notices = known.where("not whole").limit(SMALL + 1).collect()
     if len(notices) > SMALL:

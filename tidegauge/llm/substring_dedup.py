@@ -2,9 +2,11 @@
 
 Only suffixes that can repeat are sorted. Every string of ``LENGTH`` bytes is keyed by the least hash
 among its ``GRAM``-byte substrings, so equal strings have equal keys, and neighbouring strings with the
-same key form one segment of text. Four passes, of which the input is read in three:
+same key form one segment of text. Rows are stored once with a unit, the partition that wrote them. Units
+are part of the data from then on: whichever tasks read the rows, and in whatever portions, a row belongs to the unit it
+was stored with. Four passes, of which the stored rows are read in three:
 
-1. Each input partition (a unit) sends its distinct keys, six bytes each. A key that two documents
+1. Each unit sends its distinct keys, six bytes each. A key that two documents
    have is sent back to the units that have it, and whether it has many windows in all.
 2. Each unit sends its distinct segments under those keys, with the smallest and largest id. Under a key
    with many windows each window is a segment of its own and is dealt out by its hash.
@@ -16,31 +18,35 @@ same key form one segment of text. Four passes, of which the input is read in th
 
 Inside a passage that a third of all documents have, a unit has one segment. At the edges of the passage
 segments reach into each document's own text and are as many as documents, all under one key; there
-only equal windows meet. Memory of a task is bounded by its input partition, and by its share of keys:
-``SHARES`` for each shuffle partition.
+only equal windows meet. Memory of a task is bounded by its unit, and by its share of keys. Shares are so many
+that each has the keys of about ``SHARE_BYTES`` of stored rows, whatever the number of shuffle partitions.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidegauge.llm.files import read_unit
 from tidegauge.llm.kernel import Texts, mix, pieces, prefix_sums, ranges, segment_hashes, slices
-from tidegauge.llm.store import bounded, stored
+from tidegauge.llm.store import bounded
 from tidegauge.scratch import fresh_folder
 
 LENGTH = 50
 GRAM = 20
 #: Keys are compared by so many of their bits between documents; more only spares work.
 KEY_BITS = 48
-#: Shares of keys for each shuffle partition; a task takes them one at a time.
+#: Shares of keys for each shuffle partition at least; a task takes them one at a time.
 SHARES = 4
+#: Stored rows for each share of keys.
+SHARE_BYTES = 2_000_000
 #: A key with so many windows in all documents is taken apart: its windows are compared by key and hash.
 HOT = 200_000
 #: A unit says how many windows a key has from so many on.
@@ -119,6 +125,25 @@ class Segments:
         return mix(self.key[rows] + segment_hashes(self.sums, first, first + windows + LENGTH - 1))
 
 
+def _parts_of_units(batches) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The batches cut where the unit, the last column, changes."""
+    for batch in batches:
+        units = batch.column(2).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(units)) + 1).tolist(), len(units)] if len(units) else []
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            yield int(units[low]), batch.slice(low, high - low)
+
+
+def _each_unit(work: Callable):
+    """``work`` on the rows of one unit after the other; a unit read by two tasks is two parts of it."""
+
+    def run(batches):
+        for unit, parts in groupby(_parts_of_units(batches), itemgetter(0)):
+            yield from work(unit, map(itemgetter(1), parts))
+
+    return run
+
+
 def _scanned(batches):
     """Segments of a partition's texts, slice by slice, with the ids; rows without an id are left out."""
     for batch in pieces(batches, 1):
@@ -150,8 +175,7 @@ def _bounds(order_key: np.ndarray) -> np.ndarray:
 
 
 def _send_keys(count: int, often: int):
-    def run(batches):
-        unit = TaskContext.get().partitionId()
+    def run(unit, batches):
         keys, least, most, windows = [], [], [], []
         for ids, _, segments in _scanned(batches):
             key, doc = segments.key >> _LOW_BITS, ids[segments.text]
@@ -176,7 +200,7 @@ def _send_keys(count: int, often: int):
             packed = np.ascontiguousarray(key[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8])
             yield pa.RecordBatch.from_pylist([{"share": share, "unit": unit, "keys": packed.tobytes(), "shared": np.packbits(shared[a:b]).tobytes(), "many": many.tobytes(), "windows": total[a:b][many].tobytes()}])
 
-    return run
+    return _each_unit(run)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -229,8 +253,7 @@ def _single_windows(unit: int, count: int, parts: list[tuple]) -> Iterator[pa.Re
 
 
 def _send_segments(count: int, replies: str):
-    def run(batches):
-        unit = TaskContext.get().partitionId()
+    def run(unit, batches):
         wanted, hot = (_answered(replies, unit, column) for column in ("keys", "hot"))
         if not len(wanted):
             return
@@ -286,7 +309,7 @@ def _send_segments(count: int, replies: str):
                 ]
             )
 
-    return run
+    return _each_unit(run)
 
 
 def _equal_groups(data: np.ndarray, places: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -397,8 +420,7 @@ def _least_of_windows(unit: np.ndarray, key: np.ndarray, name: np.ndarray, low:
 
 
 def _cover(asked: str, replies: str):
-    def run(batches):
-        unit = TaskContext.get().partitionId()
+    def run(unit, batches):
         hot = _answered(asked, unit, "hot")
         table = read_unit(replies, unit)
         if table is not None:
@@ -438,7 +460,7 @@ def _cover(asked: str, replies: str):
                     out["kept_sha256"].append(hashlib.sha256(part[~gone[a:b]].tobytes()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items())], ["doc_id", *out])
 
-    return run
+    return _each_unit(run)
 
 
 def sent_segments(rows: DataFrame, count: int) -> tuple[DataFrame, str]:
@@ -451,7 +473,19 @@ def sent_segments(rows: DataFrame, count: int) -> tuple[DataFrame, str]:
     return rows.mapInArrow(_send_segments(count, keys), kind), keys
 
 
-def repeated_substrings(docs: DataFrame, plain_scan: bool = False) -> DataFrame:
+def rows_in_units(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``doc_id``, ``text``, ``unit`` stored and read again, and the bytes they take."""
+    spark = docs.sparkSession
+    path = fresh_folder(spark, "rows")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("unit", F.spark_partition_id())
+    rows.write.option("compression", "zstd").parquet(path)
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    size = place.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    return spark.read.schema(rows.schema).parquet(path), size
+
+
+def repeated_substrings(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` for every row of ``docs(doc_id, text)``.
 
     A byte is removed if a ``LENGTH``-byte string over it also starts in a document with a smaller
@@ -459,14 +493,12 @@ def repeated_substrings(docs: DataFrame, plain_scan: bool = False) -> DataFrame:
     nothing and are matched by none; rows that share an id never remove each other's text. Other
     columns are not read. An empty table gives an empty result.
 
-    The rows are read three times and must be in the same partitions each time. A scan of files, perhaps
-    with columns chosen or rows filtered, is: it packs files by name and size alone, also when it is
-    repeated after an executor is lost. Say ``plain_scan`` for such a frame; others are stored first.
+    The result does not depend on the number of cores or executors, nor on its changing between the passes.
     """
     spark = docs.sparkSession
-    count = SHARES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text")
-    rows = bounded(rows if plain_scan else stored(rows, "rows"))
+    rows, size = rows_in_units(docs)
+    rows = bounded(rows)
+    count = max(SHARES * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE_BYTES))
 
     sent, keys = sent_segments(rows, count)
     runs = sent.groupBy("share").applyInArrow(_least_ids, "unit long, name long, begin int, windows int, least long")
