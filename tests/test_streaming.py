@@ -183,8 +183,11 @@ def test_jobs_run_from_the_command_line(spark, tmp_path, capsys):
     jobs.main(["compact-requests", "--table", at("logs"), "--target", at("merged")])
     jobs.main(["evaluate-drift", "--source", at("log"), "--series", at("series"), "--metrics", at("metrics"), "--checkpoint", at("c4")])
     put(tmp_path / "sales", "1.json", ["BROKEN"])
-    jobs.main(["retain-files", "--source", at("sales"), "--target", at("kept")])
-    assert spark.read.text(at("kept")).count() == 4
+    jobs.main(["retain-files", "--source", at("sales"), "--dry-run"])
+    jobs.main(["retain-files", "--source", at("sales")])
+    assert "files deleted: 0" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        jobs.main(["load-requests", "--source", at("log"), "--table", at("logs"), "--checkpoint", at("x"), "--archive", at("old")])
     jobs.main(["evaluate-drift", "--series", at("no-series"), "--metrics", at("no-metrics")])
     assert "no series" in capsys.readouterr().out
     with pytest.raises(SystemExit):

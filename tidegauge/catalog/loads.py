@@ -20,10 +20,11 @@ from tidegauge.catalog.inputs import (
 )
 from tidegauge.catalog.totals import TOTALS_SQL
 from tidegauge.constants import LAG_SEED, LAST_VALUE_KEY
+from tidegauge.files import Store, list_files, milliseconds, paths_of
 from tidegauge.functions import iso_text
 from tidegauge.operators.aggregates import grand_total, totals
 from tidegauge.operators.latest import latest_rows, read_parts, read_replacing
-from tidegauge.operators.retention import retained
+from tidegauge.operators.retention import purge, retained
 from tidegauge.operators.state import latest_state, seeded
 from tidegauge.plans.requests import LOG_KEY, STORED, continued_features, load_requests, request_features
 from tidegauge.schemas import REQUEST_LOGS, SALES, SALES_STATS
@@ -124,6 +125,28 @@ def retained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retained(table(spark, sf_dir, "events")).select("event_id", "ts", "value")
 
 
+def retained_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in one file a day, as old as its last event, after two purges at the newest event: which days are still there.
+
+    The first purge keeps ten days, the second the usual number of minutes.
+    """
+    day = F.date_trunc("DAY", "ts").cast("date")
+    events = table(spark, sf_dir, "events").withColumn("day", day)
+    source = fresh_folder(spark, "archive")
+    events.repartition("day").write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").partitionBy("day").json(source)
+    days = events.groupBy(F.col("day").cast("string").alias("day")).agg(F.max("ts").alias("last"), F.count(F.lit(1)).alias("n_rows"))
+    # Events without a time are in a folder of their own, whose files count as new.
+    last = {row["day"]: row["last"] for row in days.filter("day IS NOT NULL").toLocalIterator()}
+    now, store = max(last.values()), Store(spark, source)
+    for path, _ in paths_of(list_files(spark, source, "*.json")):
+        store.set_modified(path, milliseconds(last.get(path.split("/day=")[1].split("/")[0], now)))
+    purge(spark, source, now, 10 * 24 * 60)
+    purge(spark, source, now)
+    left = list_files(spark, source, "*.json").select(F.regexp_extract("path", "/day=([^/]+)/", 1).alias("day")).distinct()
+    kept = left.withColumn("kept", F.lit(True))
+    return days.select("day", "n_rows").join(kept, "day", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
 def request_logs_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_rows(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
@@ -189,6 +212,7 @@ QUERIES = {
     "parquet_round_trip": parquet_round_trip,
     "union_inputs": union_inputs,
     "retained_rows": retained_rows,
+    "retained_files": retained_files,
     "request_logs_latest": request_logs_latest,
     "request_log_replaced": request_log_replaced,
     "latest_state": latest_state_query,
@@ -222,6 +246,9 @@ SELECT CASE WHEN hour IN (3, 5) THEN 'rejected' ELSE 'loaded' END AS lines, coun
     "union_inputs": f"WITH {SALES_SQL} SELECT item, amount, ts FROM sales",
     "retained_rows": """SELECT event_id, ts, value FROM events
 WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 10081 MINUTE""",
+    "retained_files": """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows,
+       (epoch_ms((SELECT max(ts) FROM events)) - epoch_ms(max(ts))) // 60000 <= 10080 AS kept
+FROM events GROUP BY 1""",
     "request_logs_latest": _LATEST_SQL,
     "request_log_replaced": f"""WITH {LOG_SQL}
 SELECT "timestamp", t, hour, requests, round(size, 6) AS size,

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 import sys
 from pathlib import Path
 
@@ -14,10 +15,11 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.constants import FEATURES, LABEL
+from tidegauge.constants import FEATURES, LABEL, RETENTION_MINUTES
+from tidegauge.files import list_files
 from tidegauge.operators.aggregates import grand_total
 from tidegauge.operators.latest import compact, read_replacing
-from tidegauge.operators.retention import retained_lines
+from tidegauge.operators.retention import file_ages, purge
 from tidegauge.plans.requests import LOG_KEY
 from tidegauge.plans.sales import load_sales, sales_trend, store_trend
 from tidegauge.plans.walk_forward_forest import evaluate_forest, read_series, stored_metrics
@@ -26,6 +28,7 @@ from tidegauge.plans.walk_forward_linear import complete_rows
 from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
 from tidegauge.sinks import write_with_fallback
 from tidegauge.sources import scan_inferred, scan_table, stream_json_lines
+from tidegauge.sources.json_lines import DEFAULT_GLOB
 from tidegauge.streaming import console_word_count, running_word_count, stream_log, stream_series, stream_totals
 
 PEEK_ROWS = 5
@@ -96,10 +99,11 @@ def _words(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _retain(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Copy the lines of the files that are still young enough, bad ones too; the old place can then go."""
-    # File times are compared in the session's time zone.
-    now = spark.sql("SELECT current_timestamp()::timestamp_ntz").first()[0]
-    retained_lines(spark, a.source, now).write.mode("overwrite").text(a.target)
+    if a.dry_run:
+        ages = file_ages(list_files(spark, a.source, a.glob), datetime.datetime.now(datetime.UTC), a.minutes)
+        ages.orderBy("modified").show(truncate=False)
+    else:
+        print(f"files deleted: {purge(spark, a.source, minutes=a.minutes, glob=a.glob)}")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -134,7 +138,10 @@ def parser() -> argparse.ArgumentParser:
     words = command("count-words", _words, ("source", "checkpoint"), ("table", "every"))
     words.add_argument("--partitions", type=int)
     words.add_argument("--restart", action="store_true")
-    command("retain-files", _retain, ("source", "target"))
+    retain = command("retain-files", _retain, ("source",))
+    retain.add_argument("--minutes", type=int, default=RETENTION_MINUTES)
+    retain.add_argument("--glob", default=DEFAULT_GLOB)
+    retain.add_argument("--dry-run", action="store_true", help="list the files and what would become of them")
     return top
 
 
@@ -143,6 +150,9 @@ def main(argv: list[str] | None = None) -> None:
     arguments = top.parse_args(argv)
     if arguments.run is _drift and arguments.source and not arguments.checkpoint:
         top.error("evaluate-drift --source needs --checkpoint")
+    if getattr(arguments, "archive", None) and not arguments.rejects:
+        # A line that is no record would otherwise leave with its file, and be nowhere.
+        top.error("--archive needs --rejects")
     spark = SparkSession.builder.appName("tidegauge").getOrCreate()
     arguments.run(spark, arguments)
 

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import datetime
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tidegauge.constants import RETENTION_MINUTES
+from tidegauge.files import Store, list_files, milliseconds, paths_of
+from tidegauge.functions import floor_div
+
+# Deletions under way at once; each is a call to the file system and no more.
+DELETES = 16
 
 
 def retained(
@@ -32,10 +39,40 @@ def retained(
     return df.filter(F.col(ts) > bound)
 
 
-def retained_lines(spark: SparkSession, source: str, now: datetime.datetime, glob: str = "*.json") -> DataFrame:
-    """All lines, good and bad, of the files below ``source`` that are still young enough, as they stand."""
-    reader = spark.read.option("pathGlobFilter", glob).option("modifiedAfter", retained_since(now)).option("lineSep", "\n")
-    return reader.text(source)
+def file_ages(files: DataFrame, now: datetime.datetime, minutes: int = RETENTION_MINUTES) -> DataFrame:
+    """Listed files with their ``age`` in whole minutes, and whether they have ``expired``.
+
+    A file as young as ``minutes`` is kept, one from the future too.
+    """
+    age = floor_div(F.lit(milliseconds(now)).cast("bigint") - F.unix_millis("modified"), 60_000)
+    return files.withColumn("age", age).withColumn("expired", F.col("age") > minutes)
+
+
+def purge(
+    spark: SparkSession,
+    source: str,
+    now: datetime.datetime | None = None,
+    minutes: int = RETENTION_MINUTES,
+    *,
+    glob: str = "*.json",
+    parallelism: int = DELETES,
+) -> int:
+    """Delete the files below ``source`` that have outlived ``minutes``; how many they were.
+
+    Files go whole, by their modification time; none is read or copied. Times are compared as instants. A
+    file that has been written again, or has gone, since the listing is left alone, so purges may overlap each other and
+    loads. What breaks off is made up for by the next purge. Without ``now`` ages count from the present.
+    """
+    now = now or datetime.datetime.now(datetime.UTC)
+    store = Store(spark, source)
+    expired = file_ages(list_files(spark, source, glob), now, minutes).filter("expired")
+
+    def gone(file: tuple[str, int]) -> bool:
+        path, listed = file
+        return store.modified(path) == listed and store.delete(path)
+
+    with ThreadPool(parallelism) as pool:
+        return sum(pool.imap_unordered(inheritable_thread_target(spark)(gone), paths_of(expired)))
 
 
 def _oldest(now: datetime.datetime, minutes: int) -> datetime.datetime:
