@@ -15,7 +15,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.constants import FEATURES, LABEL, RETENTION_MINUTES
+from tidegauge.constants import FEATURES, LABEL, LAG_SEED, RETENTION_MINUTES
 from tidegauge.files import list_files
 from tidegauge.operators.aggregates import grand_total
 from tidegauge.operators.latest import compact, read_replacing
@@ -29,7 +29,7 @@ from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
 from tidegauge.sinks import write_with_fallback
 from tidegauge.sources import scan_inferred, scan_table, stream_json_lines
 from tidegauge.sources.json_lines import DEFAULT_GLOB
-from tidegauge.streaming import console_word_count, running_word_count, stream_log, stream_series, stream_totals
+from tidegauge.streaming import console_word_count, running_word_count, stream_lagged, stream_log, stream_series, stream_totals
 
 PEEK_ROWS = 5
 
@@ -55,6 +55,11 @@ def _requests(spark: SparkSession, a: argparse.Namespace) -> None:
     stream_log(lines, a.table, a.checkpoint, every=a.every, rejects=a.rejects).awaitTermination()
 
 
+def _lags(spark: SparkSession, a: argparse.Namespace) -> None:
+    rows = stream_json_lines(spark, a.source, REQUEST_LOG, max_files=a.max_files).rows.drop("y_lag1")
+    stream_lagged(rows, a.table, a.checkpoint, LABEL, LAG_SEED, delay=a.delay, partitions=a.partitions, every=a.every).awaitTermination()
+
+
 def _compact(spark: SparkSession, a: argparse.Namespace) -> None:
     compact(spark, a.table, a.target, REQUEST_LOGS, LOG_KEY)
     read_replacing(spark, a.target, REQUEST_LOGS, LOG_KEY).printSchema()
@@ -129,6 +134,10 @@ def parser() -> argparse.ArgumentParser:
     arriving(command("stream-sales", _sales_stream, ("source", "table", "checkpoint")))
     command("sales-trend", _trend, ("table", "results"))
     arriving(command("load-requests", _requests, ("source", "table", "checkpoint")))
+    lags = command("stream-lags", _lags, ("source", "table", "checkpoint"), ("every",))
+    lags.add_argument("--max-files", type=int)
+    lags.add_argument("--partitions", type=int)
+    lags.add_argument("--delay", type=int, default=0, help="time units that a row waits for earlier ones")
     command("compact-requests", _compact, ("table", "target"))
     drift = command("evaluate-drift", _drift, ("series", "metrics"), ("source", "checkpoint", "rejects"))
     drift.add_argument("--restart-grid", action="store_true", help="count window ends anew from the first row")

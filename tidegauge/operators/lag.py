@@ -21,16 +21,18 @@ def _previous(
 ) -> DataFrame:
     """Add ``_prev``: struct of the previous row's value, null for the first row of a series."""
     boxed = F.struct(value.alias("value"))
+    # Rows of one time, which a series should not have, go by their value.
+    order = [F.col(time).asc_nulls_last(), value.asc_nulls_first()]
     if levels == 0:
         # With no key this is one task, over the tails of the top level only: their number is
         # the time span divided by stretch**levels, whatever the number of rows.
-        return df.withColumn("_prev", F.lag(boxed).over(Window.partitionBy(*keys).orderBy(F.col(time).asc_nulls_last())))
+        return df.withColumn("_prev", F.lag(boxed).over(Window.partitionBy(*keys).orderBy(*order)))
 
     part = f"_stretch_{levels}"
     group = [*keys, part]
     split = df.withColumn(part, floor_div(F.col(time), stretch))
-    inside = split.withColumn("_within", F.lag(boxed).over(Window.partitionBy(*group).orderBy(F.col(time).asc_nulls_last())))
-    tails = split.groupBy(*group).agg(F.max_by(boxed, time).alias("_tail"))
+    inside = split.withColumn("_within", F.lag(boxed).over(Window.partitionBy(*group).orderBy(*order)))
+    tails = split.groupBy(*group).agg(F.max_by(boxed, F.when(F.col(time).isNotNull(), F.struct(time, value))).alias("_tail"))
     carried = _previous(tails, F.col("_tail.value"), part, keys, stretch, levels - 1).select(
         *[F.col(g).alias(f"_of_{g}") for g in group], F.col("_prev").alias("_carried")
     )
@@ -59,7 +61,7 @@ def with_lag(
     ``series`` holds one row per ``(keys, time)``, as a binned series does; a stretch then has
     at most ``stretch`` rows, so no task sorts more than that. The series is read once per level
     and once more: hand in a stored table, not the aggregation that makes it. A row without a time
-    comes after all others of its series.
+    comes after all others of its series. Rows of one time follow each other by value.
     """
     kept = series.columns
     previous = _previous(series, F.col(value), time, keys, stretch, levels)
