@@ -181,6 +181,9 @@ def test_jobs_run_from_the_command_line(spark, tmp_path, capsys):
     jobs.main(["count-words", "--source", at("words"), "--table", at("counts"), "--checkpoint", at("c2"), "--partitions", "2"])
     jobs.main(["load-requests", "--source", at("log"), "--table", at("logs"), "--checkpoint", at("c3")])
     jobs.main(["compact-requests", "--table", at("logs"), "--target", at("merged")])
+    jobs.main(["load-requests", "--source", at("log"), "--table", at("days"), "--checkpoint", at("c5"), "--daily"])
+    jobs.main(["merge-requests", "--table", at("days")])
+    assert "loads merged: 1" in capsys.readouterr().out and spark.read.parquet(at("days/days")).count() == 125
     jobs.main(["evaluate-drift", "--source", at("log"), "--series", at("series"), "--metrics", at("metrics"), "--checkpoint", at("c4")])
     put(tmp_path / "sales", "1.json", ["BROKEN"])
     jobs.main(["retain-files", "--source", at("sales"), "--dry-run"])

@@ -12,8 +12,9 @@ from tidegauge.operators import windows
 from tidegauge.plans.requests import request_features
 from tidegauge.plans.walk_forward_forest import evaluate_forest
 from tidegauge.plans.walk_forward_forest_grouped import TARGET_STEPS, poisson_steps, walk_forward_forest_grouped
-from tidegauge.plans.walk_forward_linear import walk_forward_linear
+from tidegauge.plans.walk_forward_linear import walk_forward_linear, walk_forward_linear_at
 from tidegauge.scratch import fresh_folder
+from tidegauge.sinks import write_snapshot
 from tidegauge.sources import scan_table
 
 
@@ -29,6 +30,26 @@ def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("t_end", "t", "is_train")
 
 
+def _uneven_ends(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The request log, and windows that end where its numbers of requests say, of lengths that they say."""
+    log = scan_table(spark, stored_features(spark, sf_dir))
+    first = log.agg(F.min("t")).first()[0]
+    train_from = F.when(F.col("t") % 9 == 0, F.lit(first)).otherwise(F.col("t") - 24 - F.col("requests"))
+    ends = log.filter("requests % 5 = 0").select(
+        F.col("t").alias("t_end"), train_from.cast("bigint").alias("train_from"), (F.col("t") + 1 + F.col("requests") % 30).alias("test_until")
+    )
+    return log, scan_table(spark, write_snapshot(ends, fresh_folder(spark, "ends")))
+
+
+def window_rows_any_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, ends = _uneven_ends(spark, sf_dir)
+    return windows.window_rows_at(log.select("t"), ends)
+
+
+def walk_forward_any_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(walk_forward_linear_at(*_uneven_ends(spark, sf_dir), ["y_lag1"]))
+
+
 def _rounded(metrics: DataFrame) -> DataFrame:
     return metrics.select(
         "t_end", F.round("mae", 4).alias("mae"), F.round("mean_pred", 4).alias("mean_pred")
@@ -67,6 +88,8 @@ def walk_forward_forest_grouped_query(spark: SparkSession, sf_dir: str) -> DataF
 QUERIES = {
     "window_membership": window_membership,
     "window_rows": window_rows,
+    "window_rows_any_ends": window_rows_any_ends,
+    "walk_forward_any_ends": walk_forward_any_ends,
     "walk_forward_trend": walk_forward_trend,
     "walk_forward_linear": walk_forward_linear_query,
     "walk_forward_forest": walk_forward_forest,
@@ -80,6 +103,14 @@ ends AS (
 )"""
 
 
+_UNEVEN_SQL = f"""{LOG_SQL},
+ends AS (
+    SELECT t AS t_end, CASE WHEN t % 9 = 0 THEN (SELECT min(t) FROM log) ELSE t - 24 - requests END AS train_from,
+           t + 1 + requests % 30 AS test_until
+    FROM log WHERE requests % 5 = 0
+)"""
+
+
 def _linear_sql(features: tuple[str, ...], label: str) -> str:
     """Least squares by successive orthogonalisation: every step removes one feature's share from
     the features after it and from the target, which leaves the prediction error in the end."""
@@ -250,6 +281,16 @@ GROUP BY t_end
 HAVING count(*) FILTER (WHERE t < t_end) > 0 AND count(*) FILTER (WHERE t >= t_end) > 0""",
     "window_rows": f"""WITH {_ENDS_SQL}
 SELECT t_end, t, t < t_end AS is_train FROM ends JOIN log ON t >= t_end - 100 AND t < t_end + 20""",
+    "window_rows_any_ends": f"""WITH {_UNEVEN_SQL}
+SELECT t_end, t, t < t_end AS is_train FROM ends JOIN log ON t >= train_from AND t < test_until""",
+    "walk_forward_any_ends": f"""WITH {_UNEVEN_SQL},
+models AS (
+    SELECT t_end, test_until, coalesce(regr_slope(y, y_lag1), 0) AS slope, coalesce(regr_intercept(y, y_lag1), avg(y)) AS intercept
+    FROM ends JOIN log ON t >= train_from AND t < t_end GROUP BY t_end, test_until
+)
+SELECT t_end, round(avg(abs(y - (slope * y_lag1 + intercept))), 4) AS mae,
+       round(avg(slope * y_lag1 + intercept), 4) AS mean_pred
+FROM models JOIN log ON t >= t_end AND t < test_until GROUP BY t_end""",
     "walk_forward_trend": f"""WITH {_ENDS_SQL},
 models AS (
     SELECT t_end, regr_slope(y, y_lag1) AS slope, regr_intercept(y, y_lag1) AS intercept

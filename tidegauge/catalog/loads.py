@@ -23,10 +23,11 @@ from tidegauge.constants import LAG_SEED, LAST_VALUE_KEY
 from tidegauge.files import Store, list_files, milliseconds, paths_of
 from tidegauge.functions import iso_text
 from tidegauge.operators.aggregates import grand_total, totals
+from tidegauge.operators.daily import DailyTable, add_load, merge_loads, read_daily
 from tidegauge.operators.latest import latest_rows, read_parts, read_replacing
 from tidegauge.operators.retention import purge, retained
 from tidegauge.operators.state import latest_state, seeded
-from tidegauge.plans.requests import LOG_KEY, STORED, continued_features, load_requests, request_features
+from tidegauge.plans.requests import LOG_KEY, STORED, continued_features, load_requests, request_features, stored_log
 from tidegauge.schemas import REQUEST_LOGS, SALES, SALES_STATS
 from tidegauge.scratch import fresh_folder
 from tidegauge.sinks import write_snapshot, write_with_fallback
@@ -168,6 +169,21 @@ def request_log_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def request_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of the request log that overlap: two are merged into their days, the third still waits."""
+    hourly = hourly_series(spark, sf_dir)
+    newest = hourly.agg(F.max("t")).first()[0]
+    log = stored_log(request_features(hourly)).drop("processed_at")
+    kind = ", ".join(f"{c} {t}" for c, t in log.dtypes)
+    daily = DailyTable(fresh_folder(spark, "request-days"), kind, LOG_KEY, "timestamp")
+    loads = ("hour < 16", "hour >= 8", f"hour >= 12 AND t > {newest - 100}")
+    for part, rows in enumerate(loads):
+        add_load(log.filter(rows).withColumn("y", F.col("y") + part + 1), daily, part)
+        if part < 2:
+            merge_loads(spark, daily)
+    return read_daily(spark, daily).select("timestamp", "t", "requests", "y", F.col("day").cast("string").alias("day"))
+
+
 def _user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = table(spark, sf_dir, "events").withColumn("key", F.col("user_id").cast("string"))
     return latest_state(updates, at="ts", tie="event_id")
@@ -215,6 +231,7 @@ QUERIES = {
     "retained_files": retained_files,
     "request_logs_latest": request_logs_latest,
     "request_log_replaced": request_log_replaced,
+    "request_log_daily": request_log_daily,
     "latest_state": latest_state_query,
     "seeded_state": seeded_state,
     "sales_stream_totals": sales_stream_totals,
@@ -253,6 +270,10 @@ FROM events GROUP BY 1""",
     "request_log_replaced": f"""WITH {LOG_SQL}
 SELECT "timestamp", t, hour, requests, round(size, 6) AS size,
        CASE WHEN hour < 8 THEN y + 1 ELSE y END AS y, round(drift_factor, 9) AS drift_factor
+FROM log""",
+    "request_log_daily": f"""WITH {LOG_SQL}
+SELECT "timestamp", t, requests, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day,
+       CASE WHEN hour >= 12 AND t > (SELECT max(t) FROM log) - 100 THEN y + 3 WHEN hour >= 8 THEN y + 2 ELSE y + 1 END AS y
 FROM log""",
     "latest_state": f"WITH {_STATE_SQL} SELECT key, value, updated_at FROM state",
     "seeded_state": f"""WITH {_STATE_SQL},

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,16 @@ class Store:
     def set_modified(self, path: str, milliseconds: int) -> None:
         self._fs.setTimes(self._path(path), milliseconds, -1)
 
+    def create_new(self, path: str) -> bool:
+        """Make an empty file unless there is one: of several callers one succeeds."""
+        place = self._path(path)
+        try:
+            return self._fs.createNewFile(place)
+        except Py4JJavaError:
+            if self._fs.exists(place):
+                return False
+            raise
+
     def delete(self, path: str, recursive: bool = False) -> bool:
         return self._fs.delete(self._path(path), recursive)
 

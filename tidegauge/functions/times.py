@@ -23,8 +23,8 @@ def epoch_units(ts: str, unit: str = "SECOND") -> Column:
 
 def floor_div(number: Column, by: int) -> Column:
     """Integer division rounded down, exact over the whole range of BIGINT."""
-    down = number - F.pmod(number, F.lit(by).cast("bigint"))
-    return F.call_function("div", down, F.lit(by).cast("bigint"))
+    divisor = F.lit(by).cast("bigint")
+    return F.call_function("div", number, divisor) - F.when(number % divisor < 0, 1).otherwise(0)
 
 
 def from_epoch_units(units: str, unit: str = "SECOND") -> Column:

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegauge.constants import FEATURES, LABEL, LAG_SEED, RETENTION_MINUTES
 from tidegauge.files import list_files
 from tidegauge.operators.aggregates import grand_total
+from tidegauge.operators.daily import merge_loads, read_daily
 from tidegauge.operators.latest import compact, read_replacing
 from tidegauge.operators.retention import file_ages, purge
-from tidegauge.plans.requests import LOG_KEY
+from tidegauge.plans.requests import LOG_KEY, request_days
 from tidegauge.plans.sales import load_sales, sales_trend, store_trend
 from tidegauge.plans.walk_forward_forest import evaluate_forest, read_series, stored_metrics
 from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped
@@ -52,7 +53,14 @@ def _trend(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def _requests(spark: SparkSession, a: argparse.Namespace) -> None:
     lines = stream_json_lines(spark, a.source, REQUEST_LOG, max_files=a.max_files, archive=a.archive).lines
-    stream_log(lines, a.table, a.checkpoint, every=a.every, rejects=a.rejects).awaitTermination()
+    table = request_days(a.table).arrivals if a.daily else a.table
+    stream_log(lines, table, a.checkpoint, every=a.every, rejects=a.rejects).awaitTermination()
+
+
+def _merge(spark: SparkSession, a: argparse.Namespace) -> None:
+    daily = request_days(a.table)
+    print(f"loads merged: {merge_loads(spark, daily)}")
+    read_daily(spark, daily).printSchema()
 
 
 def _lags(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -133,7 +141,10 @@ def parser() -> argparse.ArgumentParser:
     command("load-sales", _sales, ("source", "table"), ("rejects",))
     arriving(command("stream-sales", _sales_stream, ("source", "table", "checkpoint")))
     command("sales-trend", _trend, ("table", "results"))
-    arriving(command("load-requests", _requests, ("source", "table", "checkpoint")))
+    requests = command("load-requests", _requests, ("source", "table", "checkpoint"))
+    arriving(requests)
+    requests.add_argument("--daily", action="store_true", help="into a table kept by days, for merge-requests")
+    command("merge-requests", _merge, ("table",))
     lags = command("stream-lags", _lags, ("source", "table", "checkpoint"), ("every",))
     lags.add_argument("--max-files", type=int)
     lags.add_argument("--partitions", type=int)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.constants import BATCH_SIZE, WINDOW_SIZE
 from tidegauge.functions import floor_div
+from tidegauge.operators.intervals import interval_join
 
 
 class WindowGrid:
@@ -110,6 +111,12 @@ def window_membership(rows: DataFrame, grid: WindowGrid | None = None) -> DataFr
     )
 
 
+def window_rows_at(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """``t_end``, ``is_train`` and the columns of ``rows`` for windows ``ends(t_end, train_from, test_until)`` of any spacing and length."""
+    placed = interval_join(rows, ends.select("t_end", "train_from", "test_until"), "t", "train_from", "test_until")
+    return placed.select("t_end", (F.col("t") < F.col("t_end")).alias("is_train"), *rows.columns)
+
+
 def error_by_window(scored: DataFrame, label: str = "y", keys: Sequence[str] = ("t_end",)) -> DataFrame:
     """Mean absolute error and mean prediction per ``t_end``."""
     return scored.groupBy(*keys).agg(

@@ -19,6 +19,7 @@ from tidegauge.functions import (
     hour_of_day,
     parse_iso,
 )
+from tidegauge.operators.daily import DailyTable
 from tidegauge.operators.lag import with_lag
 from tidegauge.operators.latest import read_parts
 from tidegauge.operators.state import latest_state
@@ -72,6 +73,11 @@ def stored_log(log: DataFrame, processed_at: Column | datetime.datetime | None =
     return stamped(typed.withColumn("hour", F.col("hour").cast("tinyint")), processed_at)
 
 
+def request_days(path: str) -> DailyTable:
+    """The stored request log as a table kept by days."""
+    return DailyTable(path, REQUEST_LOGS, LOG_KEY, "timestamp", ["processed_at"])
+
+
 def checked_times(lines: DataFrame) -> DataFrame:
     """Lines whose time is no time are marked as rejects: as null keys they would replace each other."""
     return reject_rows(lines, parse_iso("timestamp").isNull())

@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.constants import BATCH_SIZE, FEATURES, LABEL, WINDOW_SIZE
+from tidegauge.operators.intervals import interval_join
 from tidegauge.operators.windows import WindowGrid, error_by_window
 
 # A feature whose variance, once the features before it are accounted for, falls to this share
@@ -44,29 +45,33 @@ def numbered(series: DataFrame, columns: Sequence[str]) -> DataFrame:
     return complete_rows(rows, rows.columns[1:])
 
 
-def block_moments(rows: DataFrame, grid: WindowGrid, p: int) -> DataFrame:
-    """Row count, means and population covariances per block."""
+def moments_by(rows: DataFrame, group: Column, p: int) -> DataFrame:
+    """Row count, means and population covariances per group of time units."""
     statistics = [
         "count(*) AS n",
         *[f"avg(v{i}) AS mean_{i}" for i in range(p + 1)],
         *[f"covar_pop(v{i}, v{j}) AS m_{i}_{j}" for i, j in _pairs(0, p)],
     ]
-    return rows.groupBy(grid.block().alias("block")).agg(*_exprs(statistics))
+    return rows.groupBy(group).agg(*_exprs(statistics))
+
+
+def block_moments(rows: DataFrame, grid: WindowGrid, p: int) -> DataFrame:
+    return moments_by(rows, grid.block().alias("block"), p)
 
 
 def train_moments(blocks: DataFrame, grid: WindowGrid, p: int) -> DataFrame:
-    """The same statistics per window, over its train part; ``own_i`` keeps a feature's variance.
+    return merged_moments(grid.place(blocks).filter("is_train"), p)
+
+
+def merged_moments(placed: DataFrame, p: int) -> DataFrame:
+    """The same statistics per window, over what is placed in it; ``own_i`` keeps a feature's variance.
 
     Co-moments are merged around the window's own means, which keeps their precision where a
     difference of raw sums would lose it. Both steps share one partitioning by ``t_end``.
     """
     in_window = Window.partitionBy("t_end")
     size = F.sum("n").over(in_window)
-    centred = (
-        grid.place(blocks)
-        .filter("is_train")
-        .withColumns({f"window_{i}": F.sum(F.expr(f"n * mean_{i}")).over(in_window) / size for i in range(p + 1)})
-    )
+    centred = placed.withColumns({f"window_{i}": F.sum(F.expr(f"n * mean_{i}")).over(in_window) / size for i in range(p + 1)})
 
     def merged(i: int, j: int) -> str:
         return f"sum(n * (m_{i}_{j} + (mean_{i} - window_{i}) * (mean_{j} - window_{j})))"
@@ -114,6 +119,27 @@ def walk_forward_linear(
     rows = numbered(series, [*features, label])
     models = solve(train_moments(block_moments(rows, grid, p), grid, p), p)
     tested = rows.filter(grid.is_tested()).withColumn("t_end", grid.tested_at())
+    return _scored(tested, models, p)
+
+
+def _scored(tested: DataFrame, models: DataFrame, p: int) -> DataFrame:
     prediction = "intercept" + "".join(f" + b_{k} * v{k}" for k in range(p))
     scored = tested.join(models, "t_end").selectExpr("t_end", f"v{p} AS label", f"{prediction} AS prediction")
     return error_by_window(scored, "label")
+
+
+def walk_forward_linear_at(
+    series: DataFrame, ends: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL
+) -> DataFrame:
+    """The same for any windows: ``ends(t_end, train_from, test_until)``, one row per ``t_end``, in no spacing or length.
+
+    A window trains on ``[train_from, t_end)`` and tests on ``[t_end, test_until)``. Rows are reduced to one aggregate per time
+    unit, which is what the windows they train get. ``ends`` is read several times: hand in a stored table.
+    """
+    p = len(features)
+    rows = numbered(series, [*features, label])
+    per_time = moments_by(rows, F.col("t"), p)
+    trained = interval_join(per_time, ends.select("train_from", "t_end"), "t", "train_from", "t_end")
+    models = solve(merged_moments(trained, p), p)
+    tested = interval_join(rows, ends.select("t_end", "test_until"), "t", "t_end", "test_until")
+    return _scored(tested, models, p)
