@@ -159,7 +159,7 @@ def test_the_last_score_of_a_window_counts(spark, tmp_path):
     path = str(tmp_path / "m")
     schema = ML_PERFORMANCE
     for part, mae in enumerate((3.0, 1.0, 2.0)):
-        write_part(spark.createDataFrame([(100, 100, 20, True, mae, 0.0, 0, None)], schema), path, part)
+        write_part(spark.createDataFrame([(100, 100, 20, True, 7, 8, mae, 0.0, 0, None)], schema), path, part)
     assert [r["mae"] for r in stored_metrics(spark, path).collect()] == [2.0]
 
 

@@ -10,7 +10,7 @@ from tidegauge.catalog.inputs import LOG_SQL, hourly_series, stored_features
 from tidegauge.constants import FEATURES, FOREST_SEED, LABEL, MAX_BINS, MAX_DEPTH, NUM_TREES
 from tidegauge.operators import windows
 from tidegauge.plans.requests import request_features
-from tidegauge.plans.walk_forward_forest import evaluate_forest
+from tidegauge.plans.walk_forward_forest import evaluate_forest, kept_models, store_series
 from tidegauge.plans.walk_forward_forest_grouped import TARGET_STEPS, poisson_steps, walk_forward_forest_grouped
 from tidegauge.plans.walk_forward_linear import walk_forward_linear, walk_forward_linear_at
 from tidegauge.scratch import fresh_folder
@@ -74,13 +74,48 @@ def walk_forward_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.select("t_end", "n_train", "n_test", "complete", within.alias("within_range"))
 
 
+def _stump() -> RandomForestRegressor:
+    """One tree of one cut and no draws, which SQL can state exactly."""
+    return RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxBins=128, maxDepth=1, seed=FOREST_SEED)
+
+
 def walk_forward_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same evaluation with one tree of one cut and no draws, which SQL can state exactly."""
-    stump = RandomForestRegressor(numTrees=1, bootstrap=False, featureSubsetStrategy="all", maxBins=128, maxDepth=1, seed=FOREST_SEED)
-    metrics = evaluate_forest(spark, stored_features(spark, sf_dir), fresh_folder(spark, "ml-performance"), forest=stump)
+    metrics = evaluate_forest(spark, stored_features(spark, sf_dir), fresh_folder(spark, "ml-performance"), forest=_stump())
     return _rounded(metrics)
 
 
+def _kept_stumps(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The stored request log, and models of its first half, fitted and kept."""
+    log, models = stored_features(spark, sf_dir), fresh_folder(spark, "models")
+    series = scan_table(spark, log)
+    middle = series.agg(F.expr("(min(t) + max(t)) div 2")).first()[0]
+    half = store_series(series.filter(F.col("t") < middle), fresh_folder(spark, "half"))
+    evaluate_forest(spark, half, fresh_folder(spark, "ml-performance"), forest=_stump(), models=models)
+    return log, models
+
+
+def stump_models_reused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log evaluated anew: windows of its first half are scored by kept models, the others fitted."""
+    log, models = _kept_stumps(spark, sf_dir)
+    return _rounded(evaluate_forest(spark, log, fresh_folder(spark, "ml-performance"), forest=_stump(), models=models))
+
+
+def stump_models_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the whole log by models of its first half: each row by the last window that ends before it."""
+    log, models = _kept_stumps(spark, sf_dir)
+    scored = kept_models(spark, models, forest=_stump()).scored(scan_table(spark, log), FEATURES)
+    return scored.select("t", "t_end", F.round("prediction", 4).alias("prediction"))
+
+
+def stump_rescored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores after some targets were corrected: no window's number of rows has changed."""
+    log, metrics = stored_features(spark, sf_dir), fresh_folder(spark, "ml-performance")
+    evaluate_forest(spark, log, metrics, forest=_stump())
+    corrected = scan_table(spark, log).withColumn("y", F.when(F.col("t") % 50 == 0, F.col("y") + 100).otherwise(F.col("y")))
+    corrected = store_series(corrected, fresh_folder(spark, "corrected"))
+    return _rounded(evaluate_forest(spark, corrected, metrics, forest=_stump()))
+
+
 def walk_forward_forest_grouped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(walk_forward_forest_grouped(scan_table(spark, stored_features(spark, sf_dir))))
 
@@ -94,6 +129,9 @@ QUERIES = {
     "walk_forward_linear": walk_forward_linear_query,
     "walk_forward_forest": walk_forward_forest,
     "walk_forward_stump": walk_forward_stump,
+    "stump_models_reused": stump_models_reused,
+    "stump_models_scored": stump_models_scored,
+    "stump_rescored": stump_rescored,
     "walk_forward_forest_grouped": walk_forward_forest_grouped_query,
 }
 
@@ -234,12 +272,11 @@ SELECT t_end, round(avg(abs(actual - prediction)), 4) AS mae, round(avg(predicti
 FROM predicted GROUP BY t_end"""
 
 
-def _stump_sql(features: tuple[str, ...], label: str) -> str:
+def _stump_cuts(features: tuple[str, ...], label: str, ends: str, log: str = "log") -> str:
     """Of all midpoints of neighbouring values the cut that leaves the least variance; the mean on either side."""
     long = " UNION ALL ".join(f"SELECT t_end, {i} AS feature, CAST({f} AS DOUBLE) AS x, {label} AS target FROM train" for i, f in enumerate(features))
-    value = "CASE feature " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(features)) + " END"
-    return f"""WITH {_ENDS_SQL},
-train AS (SELECT t_end, log.* EXCLUDE ("timestamp") FROM ends JOIN log ON t >= t_end - 100 AND t < t_end),
+    return f"""WITH {ends},
+train AS (SELECT t_end, log.* EXCLUDE ("timestamp") FROM ends JOIN {log} AS log ON t >= t_end - 100 AND t < t_end),
 points AS ({long}),
 valued AS (SELECT t_end, feature, x, count(*) AS n, sum(target) AS s FROM points GROUP BY ALL),
 cumulated AS (
@@ -251,15 +288,34 @@ cuts AS (
     SELECT *, (x + next_x) / 2 AS cut, ls / ln AS low_mean, (ts - ls) / (tn - ln) AS high_mean
     FROM cumulated WHERE next_x IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY t_end ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC, feature, x) = 1
-),
+)"""
+
+
+def _stump_prediction(features: tuple[str, ...]) -> str:
+    value = "CASE feature " + " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(features)) + " END"
+    return f"CASE WHEN {value} <= cut THEN low_mean ELSE high_mean END AS prediction"
+
+
+def _stump_sql(features: tuple[str, ...], label: str, ends: str = _ENDS_SQL, log: str = "log") -> str:
+    return f"""{_stump_cuts(features, label, ends, log)},
 scored AS (
-    SELECT t_end, {label} AS actual, CASE WHEN {value} <= cut THEN low_mean ELSE high_mean END AS prediction
-    FROM cuts JOIN log ON t >= t_end AND t < t_end + 20
+    SELECT t_end, {label} AS actual, {_stump_prediction(features)}
+    FROM cuts JOIN {log} ON t >= t_end AND t < t_end + 20
 )
 SELECT t_end, round(avg(abs(actual - prediction)), 4) AS mae, round(avg(prediction), 4) AS mean_pred
 FROM scored GROUP BY t_end"""
 
 
+_HALF_ENDS_SQL = f"""{LOG_SQL},
+ends AS (
+    SELECT unnest(range(s + 100, e, 20)) AS t_end
+    FROM (SELECT min(t) AS s, max(t) FILTER (WHERE t < (SELECT (min(t) + max(t)) // 2 FROM log)) AS e FROM log)
+)"""
+
+_CORRECTED_SQL = f"""{_ENDS_SQL},
+corrected AS (SELECT * REPLACE (CASE WHEN t % 50 = 0 THEN y + 100 ELSE y END AS y) FROM log)"""
+
+
 _MEMBERSHIP = """SELECT t_end,
        count(*) FILTER (WHERE t < t_end) AS n_train,
        count(*) FILTER (WHERE t >= t_end) AS n_test,
@@ -270,6 +326,11 @@ HAVING count(*) FILTER (WHERE t < t_end) > 0 AND count(*) FILTER (WHERE t >= t_e
 
 ORACLES = {
     "walk_forward_stump": _stump_sql(FEATURES, LABEL),
+    "stump_models_reused": _stump_sql(FEATURES, LABEL),
+    "stump_models_scored": f"""{_stump_cuts(FEATURES, LABEL, _HALF_ENDS_SQL)}
+SELECT t, t_end, round(prediction, 4) AS prediction
+FROM (SELECT t, t_end, {_stump_prediction(FEATURES)} FROM log ASOF JOIN cuts ON t >= t_end)""",
+    "stump_rescored": _stump_sql(FEATURES, LABEL, _CORRECTED_SQL, "corrected"),
     "walk_forward_forest": f"WITH {_ENDS_SQL}\n" + _MEMBERSHIP.format(more=",\n       true AS within_range"),
     "window_membership": f"""WITH {_ENDS_SQL}
 SELECT t_end,

@@ -23,14 +23,14 @@ from tidegauge.operators.latest import compact, read_replacing
 from tidegauge.operators.retention import file_ages, purge
 from tidegauge.plans.requests import LOG_KEY, request_days
 from tidegauge.plans.sales import load_sales, sales_trend, store_trend
-from tidegauge.plans.walk_forward_forest import evaluate_forest, read_series, stored_metrics
+from tidegauge.plans.walk_forward_forest import evaluate_forest, kept_models, read_series, stored_metrics
 from tidegauge.plans.walk_forward_forest_grouped import evaluate_forest_grouped
 from tidegauge.plans.walk_forward_linear import complete_rows
 from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
 from tidegauge.sinks import write_with_fallback
 from tidegauge.sources import scan_inferred, scan_table, stream_json_lines
 from tidegauge.sources.json_lines import DEFAULT_GLOB
-from tidegauge.streaming import console_word_count, running_word_count, stream_lagged, stream_log, stream_series, stream_totals
+from tidegauge.streaming import console_word_count, running_word_count, stream_lagged, stream_log, stream_scores, stream_series, stream_totals
 
 PEEK_ROWS = 5
 
@@ -87,10 +87,24 @@ def _drift(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.grouped:
         evaluate_forest_grouped(spark, a.series, a.metrics, restart_grid=a.restart_grid)
     else:
-        evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism, restart_grid=a.restart_grid)
+        evaluate_forest(spark, a.series, a.metrics, parallelism=a.parallelism, restart_grid=a.restart_grid, models=a.models)
     stored_metrics(spark, a.metrics).orderBy("t_end").show()
 
 
+def _score(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Predictions of kept models for a later series, or for arriving records by the newest of them."""
+    models = kept_models(spark, a.models)
+    if a.series:
+        models.scored(spark.read.parquet(a.series), FEATURES).write.mode("overwrite").parquet(a.table)
+        return
+    newest = models.newest()
+    if newest is None:
+        print("no model to score with")
+        return
+    rows = stream_json_lines(spark, a.source, REQUEST_LOG).rows
+    stream_scores(rows, newest[1], FEATURES, a.table, a.checkpoint).awaitTermination()
+
+
 def _amounts(spark: SparkSession, a: argparse.Namespace) -> None:
     records: DataFrame = scan_inferred(spark, a.source)
     if records.isEmpty():
@@ -154,6 +168,8 @@ def parser() -> argparse.ArgumentParser:
     drift.add_argument("--restart-grid", action="store_true", help="count window ends anew from the first row")
     drift.add_argument("--parallelism", type=int)
     drift.add_argument("--grouped", action="store_true", help="all windows in one go, for a backfill")
+    drift.add_argument("--models", help="folder that fitted forests are kept in")
+    command("score-requests", _score, ("models", "table"), ("series", "source", "checkpoint"))
     command("total-amount", _amounts, ("source", "table"), ("fallback",))
     words = command("count-words", _words, ("source", "checkpoint"), ("table", "every"))
     words.add_argument("--partitions", type=int)
@@ -170,6 +186,8 @@ def main(argv: list[str] | None = None) -> None:
     arguments = top.parse_args(argv)
     if arguments.run is _drift and arguments.source and not arguments.checkpoint:
         top.error("evaluate-drift --source needs --checkpoint")
+    if arguments.run is _score and not (arguments.series or (arguments.source and arguments.checkpoint)):
+        top.error("score-requests needs --series, or --source and --checkpoint")
     if getattr(arguments, "archive", None) and not arguments.rejects:
         # A line that is no record would otherwise leave with its file, and be nowhere.
         top.error("--archive needs --rejects")

@@ -111,6 +111,38 @@ def window_membership(rows: DataFrame, grid: WindowGrid | None = None) -> DataFr
     )
 
 
+# Halves of a row's hash, which are summed apart: half a hash for each of 2**31 rows fits a BIGINT.
+_HALF = 32
+
+
+def checked_windows(rows: DataFrame, grid: WindowGrid, columns: Sequence[str]) -> DataFrame:
+    """`window_membership` with ``train_sum`` and ``test_sum``: checksums of the given columns in each part.
+
+    A sum of hashes does not depend on the order of the rows, counts equal ones each, and changes with any value. Like
+    the counts it is made per block and merged by window.
+    """
+    hashed = F.xxhash64("t", *columns)
+    halves = {"upper": F.shiftrightunsigned(hashed, _HALF), "lower": hashed.bitwiseAND(F.lit((1 << _HALF) - 1))}
+    sums = [F.sum(half).alias(name) for name, half in halves.items()]
+    blocks = rows.groupBy(grid.block().alias("block")).agg(F.count(F.lit(1)).alias("n"), *sums)
+    placed = grid.place(blocks).groupBy("t_end")
+    zero = F.lit(0).cast("bigint")
+
+    def total(column: str, of_train: bool) -> Column:
+        return F.sum(F.when(F.col("is_train") == of_train, F.col(column)).otherwise(zero))
+
+    found = placed.agg(
+        *(total(column, of_train).alias(f"{part}_{column}") for part, of_train in (("train", True), ("test", False)) for column in ("n", *halves))
+    )
+    return found.filter("train_n > 0 AND test_n > 0").select(
+        "t_end",
+        F.col("train_n").alias("n_train"),
+        F.col("test_n").alias("n_test"),
+        *(F.xxhash64(f"{part}_upper", f"{part}_lower").alias(f"{part}_sum") for part in ("train", "test")),
+        grid.is_complete(F.col("t_end")).alias("complete"),
+    )
+
+
 def window_rows_at(rows: DataFrame, ends: DataFrame) -> DataFrame:
     """``t_end``, ``is_train`` and the columns of ``rows`` for windows ``ends(t_end, train_from, test_until)`` of any spacing and length."""
     placed = interval_join(rows, ends.select("t_end", "train_from", "test_until"), "t", "train_from", "test_until")

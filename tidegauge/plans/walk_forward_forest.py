@@ -8,6 +8,7 @@ stored by one job, so that a run that breaks off continues where it stopped.
 from __future__ import annotations
 
 import datetime
+from collections import deque
 from collections.abc import Sequence
 from functools import reduce
 from itertools import batched
@@ -15,14 +16,15 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Model
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.constants import BATCH_SIZE, FEATURES, FOREST_SEED, LABEL, NUM_TREES, WINDOW_SIZE
 from tidegauge.operators.latest import absent_from, read_parts, read_replacing
-from tidegauge.operators.windows import WindowGrid, error_by_window, window_membership
+from tidegauge.operators.windows import WindowGrid, checked_windows, error_by_window
+from tidegauge.plans.models import ModelStore, assembled, fingerprint, predicted
 from tidegauge.plans.walk_forward_linear import complete_rows
 from tidegauge.schemas import ML_PERFORMANCE
 from tidegauge.sinks import stamped, write_part
@@ -48,10 +50,6 @@ def store_series(series: DataFrame, path: str) -> str:
     return path
 
 
-def assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df)
-
-
 def fixed_layout(df: DataFrame, tasks: int = TRAIN_TASKS) -> DataFrame:
     """The same rows in the same tasks in the same order on every run.
 
@@ -74,13 +72,17 @@ def fixed_layout(df: DataFrame, tasks: int = TRAIN_TASKS) -> DataFrame:
     )
 
 
-def pending_windows(rows: DataFrame, grid: WindowGrid, stored: DataFrame) -> DataFrame:
-    """Valid windows that have no score, or one made from fewer or more rows than there are now, oldest first.
+# A score is up to date as long as these of its window are what they were.
+CHECKED = ("t_end", "n_train", "n_test", "train_sum", "test_sum")
+
 
-    So a half-filled test part and rows that arrive late both lead to a new score, which replaces the
-    one before.
+def pending_windows(rows: DataFrame, grid: WindowGrid, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Valid windows that have no score, or one made from other rows than there are now, oldest first.
+
+    A half-filled test part, rows that arrive late and corrected values all lead to a new score, which
+    replaces the one before.
     """
-    return absent_from(window_membership(rows, grid), stored, ["t_end", "n_train", "n_test"]).orderBy("t_end")
+    return absent_from(checked_windows(rows, grid, columns), stored, CHECKED).orderBy("t_end")
 
 
 def read_series(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame | None:
@@ -99,6 +101,26 @@ def grid_of(series: DataFrame, stored: DataFrame, window_size: int, batch_size:
     return WindowGrid(series, window_size, batch_size, origin=last)
 
 
+def default_forest(num_trees: int = NUM_TREES, seed: int = FOREST_SEED) -> RandomForestRegressor:
+    return RandomForestRegressor(numTrees=num_trees, seed=seed)
+
+
+def prepared(forest: RandomForestRegressor, label: str) -> RandomForestRegressor:
+    return forest.copy({forest.featuresCol: "features", forest.labelCol: label})
+
+
+def kept_models(
+    spark: SparkSession,
+    models: str,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    forest: RandomForestRegressor | None = None,
+    tasks: int = TRAIN_TASKS,
+) -> ModelStore:
+    """The models that `evaluate_forest` keeps in a folder, when it is called with the same arguments."""
+    return ModelStore(spark, models, fingerprint(prepared(forest or default_forest(), label), features, label, tasks))
+
+
 class ForestEvaluation:
     """Fits and scores single windows of one stored series."""
 
@@ -111,33 +133,53 @@ class ForestEvaluation:
         batch_size: int,
         forest: RandomForestRegressor,
         tasks: int,
+        models: str | None = None,
     ):
         self.rows = rows
         self.features = list(features)
         self.label = label
         self.window_size = window_size
         self.batch_size = batch_size
-        self.forest = forest.copy({forest.featuresCol: "features", forest.labelCol: label})
+        self.forest = prepared(forest, label)
         self.tasks = tasks
+        self.models = None if models is None else kept_models(rows.sparkSession, models, features, label, forest, tasks)
+        self.new: deque[tuple[Row, str]] = deque()
+
+    def with_models(self, windows: DataFrame) -> DataFrame:
+        """The windows with the path of a kept model for the same train rows, if there is one."""
+        if self.models is None:
+            return windows
+        return windows.join(self.models.index(), ["t_end", "n_train", "train_sum"], "left").orderBy("t_end")
 
     def between(self, low: int, high: int) -> DataFrame:
         return self.rows.filter(f"t >= {low} AND t < {high}")
 
+    def fitted(self, window: Row) -> Model:
+        """The window's forest, from the store where it has one for the same train rows."""
+        if self.models is not None and window["model"] is not None:
+            return self.models.load(window["model"])
+        end = window["t_end"]
+        model = self.forest.fit(assembled(fixed_layout(self.between(end - self.window_size, end), self.tasks), self.features))
+        if self.models is not None:
+            self.new.append((window, self.models.save(model, window)))
+        return model
+
     def scored(self, window: Row) -> DataFrame:
-        """Fit the window's forest; its test rows with their prediction, not yet computed."""
+        """The window's test rows with their prediction, not yet computed."""
         end = window["t_end"]
-        train = fixed_layout(self.between(end - self.window_size, end), self.tasks)
-        model = self.forest.fit(assembled(train, self.features))
-        test = assembled(self.between(end, end + self.batch_size), self.features)
-        return model.transform(test).selectExpr(
-            *[f"{window[c]}L AS {c}" for c in ("t_end", "n_train", "n_test")],
-            f"{window['complete']} AS complete",
-            f"`{self.label}`",
-            "prediction",
+        test = self.between(end, end + self.batch_size)
+        scored = predicted(self.fitted(window), test, self.features)
+        return scored.select(
+            *(F.lit(window[c]).cast("bigint").alias(c) for c in CHECKED), F.lit(window["complete"]).alias("complete"), self.label, "prediction"
         )
 
+    def keep_new(self) -> None:
+        """Put the models fitted since the last time into the index."""
+        if self.models is not None:
+            self.models.add([self.new.popleft() for _ in range(len(self.new))])
 
-SCORED = ("t_end", "n_train", "n_test", "complete")
+
+SCORED = (*CHECKED, "complete")
 
 
 def evaluate_forest(
@@ -156,9 +198,13 @@ def evaluate_forest(
     parallelism: int | None = None,
     restart_grid: bool = False,
     processed_at: Column | datetime.datetime | None = None,
+    models: str | None = None,
 ) -> DataFrame:
     """Score every window whose score is not up to date, store the scores, return all of them.
 
+    With ``models``, the folder of a `ModelStore`, fitted forests are kept there, and a window whose train rows
+    are those of a kept forest is scored by that one.
+
     ``forest`` replaces the default one of ``num_trees`` and ``seed``. Only window ends and counts come
     to the driver, a partition at a time. As many windows train side by side as there are cores, and
     training goes on while a group of scores is stored. Without a stored series nothing happens.
@@ -168,11 +214,11 @@ def evaluate_forest(
     if series is None:
         return stored_metrics(spark, metrics_path)
     rows = complete_rows(series, columns)
-    forest = forest or RandomForestRegressor(numTrees=num_trees, seed=seed)
-    evaluation = ForestEvaluation(rows, features, label, window_size, batch_size, forest, tasks)
+    forest = forest or default_forest(num_trees, seed)
+    evaluation = ForestEvaluation(rows, features, label, window_size, batch_size, forest, tasks, models)
 
     grid = grid_of(series, read_parts(spark, metrics_path, ML_PERFORMANCE), window_size, batch_size, restart_grid)
-    pending = pending_windows(rows, grid, stored_metrics(spark, metrics_path))
+    pending = evaluation.with_models(pending_windows(rows, grid, stored_metrics(spark, metrics_path), columns))
 
     with ThreadPool(parallelism or spark.sparkContext.defaultParallelism) as pool:
         scored = pool.imap(inheritable_thread_target(spark)(evaluation.scored), pending.toLocalIterator())
@@ -180,6 +226,7 @@ def evaluate_forest(
             metrics = error_by_window(reduce(DataFrame.unionByName, group), label, SCORED)
             metrics = metrics.withColumn("origin", F.lit(grid.first_t).cast("bigint"))
             write_part(stamped(metrics, processed_at), metrics_path, number, ["t_end"])
+            evaluation.keep_new()
     return stored_metrics(spark, metrics_path)
 
 

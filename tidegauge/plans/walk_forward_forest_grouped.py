@@ -251,7 +251,7 @@ def evaluate_forest_grouped(
     if series is None:
         return stored_metrics(spark, metrics_path)
     grid = grid_of(series, read_parts(spark, metrics_path, ML_PERFORMANCE), window_size, batch_size, restart_grid)
-    pending = pending_windows(complete_rows(series, [*features, label]), grid, stored_metrics(spark, metrics_path))
+    pending = pending_windows(complete_rows(series, [*features, label]), grid, stored_metrics(spark, metrics_path), [*features, label])
     if not pending.isEmpty():
         metrics = walk_forward_forest_grouped(series, features, label, window_size, batch_size, only=pending, grid=grid)
         metrics = metrics.join(pending.select(*SCORED), "t_end").withColumn("origin", F.lit(grid.first_t).cast("bigint"))

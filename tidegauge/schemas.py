@@ -19,13 +19,16 @@ REQUEST_LOGS = (
     "size DOUBLE, y DOUBLE, drift_factor DOUBLE, processed_at TIMESTAMP"
 )
 
-# How many rows the window had when it was scored, whether its test part was full, and the time from
-# which the ends of its evaluation are counted.
+# How many rows the window had when it was scored, whether its test part was full, checksums of the rows, and the
+# time from which the ends of its evaluation are counted.
 ML_PERFORMANCE = (
-    "t_end BIGINT, n_train BIGINT, n_test BIGINT, complete BOOLEAN, mae DOUBLE, mean_pred DOUBLE, "
-    "origin BIGINT, processed_at TIMESTAMP"
+    "t_end BIGINT, n_train BIGINT, n_test BIGINT, complete BOOLEAN, train_sum BIGINT, test_sum BIGINT, "
+    "mae DOUBLE, mean_pred DOUBLE, origin BIGINT, processed_at TIMESTAMP"
 )
 
+# Where the model of a window lies, and the rows it was fitted on.
+MODEL_INDEX = "t_end BIGINT, n_train BIGINT, train_sum BIGINT, forest STRING, model STRING"
+
 MODEL_RESULTS = "coeff DOUBLE, intercept DOUBLE, updated_at TIMESTAMP"
 
 WORD_COUNT = "word STRING, count BIGINT"

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.latest import latest_rows
+from tidegauge.plans.models import predicted
 from tidegauge.plans.requests import LOG_KEY, checked_times, stored_log
 from tidegauge.plans.sales import STATS_ORDER, sales_stats
 from tidegauge.sinks import write_lines, write_part
@@ -73,6 +75,13 @@ def stream_series(
     return _load(log, table, checkpoint, lambda batch: batch, ["t"], every, rejects)
 
 
+def stream_scores(
+    rows: DataFrame, model: Model, features: Sequence[str], table: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Append the rows with the prediction of a model that was fitted before; incomplete rows are left out."""
+    return _load(predicted(model, rows, features), table, checkpoint, lambda batch: batch, (), every)
+
+
 def stream_latest(
     rows: DataFrame,
     table: str,
