@@ -21,19 +21,20 @@ from tidegauge.catalog.inputs import (
 from tidegauge.catalog.totals import TOTALS_SQL
 from tidegauge.constants import LAG_SEED, LAST_VALUE_KEY
 from tidegauge.files import Store, list_files, milliseconds, paths_of
-from tidegauge.functions import iso_text
+from tidegauge.functions import exact_sum, iso_text
 from tidegauge.operators.aggregates import grand_total, totals
 from tidegauge.operators.daily import DailyTable, add_load, merge_loads, read_daily
-from tidegauge.operators.latest import latest_rows, read_parts, read_replacing
+from tidegauge.operators.latest import absent_from, latest_rows, read_parts, read_replacing
 from tidegauge.operators.retention import purge, retained
 from tidegauge.operators.state import latest_state, seeded
 from tidegauge.plans.requests import LOG_KEY, STORED, continued_features, load_requests, request_features, stored_log
 from tidegauge.schemas import REQUEST_LOGS, SALES, SALES_STATS
 from tidegauge.scratch import fresh_folder
-from tidegauge.sinks import write_snapshot, write_with_fallback
+from tidegauge.sinks import WarehouseTable, write_snapshot, write_with_fallback
 from tidegauge.sources import (
     parse_json,
     scan_inferred,
+    scan_inferred_fields,
     scan_json_lines,
     scan_present,
     scan_table,
@@ -44,6 +45,9 @@ from tidegauge.streaming import stream_latest, stream_totals
 
 EVENT = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
+# Buckets of the tables by user.
+BUCKETS = 8
+
 
 def sales_json_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = as_json(spark, sales(spark, sf_dir), "sales")
@@ -101,6 +105,22 @@ def json_inferred_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grand_total(scan_inferred(spark, path), scale=SCALE)
 
 
+def inferred_with_bad_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines of which some amounts are text and some lines are cut off: totals of the good values by item, and rejects."""
+    record = F.to_json(F.struct("item", "amount", "ts"))
+    line = (
+        F.when((F.col("item") == "error") & (F.col("ts") % 2 == 0), F.substr(record, F.lit(1), F.length(record) - 1))
+        .when((F.col("item") == "signup") & (F.col("ts") % 3 == 0), F.regexp_replace(record, '"amount":([^,}]+)', '"amount":"about $1"'))
+        .otherwise(record)
+    )
+    path = fresh_folder(spark, "sales-mixed")
+    sales(spark, sf_dir).select(line.alias("value")).write.text(path)
+    scan = scan_inferred_fields(spark, path, "*.txt")
+    good = scan.rows.groupBy("item").agg(F.count(F.lit(1)).alias("n_rows"), exact_sum("amount", SCALE).alias("total_amount"))
+    bad = scan.rejects.groupBy(F.concat(F.lit("rejected "), F.coalesce("field", F.lit("lines"))).alias("item")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return good.unionByName(bad.withColumn("total_amount", F.lit(None).cast("double")))
+
+
 def json_column_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = table(spark, sf_dir, "events").select(parse_json("props", "k BIGINT").alias("p"))
     return parsed.agg(F.sum("p.k").alias("total"))
@@ -184,6 +204,28 @@ def request_log_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_daily(spark, daily).select("timestamp", "t", "requests", "y", F.col("day").cast("string").alias("day"))
 
 
+def _warehouse(spark: SparkSession, label: str) -> WarehouseTable:
+    path = fresh_folder(spark, label)
+    return WarehouseTable(f"events_{path[-32:]}", EVENT, path, ["user_id"], BUCKETS)
+
+
+def warehouse_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest record per user of a bucketed table that three loads were appended to: no shuffle."""
+    events, kept = table(spark, sf_dir, "events"), _warehouse(spark, "warehouse")
+    for load in range(3):
+        kept.insert(events.filter(F.col("event_id") % 3 == load))
+    return latest_rows(kept.create(spark), kept.key, ["ts", "event_id"])
+
+
+def warehouse_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases of users that have no error, by two bucketed tables: joined without a shuffle."""
+    events = table(spark, sf_dir, "events")
+    bought, failed = _warehouse(spark, "bought"), _warehouse(spark, "failed")
+    bought.insert(events.filter("event_type = 'purchase'"))
+    failed.insert(events.filter("event_type = 'error'"))
+    return absent_from(bought.create(spark), failed.create(spark), bought.key).select("event_id", "user_id", "value")
+
+
 def _user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = table(spark, sf_dir, "events").withColumn("key", F.col("user_id").cast("string"))
     return latest_state(updates, at="ts", tie="event_id")
@@ -232,6 +274,9 @@ QUERIES = {
     "request_logs_latest": request_logs_latest,
     "request_log_replaced": request_log_replaced,
     "request_log_daily": request_log_daily,
+    "warehouse_latest": warehouse_latest,
+    "warehouse_absent": warehouse_absent,
+    "inferred_with_bad_values": inferred_with_bad_values,
     "latest_state": latest_state_query,
     "seeded_state": seeded_state,
     "sales_stream_totals": sales_stream_totals,
@@ -271,6 +316,15 @@ FROM events GROUP BY 1""",
 SELECT "timestamp", t, hour, requests, round(size, 6) AS size,
        CASE WHEN hour < 8 THEN y + 1 ELSE y END AS y, round(drift_factor, 9) AS drift_factor
 FROM log""",
+    "warehouse_latest": _LATEST_SQL,
+    "warehouse_absent": """SELECT event_id, user_id, value FROM events b WHERE event_type = 'purchase'
+AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND e.user_id = b.user_id)""",
+    "inferred_with_bad_values": f"""WITH {SALES_SQL},
+marked AS (SELECT *, item = 'error' AND ts % 2 = 0 AS cut, item = 'signup' AND ts % 3 = 0 AND amount IS NOT NULL AS worded FROM sales)
+SELECT item, count(*) AS n_rows, CAST(sum(CAST(CASE WHEN NOT worded THEN amount END AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount
+FROM marked WHERE NOT cut GROUP BY item
+UNION ALL SELECT 'rejected lines', count(*), NULL FROM marked WHERE cut HAVING count(*) > 0
+UNION ALL SELECT 'rejected amount', count(*), NULL FROM marked WHERE worded HAVING count(*) > 0""",
     "request_log_daily": f"""WITH {LOG_SQL}
 SELECT "timestamp", t, requests, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS day,
        CASE WHEN hour >= 12 AND t > (SELECT max(t) FROM log) - 100 THEN y + 3 WHEN hour >= 8 THEN y + 2 ELSE y + 1 END AS y

@@ -10,8 +10,10 @@ from tidegauge.sinks.tables import (
     write_snapshot,
     write_with_fallback,
 )
+from tidegauge.sinks.warehouse import WarehouseTable
 
 __all__ = [
+    "WarehouseTable",
     "append_sorted",
     "create_absent",
     "stamped",

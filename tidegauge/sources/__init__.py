@@ -10,6 +10,7 @@ from tidegauge.sources.json_lines import (
 )
 from tidegauge.sources.streams import stream_json_lines, stream_text
 from tidegauge.sources.tables import empty_table, integers, literal_rows, newest, scan_table
+from tidegauge.sources.variants import scan_inferred_fields, scan_variants, split_fields
 
 __all__ = [
     "JsonScan",
@@ -19,9 +20,12 @@ __all__ = [
     "newest",
     "parse_json",
     "scan_inferred",
+    "scan_inferred_fields",
     "scan_json_lines",
     "scan_present",
     "scan_table",
+    "scan_variants",
+    "split_fields",
     "split_rejects",
     "stream_json_lines",
     "stream_text",
