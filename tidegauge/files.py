@@ -46,6 +46,13 @@ class Store:
     def delete(self, path: str, recursive: bool = False) -> bool:
         return self._fs.delete(self._path(path), recursive)
 
+    def rename(self, path: str, target: str) -> None:
+        """Move a file or folder to a name that is free; its parent is made if absent."""
+        place = self._path(target)
+        self._fs.mkdirs(place.getParent())
+        if not self._fs.rename(self._path(path), place):
+            raise OSError(f"{path} could not be renamed to {target}")
+
     def names(self, path: str) -> list[str]:
         """Names directly below a folder; none where it does not exist."""
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))] if self.exists(path) else []

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tidegauge.files import Store
+
 PART = "part"
 
 
@@ -53,10 +56,28 @@ def append_sorted(df: DataFrame, path: str, by: Sequence[str]) -> str:
     return path
 
 
+# Spark's scans skip what begins with an underscore.
+_WRITING = "_writing"
+
+
+def _put_part(writer: DataFrameWriter, spark: SparkSession, path: str, part: int) -> str:
+    """Write a numbered part aside, and put it in place when all of it is there.
+
+    Whoever reads sees all files of a part or none, and the one before until the new one is whole. A write that breaks
+    off leaves the table as it was; what it wrote aside is never read.
+    """
+    store, place, aside = Store(spark, path), f"{path}/{PART}={part}", f"{path}/{_WRITING}/{uuid.uuid4().hex}"
+    writer.save(f"{aside}/new")
+    if store.exists(place):
+        store.rename(place, f"{aside}/old")
+    store.rename(f"{aside}/new", place)
+    store.delete(aside, recursive=True)
+    return path
+
+
 def write_lines(lines: DataFrame, path: str, part: int) -> str:
     """Write one numbered part of a text table; writing it again replaces that part only."""
-    lines.write.mode("overwrite").option("lineSep", "\n").text(f"{path}/{PART}={part}")
-    return path
+    return _put_part(lines.write.format("text").option("lineSep", "\n"), lines.sparkSession, path, part)
 
 
 def write_part(df: DataFrame, path: str, part: int, sort_by: Sequence[str] = ()) -> str:
@@ -66,5 +87,4 @@ def write_part(df: DataFrame, path: str, part: int, sort_by: Sequence[str] = ())
     """
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").parquet(f"{path}/{PART}={part}")
-    return path
+    return _put_part(df.write.format("parquet"), df.sparkSession, path, part)
