@@ -12,10 +12,11 @@ from pathlib import Path
 
 import pytest
 from llm_rows import ROWS, edited, prose
+from pyspark.sql import functions as F
 
-from tidegauge.llm import near_dedup, substring_dedup
+from tidegauge.llm import exact_dedup, near_dedup, substring_dedup
 from tidegauge.llm.components import components
-from tidegauge.llm.exact_dedup import exact_duplicates, first_of_copies
+from tidegauge.llm.exact_dedup import exact_duplicates, first_of_copies, hot_hashes, normalised_rows, stretches
 from tidegauge.llm.near_dedup import near_duplicates
 from tidegauge.llm.substring_dedup import LENGTH, repeated_substrings
 
@@ -125,14 +126,38 @@ def test_first_of_copies_keeps_whole_rows(edges, nothing):
 
 
 def test_texts_are_shuffled_once_and_no_python_runs(spark):
-    from tidegauge.llm.exact_dedup import normalised_rows, stretches
-
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = stretches(normalised_rows(docs, []), [])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "rangepartitioning(head" in plan and "Window" in plan
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_neighbours_find_all_copies_outside_hot_groups(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.unionByName(docs.limit(1).crossJoin(spark.range(400)).drop("id"))
+    hot = hot_hashes(docs)
+    assert 1 <= len(hot) < 8
+    seen = stretches(normalised_rows(docs, [], hot), [])
+    texts = Counter(re.sub(r"[ \t\n\x0b\f\r]+", " ", r["text"] or "") for r in docs.collect())
+    cold = seen.where("NOT hot AND place = 1").collect()
+    assert Counter(r["size"] for r in cold) == Counter(n for n in texts.values() if n < 400)
+    # The hot text lies in several stretches of bounded size, and only their first rows keep it.
+    lots = seen.where("hot").collect()
+    assert len(lots) == max(texts.values()) and len({r["stretch"] for r in lots}) == sum(r["norm"] is not None for r in lots)
+    assert all(r["norm"] is None for r in cold)
+
+
+def test_hot_texts_of_one_hash_are_compared_in_full(frame, spark, monkeypatch):
+    # All texts get one hash: stretches and heads must still tell them apart.
+    rows = [(k, ("one text", "another", "a third\ttext")[k % 3]) for k in range(300)]
+    whole = exact_dedup.hashed
+    monkeypatch.setattr(exact_dedup, "hashed", lambda docs, carried: whole(docs, carried).withColumn("hash", F.lit(7).cast("long")))
+    got = exact_duplicates(frame(rows)).collect()
+    assert {(r["doc_id"] % 3, r["keep_id"], r["group_size"]) for r in got} == {(0, 0, 100), (1, 1, 100), (2, 2, 100)}
+    assert sorted(r["doc_id"] for r in got if r["kept"]) == [0, 1, 2]
+    assert sorted(r["doc_id"] for r in first_of_copies(frame(rows)).collect()) == [0, 1, 2]
+
+
 def test_a_hot_group_of_copies(frame):
     got = exact_duplicates(frame([(i, "the same text") for i in range(500, 0, -1)] + [(501, "another")])).collect()
     assert Counter((r["keep_id"], r["group_size"], r["kept"]) for r in got) == {(1, 500, True): 1, (1, 500, False): 499, (501, 1, True): 1}
