@@ -346,7 +346,8 @@ SELECT t_end, t, t < t_end AS is_train FROM ends JOIN log ON t >= t_end - 100 AN
 SELECT t_end, t, t < t_end AS is_train FROM ends JOIN log ON t >= train_from AND t < test_until""",
     "walk_forward_any_ends": f"""WITH {_UNEVEN_SQL},
 models AS (
-    SELECT t_end, test_until, coalesce(regr_slope(y, y_lag1), 0) AS slope, coalesce(regr_intercept(y, y_lag1), avg(y)) AS intercept
+    SELECT t_end, test_until, CASE WHEN max(y_lag1) > min(y_lag1) THEN regr_slope(y, y_lag1) ELSE 0 END AS slope,
+           CASE WHEN max(y_lag1) > min(y_lag1) THEN regr_intercept(y, y_lag1) ELSE avg(y) END AS intercept
     FROM ends JOIN log ON t >= train_from AND t < t_end GROUP BY t_end, test_until
 )
 SELECT t_end, round(avg(abs(y - (slope * y_lag1 + intercept))), 4) AS mae,

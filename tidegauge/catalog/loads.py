@@ -218,11 +218,11 @@ def warehouse_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases of users that have no error, by two bucketed tables: joined without a shuffle."""
+    """Purchases of users that never had an error at night, by two bucketed tables: joined without a shuffle."""
     events = table(spark, sf_dir, "events")
     bought, failed = _warehouse(spark, "bought"), _warehouse(spark, "failed")
     bought.insert(events.filter("event_type = 'purchase'"))
-    failed.insert(events.filter("event_type = 'error'"))
+    failed.insert(events.filter("event_type = 'error' AND hour(ts) < 2"))
     return absent_from(bought.create(spark), failed.create(spark), bought.key).select("event_id", "user_id", "value")
 
 
@@ -318,7 +318,7 @@ SELECT "timestamp", t, hour, requests, round(size, 6) AS size,
 FROM log""",
     "warehouse_latest": _LATEST_SQL,
     "warehouse_absent": """SELECT event_id, user_id, value FROM events b WHERE event_type = 'purchase'
-AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND e.user_id = b.user_id)""",
+AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND hour(e.ts) < 2 AND e.user_id = b.user_id)""",
     "inferred_with_bad_values": f"""WITH {SALES_SQL},
 marked AS (SELECT *, item = 'error' AND ts % 2 = 0 AS cut, item = 'signup' AND ts % 3 = 0 AND amount IS NOT NULL AS worded FROM sales)
 SELECT item, count(*) AS n_rows, CAST(sum(CAST(CASE WHEN NOT worded THEN amount END AS DECIMAL(18, 2))) AS DOUBLE) AS total_amount
