@@ -13,11 +13,13 @@ from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import ROWS, prose
 
 from tidegauge.llm import decontamination, licenses
 from tidegauge.llm.decontamination import LEAST_SHARE, LEAST_WORDS, MASKS, SHORTEST, contamination, decontaminated, overlap, whole_masks
+from tidegauge.llm.kernel import slices, word_hashes
 from tidegauge.llm.licenses import MIT, canonical, license_scan
 from tidegauge.llm.queries import ORACLES, QUERIES
 
@@ -105,6 +107,53 @@ def test_overlaps_with_random_substitutions_equal_brute_force(frame, spark):
     assert 200 < sum(map(bool, want.values())) < 600
 
 
+def _overlapped(words, own):
+    """By brute force: the rule on every diagonal."""
+    least = min(LEAST_WORDS, len(own))
+    for diagonal in range(1 - len(own), len(words)):
+        low, high = max(diagonal, 0), min(diagonal + len(own), len(words))
+        agree = [words[p] == own[p - diagonal] for p in range(low, high)]
+        if any(5 * sum(agree[a:b]) >= 4 * (b - a) for a in range(len(agree)) for b in range(a + least, len(agree) + 1)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("block", [40, 1_000_000])
+def test_repeated_words_and_short_items_equal_brute_force(frame, spark, block, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK", block)
+    r = random.Random(31)
+    items = {i: [r.choice("abc"[: r.randint(1, 3)]) for _ in range(r.randint(1, 18))] for i in range(50)}
+    docs = {k: [r.choice("abc"[: r.randint(1, 3)]) for _ in range(r.randint(0, 25))] for k in range(80)}
+    found = contamination(frame([(k, " ".join(d)) for k, d in docs.items()]), spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string").repartition(2))
+    for row in found.collect():
+        over = [i for i, own in items.items() if _overlapped(docs[row["doc_id"]], own)]
+        assert row["item_ids"] == [i for i in over if len(items[i]) >= SHORTEST]
+        assert row["short_item_ids"] == [i for i in over if len(items[i]) < SHORTEST]
+        assert row["contaminated"] == bool(row["item_ids"])
+
+
+def test_short_items_alone_take_no_document_away(frame, spark):
+    benchmark = spark.createDataFrame([(1, "too short"), (2, "yes")], "item_id long, text string")
+    docs = frame([(1, "this is TOO short"), (2, "too long, not short"), (3, "yes yes")])
+    assert [r["short_item_ids"] for r in contamination(docs, benchmark).orderBy("doc_id").collect()] == [[1], [], [2]]
+    assert decontaminated(docs, benchmark).count() == 3
+
+
+def test_a_run_of_one_word_takes_time_in_proportion():
+    own = word_hashes(next(slices(pa.array(["a"]))))[1]
+    seeds = decontamination.block_of([1, 2, 3, 4], [np.repeat(own, n) for n in (60, 70, 80, 2000)])
+    blocks = [decontamination.Seeds(np.concatenate([np.ascontiguousarray(a).view(np.uint8) for a in seeds]))]
+    start = time.monotonic()
+    found = list(decontamination._found(blocks, pa.array(["a " * 2000])))
+    assert found == [({1: 60, 2: 70, 3: 80, 4: 2000}, set())] and time.monotonic() - start < 2
+
+
+def test_the_benchmark_does_not_pass_the_driver(frame, spark):
+    benchmark = spark.createDataFrame([(i, prose(500 + i, 30)) for i in range(20)], "item_id long, text string").repartition(4)
+    blocks = decontamination.seed_blocks(benchmark)
+    assert 1 <= len(blocks.names) <= 4 and sum(len(seeds.ids) for seeds in blocks) == 20
+
+
 def test_decontamination_of_edge_cases(edges, nothing, items):
     assert sum(r["contaminated"] for r in contamination(edges, items).collect()) == 0
     assert contamination(edges, items.limit(0)).count() == decontaminated(edges, items.limit(0)).count() == len(ROWS)

@@ -2,36 +2,43 @@
 
 A seed looks at some places of a window of words and ignores the others, by one of a few fixed masks,
 so a window still hits where ignored words were substituted. The masks are chosen so that every overlap
-by the rule has a hit, wherever its substituted words stand. Test windows are hashed under every mask
-and sent to all tasks in blocks of bounded size; a task hashes the windows of its documents alike
-and joins them by hash. Around every hit the document and the test item are compared word by word
-along the diagonal, and the longest stretch in which enough words agree decides.
+by the rule has a hit, wherever its substituted words stand. Tasks hash the windows of the test items under
+every mask and store them sorted, in blocks of bounded size in the shared folder. The tasks that read the documents
+map one block after another into memory and join their windows by hash. Around every hit the document and the test
+item are compared word by word along the diagonal, and the longest stretch in which enough words agree decides.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from tidegauge.llm.files import opened, write_file
 from tidegauge.llm.kernel import Words, mix, pieces, ranges, slices, word_hashes
 from tidegauge.llm.store import bounded
+from tidegauge.scratch import fresh_folder
 
 #: Places that count in a window of words, by mask. In a stretch of 13 to 25 words of which 80 % agree at least
 #: one window hits, whichever words differ; a longer one falls into two of which one has the share.
 MASKS = ("1101111", "110010001011", "110101011", "1110111")
-#: Test items from this many words to ``LEAST_WORDS - 1`` are looked for whole; shorter ones say too little.
+#: Test items of fewer than ``LEAST_WORDS`` words are looked for whole. Those of fewer than this many are reported
+#: apart: so few words stand in many texts that never saw the test.
 SHORTEST = 6
 #: An overlap is a stretch of so many words, or of the whole item if that is shorter, ...
 LEAST_WORDS = 13
 #: ... of which at least this share agree.
 LEAST_SHARE = 0.8
-#: Hashes of test windows that are sent to tasks at once.
+#: Hashes of test windows in a block, which a task maps into memory at once.
 BLOCK = 1_000_000
-#: Words that are compared at once around hits.
+#: Hits that are followed, and words that are compared around them, at once.
 COMPARED = 1_000_000
 _FILTER = 1 << 20
 
@@ -59,60 +66,99 @@ def seed_hashes(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix(total)
 
 
-class Seeds:
-    """Test items by the hashes of their windows."""
+def _masks(n: int) -> tuple[str, ...] | list[str]:
+    """Masks under which an item of ``n`` words is looked for."""
+    return MASKS if n >= LEAST_WORDS else whole_masks(n)
+
+
+def _portions(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows in order, in portions of about ``COMPARED`` by their sizes."""
+    turn = np.cumsum(sizes) // COMPARED
+    return (rows for rows in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(turn)) + 1) if len(rows))
+
 
-    def __init__(self, ids: list[int], words: list[np.ndarray]) -> None:
-        self.ids = np.array(ids, np.int64)
-        self.sizes = np.array([len(w) for w in words], np.int64)
+def block_of(ids: list[int], words: list[np.ndarray]) -> list[np.ndarray]:
+    """Arrays of a block in the order in which `Seeds` reads them: windows by hash, then the items."""
+    hashed = [(item, seed_hashes(own, mask)) for item, own in enumerate(words) for mask in _masks(len(own))]
+    key = np.concatenate([h for _, h in hashed])
+    order = np.argsort(key, kind="stable")
+    item = np.concatenate([np.full(len(h), i) for i, h in hashed])
+    place = np.concatenate([np.arange(len(h)) for _, h in hashed])
+    some = np.zeros(_FILTER, np.uint8)
+    some[(key & np.uint64(_FILTER - 1)).astype(np.int64)] = 1
+    sizes = np.array([len(w) for w in words], np.int64)
+    head = np.array([len(key), len(ids), sizes.sum()], np.int64)
+    return [head, key[order], np.roll(key, 1)[order], item[order], place[order], np.array(ids, np.int64), sizes, np.concatenate(words), some]
+
+
+class Seeds:
+    """A block of test items by the hashes of their windows, over the bytes of a file."""
+
+    def __init__(self, raw: np.ndarray) -> None:
+        n, items, words = raw[:24].view(np.int64).tolist()
+        cuts = np.cumsum([24, *(8 * n,) * 4, *(8 * items,) * 2, 8 * words])
+        parts = np.split(raw, cuts)[1:]
+        # ``before`` is the hash of the window one place earlier in the item.
+        self.key, self.before, self.words = (parts[k].view(np.uint64) for k in (0, 1, 6))
+        self.item, self.place, self.ids, self.sizes = (parts[k].view(np.int64) for k in (2, 3, 4, 5))
+        self.filter = parts[7].view(bool)
         self.begins = np.cumsum(self.sizes) - self.sizes
-        self.words = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        self.masks = [*MASKS, *(m for n in sorted({len(w) for w in words if len(w) < LEAST_WORDS}) for m in whole_masks(n))]
-        keys, items, places = [], [], []
-        for item, own in enumerate(words):
-            for mask in MASKS if len(own) >= LEAST_WORDS else whole_masks(len(own)):
-                hashed = seed_hashes(own, mask)
-                keys.append(hashed)
-                items.append(np.full(len(hashed), item))
-                places.append(np.arange(len(hashed)))
-        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.item, self.place = (np.concatenate(x)[order] if keys else np.zeros(0, np.int64) for x in (items, places))
-        self.filter = np.zeros(_FILTER, bool)
-        self.filter[(self.key & np.uint64(_FILTER - 1)).astype(np.int64)] = True
-
-    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Test item and diagonal (place in the words less place in the item) of every hit, each once."""
+        self.masks = sorted({mask for n in np.unique(self.sizes).tolist() for mask in _masks(n)})
+
+    def hits(self, hashes: np.ndarray, by_mask: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Test item and diagonal (place in the words less place in the item) of every hit, each once.
+
+        ``by_mask`` keeps the window hashes of the words for the blocks to come.
+        """
         both = [np.zeros(0, np.int64)]
         for mask in self.masks:
-            hashed = seed_hashes(hashes, mask)
+            if mask not in by_mask:
+                by_mask[mask] = seed_hashes(hashes, mask)
+            hashed = by_mask[mask]
             at = np.flatnonzero(self.filter[(hashed & np.uint64(_FILTER - 1)).astype(np.int64)])
             low, high = np.searchsorted(self.key, hashed[at], "left"), np.searchsorted(self.key, hashed[at], "right")
-            count = high - low
-            rows = ranges(low, count)
-            both.append(np.unique((self.item[rows] << 32) + (np.repeat(at, count) - self.place[rows] + (1 << 31))))
+            hit = high > low
+            at, low, count = at[hit], low[hit], (high - low)[hit]
+            for part in _portions(count):
+                rows, here = ranges(low[part], count[part]), np.repeat(at[part], count[part])
+                # The next window along a diagonal that was hit leads to the same comparison.
+                place = self.place[rows]
+                new = (here == 0) | (place == 0) | (hashed[here - 1] != self.before[rows])
+                both.append(np.unique((self.item[rows[new]] << 32) + (here[new] - place[new] + (1 << 31))))
         some = np.unique(np.concatenate(both))
         return some >> 32, (some & 0xFFFFFFFF) - (1 << 31)
 
 
-def overlap(agree: np.ndarray, least: int) -> int:
-    """Agreeing words in the longest stretch of at least ``least`` words of which ``LEAST_SHARE`` agree; 0 if there is none."""
+def overlaps(agree: np.ndarray, sizes: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For each of the rows, which stand end to end: agreeing words in its longest stretch of at least ``least``
+    words of which ``LEAST_SHARE`` agree; 0 if there is none."""
+    share = Fraction(str(LEAST_SHARE))
     # A stretch has the share if this running sum does not fall over it; its best start is the earliest lowest one.
-    level = np.concatenate(([0.0], np.cumsum(agree - LEAST_SHARE)))
-    lowest = np.minimum.accumulate(level)
-    best = 0
-    for end in range(least, len(level)):
-        start = int(np.searchsorted(-lowest, -level[end] - 1e-9, "left"))
-        if end - start >= least and end - start > best:
-            best = end - start
-            span = (start, end)
-    return int(agree[span[0] : span[1]].sum()) if best else 0
-
-
-def _compared(seeds: Seeds, words: Words, hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Text, item and which words agree along each diagonal with a hit; only where enough agree for the least stretch."""
-    items, diagonals = seeds.hits(hashes)
+    # Every row begins so far below the one before that its earliest start is never looked for there.
+    first = np.cumsum(sizes + 1) - (sizes + 1)
+    inside = np.ones(len(agree) + len(sizes), bool)
+    inside[first] = False
+    gain, agreed = np.full(len(inside), -2 * share.denominator * (int(sizes.max(initial=0)) + 1)), np.zeros(len(inside), np.int64)
+    gain[inside] = np.where(agree, share.denominator - share.numerator, -share.numerator)
+    agreed[inside] = agree
+    level, agreed = np.cumsum(gain), np.cumsum(agreed)
+    start = np.searchsorted(-np.minimum.accumulate(level), -level, "left")
+    length = np.arange(len(level)) - start
+    length[length < np.repeat(least, sizes + 1)] = 0
+    best = np.maximum.reduceat(length, first)
+    ends = np.flatnonzero(length == np.repeat(best, sizes + 1))
+    end = ends[np.searchsorted(ends, first)]
+    return np.where(best > 0, agreed[end] - agreed[start[end]], 0)
+
+
+def overlap(agree: np.ndarray, least: int) -> int:
+    """`overlaps` of one row."""
+    return int(overlaps(agree, np.array([len(agree)]), np.array([least]))[0])
+
+
+def _compared(seeds: Seeds, words: Words, hashes: np.ndarray, by_mask: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Text, item and agreeing words of the overlaps along the diagonals with a hit, in portions."""
+    items, diagonals = seeds.hits(hashes, by_mask)
     low, high = np.maximum(diagonals, 0), np.minimum(diagonals + seeds.sizes[items], len(hashes))
     # The texts that the diagonal runs over; a window across two texts is cut at the border.
     first, last = np.searchsorted(words.last, low, "right"), np.searchsorted(words.first, high, "left")
@@ -123,93 +169,132 @@ def _compared(seeds: Seeds, words: Words, hashes: np.ndarray) -> Iterator[tuple[
     long = high - low >= least
     text, of, low, size, least = text[long], of[long], low[long], (high - low)[long], least[long]
     own = seeds.begins[items[of]] + low - diagonals[of]
-    turn = np.cumsum(size) // COMPARED
-    for rows in np.split(np.arange(len(of)), np.flatnonzero(np.diff(turn)) + 1):
-        if not len(rows):
-            continue
+    for rows in _portions(size):
         agree = hashes[ranges(low[rows], size[rows])] == seeds.words[ranges(own[rows], size[rows])]
-        ends = np.cumsum(size[rows])
-        starts = ends - size[rows]
-        for k in np.flatnonzero(np.add.reduceat(agree.astype(np.int64), starts) >= LEAST_SHARE * least[rows] - 1e-9).tolist():
-            yield int(text[rows[k]]), int(items[of[rows[k]]]), agree[starts[k] : ends[k]].astype(float)
+        starts = np.cumsum(size[rows]) - size[rows]
+        likely = np.add.reduceat(agree.astype(np.int64), starts) >= LEAST_SHARE * least[rows] - 1e-9
+        agree, rows = agree[np.repeat(likely, size[rows])], rows[likely]
+        if len(rows):
+            matched = overlaps(agree, size[rows], least[rows])
+            yield text[rows[matched > 0]], items[of[rows[matched > 0]]], matched[matched > 0]
 
 
-def _found(seeds: Seeds, column: pa.Array) -> Iterator[dict[int, int]]:
-    """For each text the test items it overlaps, with the number of agreeing words."""
+def _found(blocks: Blocks, column: pa.Array) -> Iterator[tuple[dict[int, int], set[int]]]:
+    """For each text the test items it overlaps, with the number of agreeing words, and the short ones it holds."""
     for texts in slices(column):
         words, hashes = word_hashes(texts)
-        out: list[dict[int, int]] = [{} for _ in texts.ends]
-        for text, item, agree in _compared(seeds, words, hashes):
-            matched = overlap(agree, min(LEAST_WORDS, int(seeds.sizes[item])))
-            key = int(seeds.ids[item])
-            if matched > out[text].get(key, 0):
-                out[text][key] = matched
+        out: list[tuple[dict[int, int], set[int]]] = [({}, set()) for _ in texts.ends]
+        by_mask: dict[str, np.ndarray] = {}
+        for seeds in blocks:
+            for text, item, matched in _compared(seeds, words, hashes, by_mask):
+                order = np.lexsort((-matched, item, text))
+                text, item, matched = text[order], item[order], matched[order]
+                most = np.flatnonzero(np.append(True, (np.diff(text) != 0) | (np.diff(item) != 0))[: len(text)])
+                for t, i, m in zip(text[most].tolist(), item[most].tolist(), matched[most].tolist(), strict=True):
+                    (of, short), key = out[t], int(seeds.ids[i])
+                    if seeds.sizes[i] < SHORTEST:
+                        short.add(key)
+                    elif m > of.get(key, 0):
+                        of[key] = m
         yield from out
 
 
-def seed_blocks(benchmark: DataFrame) -> Iterator[Seeds]:
-    """The test items in blocks of at most about ``BLOCK`` window hashes."""
-    ids: list[int] = []
-    words: list[np.ndarray] = []
-    size = 0
-    for row in benchmark.where("item_id is not null and text is not null").select("item_id", "text").toLocalIterator():
-        for texts in slices(pa.array([row["text"]])):
-            own = word_hashes(texts)[1]
-        if len(own) >= SHORTEST:
-            ids.append(row["item_id"])
-            words.append(own)
-            size += len(MASKS) * len(own) if len(own) >= LEAST_WORDS else len(whole_masks(len(own)))
-        if size >= BLOCK:
-            yield Seeds(ids, words)
-            ids, words, size = [], [], 0
-    if ids:
-        yield Seeds(ids, words)
+class Blocks:
+    """The stored blocks; going through them maps one at a time."""
+
+    def __init__(self, folder: str, names: list[str]) -> None:
+        self.folder, self.names = folder, names
+        self.local = isinstance(opened(folder)[0], pafs.LocalFileSystem)
+
+    def __iter__(self) -> Iterator[Seeds]:
+        folder = opened(self.folder)[1] if self.local else SparkFiles.get(self.folder.rpartition("/")[2])
+        store = pafs.LocalFileSystem(use_mmap=True)
+        for name in self.names:
+            with store.open_input_file(f"{folder}/{name}") as file:
+                yield Seeds(np.frombuffer(file.read_buffer(), np.uint8))
+
+
+def _stored_blocks(folder: str, limit: int):
+    """Write the test items of a task in blocks; their names, new ones at each attempt."""
+
+    def put(ids, words):
+        name = uuid.uuid4().hex
+        write_file(f"{folder}/{name}", (np.ascontiguousarray(a).view(np.uint8).data for a in block_of(ids, words)))
+        return pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+
+    def run(batches):
+        ids: list[int] = []
+        words: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            for texts in slices(batch.column(1)):
+                of, hashes = word_hashes(texts)
+                for row, (first, last) in enumerate(zip(of.first.tolist(), of.last.tolist(), strict=True), texts.first):
+                    if last > first:
+                        ids.append(keys[row])
+                        words.append(hashes[first:last].copy())
+                        size += len(_masks(last - first)) * (last - first)
+                    if size >= limit:
+                        yield put(ids, words)
+                        ids, words, size = [], [], 0
+        if ids:
+            yield put(ids, words)
+
+    return run
+
+
+def seed_blocks(benchmark: DataFrame) -> Blocks:
+    """The test items, stored by tasks in blocks of at most about ``BLOCK`` window hashes; the driver sees file names."""
+    spark = benchmark.sparkSession
+    folder = fresh_folder(spark, "test-windows")
+    rows = benchmark.where("item_id is not null and text is not null").selectExpr("cast(item_id as long) as item_id", "text")
+    names = sorted(r["name"] for r in bounded(rows).mapInArrow(_stored_blocks(folder, BLOCK), "name string").collect())
+    blocks = Blocks(folder, names)
+    if names and not blocks.local:
+        spark.sparkContext.addFile(folder, recursive=True)
+    return blocks
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id``, ``contaminated``, ``n_items``, ``item_ids``, ``agreeing_words`` for every row of ``docs(doc_id, text)``.
+    """``doc_id``, ``contaminated``, ``n_items``, ``item_ids``, ``agreeing_words``, ``short_item_ids`` for every row of ``docs(doc_id, text)``.
 
     ``item_ids`` are the test items of ``benchmark(item_id, text)`` that the text overlaps, ascending, and
-    ``agreeing_words`` the most words that one of them shares. Null and empty texts overlap nothing; so do
-    test items that are null, have no id or fewer than ``SHORTEST`` words. Rows without an id or with a
-    repeated one are judged each. Other columns are not read. An empty table gives an empty result;
-    without test items nothing is contaminated. The benchmark is the stated query set: one scan of
-    all documents per block of it.
+    ``agreeing_words`` the most words that one of them shares. Items of fewer than ``SHORTEST`` words are looked for by the
+    same rule, which lets none of up to four words differ; they are in ``short_item_ids`` and do not make a text contaminated.
+    Null and empty texts overlap nothing; so do test items that are null, without words or without an id. An id with
+    several texts is found by any. Rows without an id or with a repeated one are judged each. Other columns are not read. An empty
+    table gives an empty result; without test items nothing is contaminated. The benchmark is the stated query
+    set: one scan of all documents, whose tasks go through its stored blocks.
     """
-    spark = docs.sparkSession
-    kind = "doc_id long, text string, item_ids array<long>, agreeing_words long"
-    rows = bounded(docs.selectExpr("cast(doc_id as long) as doc_id", "text", "cast(array() as array<long>) as item_ids", "0L as agreeing_words"))
-    for seeds in seed_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(seeds)
-        rows = rows.mapInArrow(_marker(shared), kind)
-    return rows.selectExpr("doc_id", "size(item_ids) > 0 as contaminated", "cast(size(item_ids) as long) as n_items", "item_ids", "agreeing_words")
+    kind = "doc_id long, item_ids array<long>, agreeing_words long, short_item_ids array<long>"
+    rows = bounded(docs.selectExpr("cast(doc_id as long) as doc_id", "text")).mapInArrow(_marker(seed_blocks(benchmark)), kind)
+    return rows.selectExpr("doc_id", "size(item_ids) > 0 as contaminated", "cast(size(item_ids) as long) as n_items", "item_ids", "agreeing_words", "short_item_ids")
 
 
-def _marker(shared):
+def _marker(blocks: Blocks):
     def run(batches):
+        ids = pa.list_(pa.int64())
         for batch in pieces(batches, 1):
-            found = list(_found(shared.value, batch.column(1)))
-            items = [sorted({*(old or ()), *new}) for old, new in zip(batch.column(2).to_pylist(), found, strict=True)]
-            words = [max(old, *new.values()) if new else old for old, new in zip(batch.column(3).to_pylist(), found, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(items, pa.list_(pa.int64())), pa.array(words, pa.int64())], ["doc_id", "text", "item_ids", "agreeing_words"])
+            found = list(_found(blocks, batch.column(1)))
+            items, short = pa.array([sorted(of) for of, _ in found], ids), pa.array([sorted(s) for _, s in found], ids)
+            words = pa.array([max(of.values(), default=0) for of, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), items, words, short], ["doc_id", "item_ids", "agreeing_words", "short_item_ids"])
 
     return run
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap no test item, with all their columns."""
-    spark = docs.sparkSession
-    place = docs.columns.index("text")
-    rows = bounded(docs)
-    for seeds in seed_blocks(benchmark):
-        shared = spark.sparkContext.broadcast(seeds)
-        rows = rows.mapInArrow(_cleaner(shared, place), docs.schema)
-    return rows
+    """The rows of ``docs`` that overlap no test item of ``SHORTEST`` words or more, with all their columns.
+
+    Nulls, empty texts and tables, repeated rows and rows without an id are judged as in `contamination`.
+    """
+    return bounded(docs).mapInArrow(_cleaner(seed_blocks(benchmark), docs.columns.index("text")), docs.schema)
 
 
-def _cleaner(shared, place: int):
+def _cleaner(blocks: Blocks, place: int):
     def run(batches):
         for batch in pieces(batches, place):
-            yield batch.filter(pa.array([not f for f in _found(shared.value, batch.column(place))], pa.bool_()))
+            yield batch.filter(pa.array([not of for of, _ in _found(blocks, batch.column(place))], pa.bool_()))
 
     return run
