@@ -30,7 +30,7 @@ from tidegauge.schemas import REQUEST_LOG, REQUEST_LOGS, SALES
 from tidegauge.sinks import write_with_fallback
 from tidegauge.sources import scan_inferred, scan_table, stream_json_lines
 from tidegauge.sources.json_lines import DEFAULT_GLOB
-from tidegauge.streaming import console_word_count, running_word_count, stream_lagged, stream_log, stream_scores, stream_series, stream_totals
+from tidegauge.streaming import console_word_count, repartitioned_word_count, running_word_count, stream_lagged, stream_log, stream_scores, stream_series, stream_totals
 
 PEEK_ROWS = 5
 
@@ -116,7 +116,11 @@ def _amounts(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _words(spark: SparkSession, a: argparse.Namespace) -> None:
-    if a.table:
+    if a.continues:
+        if not (a.table and a.partitions) or a.restart:
+            raise SystemExit("--continues needs a new --table and --partitions, and no --restart")
+        query = repartitioned_word_count(spark, a.source, a.table, a.checkpoint, a.continues, partitions=a.partitions, every=a.every)
+    elif a.table:
         query = running_word_count(
             spark, a.source, a.table, a.checkpoint, partitions=a.partitions, every=a.every, restart=a.restart
         )
@@ -174,6 +178,7 @@ def parser() -> argparse.ArgumentParser:
     words = command("count-words", _words, ("source", "checkpoint"), ("table", "every"))
     words.add_argument("--partitions", type=int)
     words.add_argument("--restart", action="store_true")
+    words.add_argument("--continues", help="checkpoint of a stopped count, whose state goes on with another number of partitions")
     retain = command("retain-files", _retain, ("source",))
     retain.add_argument("--minutes", type=int, default=RETENTION_MINUTES)
     retain.add_argument("--glob", default=DEFAULT_GLOB)

@@ -27,12 +27,13 @@ def running_word_count(
     max_files: int | None = None,
     partitions: int | None = None,
     every: str | None = None,
+    archive: str | None = None,
     restart: bool = False,
 ) -> StreamingQuery:
     """Keep the counts so far in ``table``, to be read with `read_counts`.
 
     A batch that is run again writes the same part. ``restart`` empties the table first; it belongs
-    with a new checkpoint.
+    with a new checkpoint. Files that are done with move to ``archive``, where one is named.
     """
 
     def store(counts: DataFrame, batch_id: int) -> None:
@@ -40,7 +41,7 @@ def running_word_count(
 
     prepare = truncate if restart else create_absent
     prepare(spark, table, WORD_COUNT)
-    counts = word_counts(stream_text(spark, source, max_files=max_files))
+    counts = word_counts(stream_text(spark, source, max_files=max_files, archive=archive))
     with state_partitions(spark, partitions):
         return start(counts.writeStream.outputMode("update").foreachBatch(store), checkpoint, every)
 
