@@ -190,6 +190,21 @@ def test_notices_of_a_caller_need_no_certain_word(frame, spark, cues, monkeypatc
     assert {r["doc_id"]: r["notices"] for r in got} == {1: "GPL-3.0", 2: "Free", 3: "Free", 4: "", 5: ""}
 
 
+def test_digests_are_those_of_whole_texts(frame):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if not all((folder / f).exists() for f in files):
+        pytest.skip("no licence texts on this machine")
+    rows = [(i, (folder / f).read_text().upper().replace("\n", "\r\n")) for i, f in enumerate(files)]
+    got = {r["doc_id"]: r["license"] for r in license_scan(frame([*rows, (9, rows[0][1] + " more")])).collect()}
+    assert got == {**dict(enumerate(files.values())), 9: None}
+
+
+def test_notices_in_lines_of_any_length(frame):
+    line = "-" * 100_000 + " Licensed under the MIT License. " + "*" * 100_000
+    assert [r["notices"] for r in license_scan(frame([(1, f"prose\n{line}\nprose")])).collect()] == ["MIT"]
+
+
 def test_long_texts_take_time_in_proportion(frame):
     rows = [(1, "\n" * 1_000_000), (2, "-" * 1_000_000), (3, " *\n" * 300_000 + MIT), (4, "(" * 500_000 + "c)" * 200_000)]
     started = time.monotonic()

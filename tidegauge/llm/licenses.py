@@ -88,6 +88,22 @@ TEXTS = [
     ("Zlib", ZLIB),
     ("Zlib", f"zlib License\n\n{ZLIB}"),
 ]
+# Digests of the canonical form of whole public licence texts, as `digest` gives them.
+DIGESTS = [
+    ("Apache-2.0", "3d7ac7e29c6b745aede8375467da19a005325ed0be4c4250f698571307ef7aed"),
+    ("Artistic-1.0-Perl", "f7fec2048e2502b8b653a12ac095bcb0601f72bbd1d535b2e8adf8e097d2f915"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "f06741c6c5feec30d99f80228f0d9ea6b884eae0e790ab18a0f4257184befa86"),
+    ("GFDL-1.3", "80229e90e6f40a551a447f33ef48bd361a8e3166d53f29a2d1537245e2064feb"),
+    ("GPL-1.0", "9e12a40a9b22c45d116f19e1746b08ea0b853519de3e03ceb780f2a36d5f388c"),
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-3.0", "5272fb2d9117cba4ebb1b4a6612e61ab05ddddeff56bd30c3ac3798e23821b30"),
+    ("LGPL-2.0", "96685b4d8003c3671feddcde58622afa814a3ac15dcc419f38b388aff5e16d1d"),
+    ("LGPL-2.1", "22bd2802b7b313faf9750f494c8f07c9eaa0e00ba5b9f7a300e8fa36cfd1319e"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "cfeaaa06673b1503f35820ed13fa560f04864481a8b6da339f299fb2b90d8755"),
+    ("MPL-2.0", "cdb5877b9b73b693216820ac5a0090510c6fd9df7c38876e551b865cce774ddd"),
+]
 NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -148,11 +164,11 @@ def known_texts(spark: SparkSession) -> DataFrame:
 def _digested(batches):
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column("license"), batch.column("whole"), pa.array([digest(t) for t in texts]), pa.array([len(t or "") for t in texts], pa.int64()), pa.array([cue(t) for t in texts], pa.string())], ["license", "whole", "digest", "size", "cue"])
+        yield pa.RecordBatch.from_arrays([batch.column("license"), batch.column("whole"), pa.array([digest(t) for t in texts]), pa.array([cue(t) for t in texts], pa.string())], ["license", "whole", "digest", "cue"])
 
 
-def _scanned(notices: dict[bytes, str], longest: int, cues: set[str]):
-    """Digest of the whole text, and the notices among its lines no longer than four times the longest one.
+def _scanned(notices: dict[bytes, str], cues: set[str]):
+    """Digest of the whole text, and the notices among its lines.
 
     A line that holds no notice's cue is none; with more than ``CUES`` forms of cues every line is looked up.
     """
@@ -165,7 +181,7 @@ def _scanned(notices: dict[bytes, str], longest: int, cues: set[str]):
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 whole.append(digest(text))
-                own = {notices.get(digest(line)) for line in text.splitlines() if len(line) <= 4 * longest and likely.search(line.casefold())}
+                own = {notices.get(digest(line)) for line in text.splitlines() if likely.search(line.casefold())}
                 named.append(",".join(sorted(own - {None})))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(whole), pa.array(named)], ["doc_id", "digest", "notices"])
 
@@ -179,17 +195,19 @@ def license_scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     first by name. ``notices`` are the licences its lines name, ascending; a known text that is a copyright
     line alone, such as "All rights reserved", has the digest of nothing and is not looked for. Null, empty and all-punctuation
     texts have the digest of nothing, which no licence has. Rows without an id and rows that repeat are
-    judged each. Other columns are not read. An empty table gives an empty result.
+    judged each. Other columns are not read. An empty table gives an empty result. Without ``known`` the built-in texts
+    and digests are looked for.
     """
     spark = docs.sparkSession
+    digests = spark.createDataFrame([(bytes.fromhex(d), n) for n, d in DIGESTS if known is None], "digest binary, license string")
     known = known_texts(spark) if known is None else known
-    known = bounded(known).select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, size long, cue string")
-    known = known.where(F.col("digest") != F.lit(digest(""))).groupBy("whole", "digest").agg(F.min("license").alias("license"), F.max("size").alias("size"), F.min("cue").alias("cue"))
+    known = bounded(known).select("license", "text", "whole").mapInArrow(_digested, "license string, whole boolean, digest binary, cue string")
+    known = known.where(F.col("digest") != F.lit(digest(""))).groupBy("whole", "digest").agg(F.min("license").alias("license"), F.min("cue").alias("cue"))
     notices = known.where("not whole").limit(SMALL + 1).collect()
     if len(notices) > SMALL:
         raise ValueError(f"more than {SMALL} one-line notices")
-    texts = known.where("whole").select("digest", "license")
+    texts = known.where("whole").select("digest", "license").unionByName(digests)
     texts = F.broadcast(texts) if texts.limit(SMALL + 1).count() <= SMALL else texts
-    scan = _scanned({bytes(r["digest"]): r["license"] for r in notices}, max((r["size"] for r in notices), default=0), {r["cue"] for r in notices})
+    scan = _scanned({bytes(r["digest"]): r["license"] for r in notices}, {r["cue"] for r in notices})
     rows = bounded(docs.select("doc_id", "text")).mapInArrow(scan, "doc_id long, digest binary, notices string")
     return rows.join(texts, "digest", "left").select("doc_id", "license", "notices", F.lower(F.hex("digest")).alias("canonical_sha256"))
